@@ -507,7 +507,7 @@ def buckets(spark, sf):
 
 @query(
     "p36_residuals",
-    """SELECT o_orderkey, round(o_totalprice / 500000 - (o_orderkey % 100) / 100, 6) AS residual FROM orders""",
+    "SELECT o_orderkey, o_totalprice / 500000 - (o_orderkey % 100) / 100 AS residual FROM orders",
 )
 def residuals(spark, sf):
     from eventlytics.operators.profile import residuals as add
@@ -516,7 +516,7 @@ def residuals(spark, sf):
         "o_orderkey", (F.col("o_totalprice") / 500000).alias("sell_through"),
         (F.col("o_orderkey") % 100 / 100).alias("prediction"),
     )
-    return add(df).select("o_orderkey", F.round("residual", 6).alias("residual"))
+    return add(df).select("o_orderkey", "residual")
 
 
 @query(

@@ -171,12 +171,9 @@ def labels(spark: SparkSession, sf: str) -> DataFrame:
     """Labels of two thirds of the events, with shifted dates and noisy names."""
     n = F.datediff("event_date", F.lit("1990-01-01").cast("date")).cast("bigint")
     name = F.col("event_name")
-    noisy = (
-        F.when(n % 7 < 3, F.concat(F.upper(name), F.lit(" - Live")))
-        .when(n % 7 == 3, F.lit(None))
-        .when(n % 7 < 6, F.upper(name))
-        .otherwise(F.concat(name, F.lit("!")))
-    )
+    cased = F.when(n % 7 == 6, name).otherwise(F.upper(name))
+    ending = F.when(n % 7 < 3, " - Live").when(n % 7 == 3, None).when(n % 7 < 6, "").otherwise("!")
+    noisy = F.concat(cased, ending)
     return cards(spark, sf).filter(n % 3 != 1).select(
         noisy.alias("event_name"),
         F.date_add("event_date", (n % 5 - 2).cast("int")).alias("event_date"),

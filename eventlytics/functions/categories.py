@@ -49,10 +49,15 @@ def method_category(method: Column) -> Column:
 def base_event_type(name: Column) -> Column:
     """Series an event belongs to, the normalised name if none is known."""
     low = F.lower(name)
-    known = [F.when(low.rlike(pattern), F.lit(label)) for pattern, label in BASE_TYPES]
-    network = F.when(low.rlike(NETWORK_TYPE), F.regexp_extract(low, NETWORK_TYPE, 1))
-    numbered = F.when(low.rlike(NUMBERED_TYPE), F.lit("ufc"))
-    return F.coalesce(*known, network, numbered, normalize_name(name))
+    (first, label), *others = BASE_TYPES
+    out = F.when(low.rlike(first), label)
+    for pattern, label in others:
+        out = out.when(low.rlike(pattern), label)
+    return (
+        out.when(low.rlike(NETWORK_TYPE), F.regexp_extract(low, NETWORK_TYPE, 1))
+        .when(low.rlike(NUMBERED_TYPE), "ufc")
+        .otherwise(normalize_name(name))
+    )
 
 
 def city(location: Column) -> Column:

@@ -1,10 +1,10 @@
-"""Lexicon sentiment as plain column expressions (no UDF)."""
+"""Lexicon sentiment from column expressions (no UDF)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Phrases counted as positive and negative.
@@ -23,9 +23,8 @@ EMPTY_SUBJECTIVITY = 0.5
 WORDS_PER_HIT = 10
 
 
-def phrase_hits(text: Column, phrases: Sequence[str]) -> Column:
-    """How many of the phrases occur in the text, each counted once."""
-    low = F.lower(text)
+def phrase_hits(low: Column, phrases: Sequence[str]) -> Column:
+    """How many of the phrases occur in a lower-cased text, each counted once."""
     hits = F.lit(0)
     for phrase in phrases:
         hits = hits + low.contains(phrase).cast("int")
@@ -38,25 +37,37 @@ def word_count(text: Column) -> Column:
     return F.greatest(F.size(words), F.lit(1))
 
 
-def _empty(text: Column) -> Column:
-    return text.isNull() | (text == "")
-
-
-def polarity(
-    text: Column, positive: Sequence[str] = POSITIVE, negative: Sequence[str] = NEGATIVE
-) -> Column:
-    """``(p - n) / (p + n)``, 0 where nothing is found."""
-    p, n = phrase_hits(text, positive), phrase_hits(text, negative)
-    return F.when(_empty(text) | (p + n == 0), 0.0).otherwise((p - n) / (p + n))
-
-
-def subjectivity(
-    text: Column, positive: Sequence[str] = POSITIVE, negative: Sequence[str] = NEGATIVE
-) -> Column:
-    """Hits per ten words, at most 1; 0.5 for an empty text."""
-    hits = phrase_hits(text, positive) + phrase_hits(text, negative)
-    dense = hits / (word_count(text) / WORDS_PER_HIT)
-    return F.when(_empty(text), EMPTY_SUBJECTIVITY).otherwise(F.least(F.lit(1.0), dense))
+def score_texts(
+    df: DataFrame,
+    column: str,
+    positive: Sequence[str] = POSITIVE,
+    negative: Sequence[str] = NEGATIVE,
+) -> DataFrame:
+    """Add polarity and subjectivity of a text column.
+
+    Polarity is ``(p - n) / (p + n)``, 0 where nothing is found; subjectivity is
+    hits per ten words, at most 1, and 0.5 for an empty text. The lower-cased
+    text and the counts are columns of their own, so each is computed once.
+    """
+    low = F.col("low_")
+    counted = df.withColumn("low_", F.lower(column)).withColumns(
+        {
+            "pos_": phrase_hits(low, positive),
+            "neg_": phrase_hits(low, negative),
+            "words_": word_count(low),
+            "empty_": low.isNull() | (low == ""),
+        }
+    )
+    p, n = F.col("pos_"), F.col("neg_")
+    none = F.col("empty_") | (p + n == 0)
+    return counted.withColumns(
+        {
+            "polarity": F.when(none, 0.0).otherwise((p - n) / (p + n)),
+            "subjectivity": F.when(F.col("empty_"), EMPTY_SUBJECTIVITY).otherwise(
+                F.least(F.lit(1.0), (p + n) / (F.col("words_") / WORDS_PER_HIT))
+            ),
+        }
+    ).drop("low_", "pos_", "neg_", "words_", "empty_")
 
 
 def hype_score(avg_sentiment: Column, engagement: Column) -> Column:

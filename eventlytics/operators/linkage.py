@@ -30,12 +30,13 @@ DAYS = 1
 def with_match_keys(df: DataFrame, name: str = "event_name") -> DataFrame:
     """Add the lookup keys made from a name."""
     c = F.col(name)
-    series = base_event_type(c)
+    # a map names the long expression once, where isin would repeat it
+    known = F.create_map(*[F.lit(s) for s in SERIES for _ in range(2)])
     return df.withColumns(
         {
             "name_key": normalize_name(c),
             "number_key": non_empty(contest_number(c)),
-            "series_key": F.when(series.isin(*SERIES), series),
+            "series_key": F.try_element_at(known, base_event_type(c)),
         }
     )
 

@@ -96,3 +96,13 @@ def matchup_features(fights: DataFrame, fighters: DataFrame) -> DataFrame:
         F.abs(F.col("height_inches_1") - F.col("height_inches_2")).alias("height_diff"),
         (F.abs(age_days) / F.lit(365.25)).alias("age_diff"),
     )
+
+
+def natural_join(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Inner join on all common columns, NULL equal to NULL."""
+    common = [c for c in left.columns if c in right.columns]
+    on = F.lit(True)
+    for c in common:
+        on = on & F.col(f"l.`{c}`").eqNullSafe(F.col(f"r.`{c}`"))
+    extra = [f"r.`{c}`" for c in right.columns if c not in common]
+    return left.alias("l").join(right.alias("r"), on).select("l.*", *extra)

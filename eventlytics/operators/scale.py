@@ -139,7 +139,12 @@ def exact_quantiles(
     sketch = data.groupBy(*groups).agg(
         F.count("*").alias("n_"),
         F.percentile_approx("v_", steps, accuracy).alias("s_"),
+        F.min("v_").alias("min_"),
+        F.max("v_").alias("max_"),
     )
+    # the sketch is off by n / accuracy rows at most, the bracket spans four
+    # times that; a group too small for the margin to cover a row takes all
+    small = F.col("n_") <= accuracy
     # the wanted zero-based ranks: both neighbours of p * (n - 1)
     bounds = F.array(
         *[
@@ -147,8 +152,8 @@ def exact_quantiles(
                 F.lit(i).alias("q"),
                 (F.col("n_") - 1).alias("last"),
                 ((F.col("n_") - 1) * F.lit(float(p))).alias("at"),
-                F.col("s_")[2 * i].alias("lo"),
-                F.col("s_")[2 * i + 1].alias("hi"),
+                F.when(small, F.col("min_")).otherwise(F.col("s_")[2 * i]).alias("lo"),
+                F.when(small, F.col("max_")).otherwise(F.col("s_")[2 * i + 1]).alias("hi"),
             )
             for i, p in enumerate(probs)
         ]
