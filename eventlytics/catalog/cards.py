@@ -1 +1,107 @@
-"""Queries."""
+"""Contest scores, card selection, estimates and validity."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from eventlytics.catalog import views as v
+from eventlytics.catalog.registry import query
+from eventlytics.operators import cards, scale
+
+CANDIDATES = v.BOUTS + """, candidates AS (
+  SELECT strftime(event_date, '%Y-%m') AS card, fight_id, fighter1_name AS name1, fighter2_name AS name2,
+    CASE WHEN fight_id % 10 <> 0 THEN (fight_id % 101) / 101 END AS win_rate1, (fight_id % 89) / 89 AS win_rate2,
+    CASE WHEN fight_id % 9 <> 0 THEN CAST(fight_id % 31 AS INTEGER) END AS total_fights1,
+    CAST(fight_id % 23 AS INTEGER) AS total_fights2,
+    CASE WHEN fight_id % 8 <> 0 THEN (fight_id % 67) / 67 END AS finish_rate1, (fight_id % 71) / 71 AS finish_rate2,
+    weight_class, is_title_fight AS is_title FROM bouts),
+sided AS (SELECT *, coalesce(win_rate1, 0.5::DOUBLE) AS w1, coalesce(finish_rate1, 0.3::DOUBLE) AS f1,
+  coalesce(total_fights1, 0) AS n1 FROM candidates),
+scored AS (SELECT *, (w1 + win_rate2) * 0.2::DOUBLE
+    + (least(n1 / 20, 1.0::DOUBLE) + least(total_fights2 / 20, 1.0::DOUBLE)) * 0.15::DOUBLE
+    + (f1 + finish_rate2) * 0.15::DOUBLE + CASE WHEN is_title THEN 0.3::DOUBLE ELSE 0.0::DOUBLE END
+    + (1 - abs(w1 - win_rate2)) * 0.1::DOUBLE + 0.1::DOUBLE AS score FROM sided)"""
+
+
+def candidates(spark, sf):
+    """Contests of a month compete for places on that month's card."""
+    key = F.col("fight_id")
+    return v.bouts(spark, sf).select(
+        F.date_format("event_date", "yyyy-MM").alias("card"), "fight_id",
+        F.col("fighter1_name").alias("name1"), F.col("fighter2_name").alias("name2"),
+        F.when(key % 10 != 0, key % 101 / 101).alias("win_rate1"), (key % 89 / 89).alias("win_rate2"),
+        F.when(key % 9 != 0, (key % 31).cast("int")).alias("total_fights1"),
+        (key % 23).cast("int").alias("total_fights2"),
+        F.when(key % 8 != 0, key % 67 / 67).alias("finish_rate1"), (key % 71 / 71).alias("finish_rate2"),
+        "weight_class", F.col("is_title_fight").alias("is_title"),
+    )
+
+
+@query("o1_contest_score", v.with_(CANDIDATES) + "SELECT card, fight_id, round(score, 6) AS score FROM scored")
+def contest_score(spark, sf):
+    return cards.score_candidates(candidates(spark, sf)).select(
+        "card", "fight_id", F.round("score", 6).alias("score")
+    )
+
+
+GREEDY = "WITH RECURSIVE " + CANDIDATES + """,
+ranked AS MATERIALIZED (SELECT card, fight_id, name1, name2, row_number() OVER (PARTITION BY card
+  ORDER BY score DESC, fight_id) AS rn FROM scored),
+walk AS (
+  SELECT DISTINCT card, 0::BIGINT AS rn, []::VARCHAR[] AS used, []::BIGINT[] AS picked FROM ranked
+  UNION ALL
+  SELECT w.card, r.rn,
+    CASE WHEN list_contains(used, name1) OR list_contains(used, name2) THEN used
+      ELSE list_concat(used, [name1, name2]) END,
+    CASE WHEN list_contains(used, name1) OR list_contains(used, name2) THEN picked
+      ELSE list_append(picked, fight_id) END
+  FROM walk w JOIN ranked r ON r.card = w.card AND r.rn = w.rn + 1 WHERE len(picked) < 14),
+chosen AS (SELECT card, unnest(arg_max(picked, rn)) AS fight_id FROM walk GROUP BY card)
+"""
+
+
+@query("o2_greedy_cards", GREEDY + "SELECT card, fight_id FROM chosen")
+def greedy_cards(spark, sf):
+    scored = scale.shared_checkpoint(cards.score_candidates(candidates(spark, sf)))
+    return cards.greedy_cards(scored).select("card", "fight_id")
+
+
+@query("o3_improved_cards")
+def improved_cards(spark, sf):
+    chosen, _ = cards.optimize_cards(candidates(spark, sf))
+    return chosen.select("card", "fight_id", "name1", "name2", F.round("score", 6).alias("score"))
+
+
+DOZEN = """, dozen AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY card ORDER BY score DESC, fight_id) AS rn
+  FROM scored) WHERE rn <= 12)"""
+
+
+def dozen(spark, sf):
+    """The twelve best contests of each month, repeats allowed."""
+    scored = cards.score_candidates(candidates(spark, sf))
+    return scale.keep_first_n(scored, ["card"], [F.desc("score"), "fight_id"], 12)
+
+
+@query(
+    "o4_card_estimate",
+    v.with_(CANDIDATES) + DOZEN + """SELECT card, num_fights, round(s, 6) AS sell_through,
+      CAST(floor(s * 20000) AS BIGINT) AS attendance
+    FROM (SELECT card, count(*) AS num_fights, greatest(0.5, least(1.0, 0.75 + least(sum(score) / 15, 0.25)
+      + sum(CAST(is_title AS INTEGER)) * 0.02)) AS s FROM dozen GROUP BY card)""",
+)
+def card_estimate(spark, sf):
+    chosen = dozen(spark, sf)
+    return cards.card_estimates(chosen, chosen).withColumn("sell_through", F.round("sell_through", 6))
+
+
+@query(
+    "o5_card_validity",
+    v.with_(CANDIDATES) + DOZEN + """SELECT card, num_fights, num_classes, has_repeat,
+      num_fights BETWEEN 10 AND 14 AND num_classes >= 3 AND NOT has_repeat AS is_valid
+    FROM (SELECT card, count(*) AS num_fights, count(DISTINCT weight_class) AS num_classes FROM dozen GROUP BY card)
+    JOIN (SELECT card, max(n) > 1 AS has_repeat FROM (SELECT card, name, count(*) AS n FROM (
+        SELECT card, name1 AS name FROM dozen UNION ALL SELECT card, name2 FROM dozen) GROUP BY ALL) GROUP BY card)
+      USING (card)""",
+)
+def card_validity(spark, sf):
+    return cards.card_validity(dozen(spark, sf))

@@ -1 +1,135 @@
-"""Queries."""
+"""Model training and validation on event features."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from eventlytics.catalog import scans
+from eventlytics.catalog import views as v
+from eventlytics.catalog.registry import query
+from eventlytics.functions import categories, dates
+from eventlytics.operators import history, learning, rollup
+from eventlytics.sources import files
+
+FEATURES = ("num_fights", "num_title_fights", "has_title", "day_of_week", "month", "is_saturday",
+            "days_since_last", "is_vegas", "is_usa", "is_ppv")
+# small settings: the queries show the flow, the defaults serve real training
+SMALL = {"gbt": {"maxDepth": 3, "maxIter": 4}, "rf": {"maxDepth": 4, "numTrees": 6}}
+
+
+def frame(spark, sf):
+    """Event features with the mean order value of the day as label."""
+    place, day = F.col("location"), F.col("event_date")
+    label = v.table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("event_date")).agg(
+        (F.avg("o_totalprice") / 500000).alias("sell_through")
+    )
+    events = rollup.attach(v.cards(spark, sf), [rollup.card_counts(v.bouts(spark, sf))])
+    out = history.days_since_previous(events.join(label, "event_date"))
+    return out.withColumns(
+        {
+            "year": F.year(day), "month": F.month(day), "day_of_week": dates.day_of_week(day),
+            "is_saturday": dates.is_saturday(day), "is_vegas": categories.is_vegas(categories.city(place)),
+            "is_usa": categories.is_usa(categories.country(place)), "is_ppv": categories.is_ppv(F.col("event_type")),
+        }
+    )
+
+
+def prepared(spark, sf):
+    df, features, _ = learning.prepare(frame(spark, sf), FEATURES, products=True)
+    return df, features
+
+
+@query(
+    "m1_assembled_vector",
+    """SELECT strftime(o_orderdate, '%Y-%m-%d') AS event_id, CAST(count(*) AS DOUBLE) AS first,
+      CAST(month(o_orderdate) AS DOUBLE) AS second FROM orders GROUP BY o_orderdate""",
+)
+def assembled_vector(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+
+    days = v.table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(
+        F.count("*").alias("n"), F.first(F.month("o_orderdate")).alias("month")
+    )
+    out = learning.assembler(["n", "month"]).transform(days)
+    values = out.select(F.col("day").cast("string").alias("event_id"), vector_to_array("features").alias("f"))
+    return values.select("event_id", F.get("f", 0).alias("first"), F.get("f", 1).alias("second"))
+
+
+@query(
+    "m2_temporal_split",
+    """SELECT o_orderkey, CASE WHEN year(o_orderdate) < 2000 THEN 'train' ELSE 'test' END AS part FROM orders""",
+)
+def temporal_split(spark, sf):
+    df = v.table(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"))
+    train, test = learning.split_by_year(df, 2000)
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test"))).drop("year")
+
+
+def _fitted(spark, sf, model):
+    df, features = prepared(spark, sf)
+    df = df.persist()
+    train, test = learning.split_by_year(df, 2000)
+    return learning.train(train, features, model, validate=False, **SMALL[model]), test, features, df
+
+
+@query("m3_boosted_trees")
+def boosted_trees(spark, sf):
+    model, test, _, _ = _fitted(spark, sf, "gbt")
+    return learning.evaluate(model, test)
+
+
+@query("m4_random_forest")
+def random_forest(spark, sf):
+    model, test, _, _ = _fitted(spark, sf, "rf")
+    return learning.evaluate(model, test)
+
+
+@query("m5_cross_validation")
+def cross_validation(spark, sf):
+    df, features = prepared(spark, sf)
+    train, test = learning.split_by_year(df, 2000)
+    small = {"maxDepth": [2, 3], "numTrees": [3, 5]}
+    model = learning.train(train, features, "rf", validate=True, grid=small, **SMALL["rf"])
+    return learning.evaluate(model, test)
+
+
+@query("m7_feature_importances")
+def feature_importances(spark, sf):
+    model, test, features, _ = _fitted(spark, sf, "rf")
+    return learning.importances(model, features, test)
+
+
+@query("t4_top_importances")
+def top_importances(spark, sf):
+    model, test, features, _ = _fitted(spark, sf, "rf")
+    return learning.importances(model, features, test).limit(9)
+
+
+@query("m8_predictions")
+def predictions(spark, sf):
+    model, test, _, _ = _fitted(spark, sf, "gbt")
+    return learning.predictions(model, test, ["event_name", "sell_through"])
+
+
+@query("s8_saved_model")
+def saved_model(spark, sf):
+    model, test, _, _ = _fitted(spark, sf, "rf")
+    path = scans.scratch(spark, "model")
+    files.save_model(model, path)
+    return learning.predictions(files.load_model(path), test, ["event_name", "sell_through"])
+
+
+@query("m9_rolling_years")
+def rolling_years(spark, sf):
+    df, features = prepared(spark, sf)
+    return learning.rolling(df.persist(), features, (1999, 2000, 2001), "gbt", **SMALL["gbt"])
+
+
+@query("m10_model_comparison")
+def model_comparison(spark, sf):
+    paths = {}
+    for name in ("gbt", "rf"):
+        model, test, features, _ = _fitted(spark, sf, name)
+        paths[name] = scans.scratch(spark, name)
+        files.write_metrics(learning.evaluate(model, test), paths[name], {"num_features": len(features)})
+    return learning.compare_runs(spark, paths)

@@ -1 +1,262 @@
-"""Queries."""
+"""Extraction from raw pages.
+
+Links come from the given pages. The given pages have no tables, so fact,
+schedule, statistics and odds pages are rendered by Spark from the other tables
+row by row, and the SQL states what must be read back from them.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from eventlytics.catalog import views as v
+from eventlytics.catalog.registry import query
+from eventlytics.operators import pages
+
+
+def text(name: str):
+    return F.col(name).cast("string")
+
+
+ANCHORS = r"""anchors AS (
+  SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 1)) AS href,
+    generate_subscripts(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 1), 1) AS i FROM pages),
+first AS (SELECT page_id, href, min(i) AS i FROM anchors WHERE starts_with(href, '{prefix}') GROUP BY ALL)"""
+
+
+@query(
+    "h2_links",
+    "WITH " + ANCHORS.replace("{prefix}", "") + """ SELECT page_id, href,
+      CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS pos FROM first""",
+)
+def links(spark, sf):
+    return pages.links(v.table(spark, sf, "pages"), shortest_text=0).select("page_id", "href", "pos")
+
+
+@query(
+    "h2_links_with_prefix",
+    "WITH " + ANCHORS.replace("{prefix}", "/") + """ SELECT page_id, href,
+      CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS pos FROM first""",
+)
+def links_with_prefix(spark, sf):
+    return pages.links(v.table(spark, sf, "pages"), "/", shortest_text=0).select("page_id", "href", "pos")
+
+
+@query(
+    "h1_page_facts",
+    """SELECT o_orderkey AS page_id, 'http://x.example/' || o_orderkey AS url,
+      CASE WHEN o_orderkey % 3 <> 0 THEN CAST(floor(o_totalprice) AS BIGINT) END AS attendance,
+      CASE WHEN o_orderkey % 4 <> 0 THEN o_totalprice END AS gate_revenue,
+      'Hall & ' || o_orderpriority AS venue, 'City ' || o_custkey AS location,
+      CAST(o_orderdate AS DATE) AS event_date,
+      CASE WHEN o_orderkey % 5 <> 0 THEN 1000 + o_custkey END AS ppv_buys
+    FROM orders WHERE o_orderkey % 12 <> 0""",
+)
+def page_facts(spark, sf):
+    key, cell = F.col("o_orderkey"), lambda h, d: F.concat(
+        F.lit(f'<tr><th scope="row">{h}</th>\n <td class="d">'), d, F.lit("</td></tr>")
+    )
+    day = F.when(key % 3 == 0, F.date_format("o_orderdate", "MMMM d, yyyy")).when(
+        key % 3 == 1, F.date_format("o_orderdate", "d MMMM yyyy")
+    ).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    rows = F.concat_ws(
+        "\n",
+        F.when(key % 3 != 0, cell("Total <i>attendance</i>", F.concat(F.format_number(F.floor("o_totalprice"), 0), F.lit("[2]")))),
+        F.when(key % 4 != 0, cell("Total gate", F.concat(F.lit("$"), F.format_number("o_totalprice", 2)))),
+        cell("Venue", F.concat(F.lit('<a href="/wiki/H">Hall &amp; '), "o_orderpriority", F.lit("</a>"))),
+        cell("City", F.concat(F.lit("City "), text("o_custkey"))),
+        cell("Date", F.concat(day, F.lit("[1]"))),
+        F.when(key % 5 != 0, cell("Buy rate", F.concat(F.lit("~"), text("o_custkey") + 1000))),
+    )
+    html = F.concat(F.lit('<html><body><table class="infobox">'), rows, F.lit("</table></body></html>"))
+    made = v.table(spark, sf, "orders").select(
+        key.alias("page_id"), F.concat(F.lit("http://x.example/"), text("o_orderkey")).alias("url"), html.alias("html")
+    )
+    return pages.facts(made)
+
+
+@query(
+    "h3_schedule_records",
+    """SELECT n_regionkey AS page_id, CAST(row_number() OVER w - 1 AS INTEGER) AS pos, c_name AS event,
+      'http://x.example/event-details/' || c_custkey AS link, c_mktsegment AS date, 'Nation ' || n_nationkey AS location
+    FROM customer JOIN nation ON c_nationkey = n_nationkey
+    WINDOW w AS (PARTITION BY n_regionkey ORDER BY c_custkey)""",
+)
+def schedule_records(spark, sf):
+    row = F.concat(
+        F.lit('<tr><td><i><a class="b-link b-link_style_black" href="http://x.example/event-details/'),
+        text("c_custkey"), F.lit('">\n  '), "c_name", F.lit('\n</a><span class="b-statistics__date">\n '), "c_mktsegment",
+        F.lit('</span></i></td><td class="b-place">\n Nation '), text("n_nationkey"), F.lit("</td></tr>"),
+    )
+    upcoming = '<tr><td><span class="b-statistics__date">soon</span></td><td class="b-place">later</td></tr>'
+    customers, nations = v.table(spark, sf, "customer"), v.table(spark, sf, "nation")
+    made = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).groupBy(
+        F.col("n_regionkey").alias("page_id")
+    ).agg(F.sort_array(F.collect_list(F.struct("c_custkey", row.alias("r")))).alias("rows"))
+    html = F.concat(F.lit(upcoming), F.array_join(F.transform("rows", lambda r: r["r"]), ""))
+    return pages.schedule_records(
+        made.withColumn("html", html), "b-link b-link_style_black", "b-statistics__date", "b-place"
+    )
+
+
+@query(
+    "r4_chunks_of_three",
+    """SELECT s_nationkey AS page_id, CAST(row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS INTEGER) AS pos,
+      s_name AS first, CAST(s_suppkey AS VARCHAR) AS last, '' AS nickname FROM supplier""",
+)
+def chunks_of_three(spark, sf):
+    link = '<a class="b-link b-link_style_black" href="/f">'
+    row = F.concat(
+        F.lit(link), "s_name", F.lit("</a>" + link), text("s_suppkey"), F.lit("</a>" + link + " </a>")
+    )
+    made = v.table(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("page_id")).agg(
+        F.sort_array(F.collect_list(F.struct("s_suppkey", row.alias("r")))).alias("rows")
+    )
+    html = F.array_join(F.transform("rows", lambda r: r["r"]), "")
+    flat = pages.tag_texts(F.col("html"), "a", "b-link b-link_style_black")
+    return pages.chunk_records(made.withColumn("html", html), flat, ["first", "last", "nickname"])
+
+
+# -- statistics sheets: both sides' cells in turn ---------------------------
+
+ROUNDS = 3
+
+
+def _sheets(spark, sf):
+    """Per order a flat list: totals (summary, rounds), then strikes the same."""
+    key = F.col("o_orderkey")
+    rounds = (1 + key % ROUNDS).cast("int")
+
+    def segment(side: str, kind: str, columns, r):
+        values = [
+            F.concat(
+                F.lit(f"{side}{c}" if c in pages.TOTALS and c in pages.STRIKES else f"{side}{kind}{c}"),
+                r.cast("string"),
+                # a sheet whose halves disagree loses the round
+                F.when((key % 11 == 0) & (r == 1), kind).otherwise("") if c == "sig_str" else F.lit(""),
+            )
+            for c in columns
+        ]
+        return F.array(F.concat(F.lit(side), key.cast("string")), *values)
+
+    def side_cells(side: str):
+        at = F.sequence(F.lit(0), rounds)
+        return F.flatten(F.concat(
+            F.transform(at, lambda r: segment(side, "t", pages.TOTALS, r)),
+            F.transform(at, lambda r: segment(side, "s", pages.STRIKES, r)),
+        ))
+
+    both = F.zip_with(side_cells("A"), side_cells("B"), lambda a, b: F.array(a, b))
+    return v.table(spark, sf, "orders").select("o_orderkey", F.flatten(both).alias("cells"))
+
+
+_SHARED = [c for c in pages.STRIKES if c in pages.TOTALS]
+SHEETS = f"""WITH rounds AS (SELECT o_orderkey, side, r FROM orders, (VALUES ('A'), ('B')) AS s(side),
+    range(1, {ROUNDS + 1}) AS t(r) WHERE r <= 1 + o_orderkey % {ROUNDS} AND NOT (o_orderkey % 11 = 0 AND r = 1))
+  SELECT o_orderkey, 'Round ' || r AS round, side || o_orderkey AS fighter, """ + ", ".join(
+    [f"side || '{c if c in _SHARED else 't' + c}' || r AS {c}" for c in pages.TOTALS]
+    + [f"side || 's{c}' || r AS {c}" for c in pages.STRIKES if c not in _SHARED]
+) + " FROM rounds"
+
+
+@query("h4_round_stats", SHEETS)
+def round_stats(spark, sf):
+    return pages.side_stats(_sheets(spark, sf), "cells", ["o_orderkey"])
+
+
+@query(
+    "r3_deinterleaved_sides",
+    f"""SELECT o_orderkey, 'A' || o_orderkey AS first_a, 'B' || o_orderkey AS first_b,
+      CAST((2 + o_orderkey % {ROUNDS}) * {len(pages.TOTALS) + len(pages.STRIKES) + 2} AS INTEGER) AS cells FROM orders""",
+)
+def deinterleaved_sides(spark, sf):
+    a, b = (pages.alternate(F.col("cells"), i) for i in (0, 1))
+    return _sheets(spark, sf).select(
+        "o_orderkey", F.get(a, 0).alias("first_a"), F.get(b, 0).alias("first_b"), F.size(a).alias("cells")
+    )
+
+
+@query(
+    "w7_marker_segments",
+    f"""SELECT o_orderkey, CAST(2 * (2 + o_orderkey % {ROUNDS}) AS INTEGER) AS segments,
+      {len(pages.TOTALS) + 1} AS first_length, {len(pages.STRIKES) + 1} AS last_length FROM orders""",
+)
+def marker_segments(spark, sf):
+    sheets = _sheets(spark, sf).select("o_orderkey", pages.alternate(F.col("cells"), 0).alias("a"))
+    return pages.segments(sheets, "a", "s").select(
+        "o_orderkey", F.size("s").alias("segments"), F.size(F.get("s", 0)).alias("first_length"),
+        F.size(F.try_element_at("s", F.lit(-1))).alias("last_length"),
+    )
+
+
+@query(
+    "h5_result_record",
+    """SELECT o_orderkey, 'Event ' || o_custkey AS event, 'A' || o_orderkey || ' vs. B' || o_custkey AS bout,
+      'W/L' AS outcome, o_orderpriority || ' Bout' AS weightclass, 'Decision: Split' AS method,
+      CAST(1 + o_orderkey % 5 AS VARCHAR) AS round, '4:51' AS time, '3 Rnd (5-5-5)' AS time_format, 'R. ' || o_orderstatus AS referee,
+      'x 45 - 49.' AS details, 'http://x.example/fight-details/' || o_orderkey AS url FROM orders""",
+)
+def result_record(spark, sf):
+    key, lit = text("o_orderkey"), F.lit
+    texts = F.array(
+        F.concat(lit("\n    Event "), text("o_custkey"), lit("\n")), F.concat(lit("A"), key),
+        F.concat(lit("B"), text("o_custkey")), lit("\n  W  \n"), lit("\n  L  \n"),
+        F.concat(lit("\n    "), "o_orderpriority", lit(" Bout\n")), lit("Method: Decision: Split"),
+        F.concat(lit("Round:\n  "), (1 + F.col("o_orderkey") % 5).cast("string")), lit("Time: 4:51"),
+        lit("Time format: 3 Rnd (5-5-5)"), F.concat(lit("Referee: R. "), "o_orderstatus"),
+        lit("Details: x 45 - 49."), F.concat(lit("URL:http://x.example/fight-details/"), key),
+    )
+    lists = v.table(spark, sf, "orders").select("o_orderkey", texts.alias("texts"))
+    return pages.result_record(lists, "texts", ["o_orderkey"])
+
+
+@query(
+    "h5_tape_record",
+    """SELECT c_custkey, c_name AS fighter, (4 + c_custkey % 3) || ''' ' || (c_custkey % 12) || '"' AS height,
+      (115 + c_custkey % 150) || ' lbs.' AS weight, '--' AS reach, c_mktsegment AS stance, 'Jul 03, 1983' AS dob
+    FROM customer""",
+)
+def tape_record(spark, sf):
+    key, lit = F.col("c_custkey"), F.lit
+    texts = F.array(
+        F.concat(lit("Fighter:\n    "), "c_name", lit("\n")),
+        F.concat(lit("Height:"), (4 + key % 3).cast("string"), lit("' "), (key % 12).cast("string"), lit('"')),
+        F.concat(lit("Weight: "), (115 + key % 150).cast("string"), lit(" lbs.")), lit("Reach:--"),
+        F.concat(lit("STANCE: "), "c_mktsegment"), lit("DOB:Jul 03, 1983"),
+    )
+    lists = v.table(spark, sf, "customer").select("c_custkey", texts.alias("texts"))
+    return pages.tape_record(lists, "texts", ["c_custkey"])
+
+
+@query(
+    "h6_odds_records",
+    """SELECT o_orderkey AS page_id, CAST(0 AS INTEGER) AS pos, 'Card Number ' || o_orderkey AS event_name,
+      'A ' || o_custkey AS fighter1_name, 'B & ' || o_orderpriority AS fighter2_name,
+      CAST(CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE 100 + o_orderkey % 300 END AS INTEGER) AS fighter1_odds,
+      CAST(CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE -(101 + o_orderkey % 200) END AS INTEGER) AS fighter2_odds,
+      round(CASE WHEN o_orderkey % 7 = 0 THEN 0.5 ELSE 100 / (200 + o_orderkey % 300) END, 6) AS fighter1_implied_prob,
+      round(CASE WHEN o_orderkey % 7 = 0 THEN 0.5 ELSE (101 + o_orderkey % 200) / (201 + o_orderkey % 200) END, 6)
+        AS fighter2_implied_prob
+    FROM orders WHERE o_orderkey % 13 <> 0""",
+)
+def odds_records(spark, sf):
+    key, lit = F.col("o_orderkey"), F.lit
+
+    def row(name, line):
+        return F.concat(
+            lit('<tr class="r"><th scope="row" class="oppcell"><a href="/x">'), name,
+            lit('</a></th><td class="odds">'), line, lit('</td><td class="odds">-110</td></tr>'),
+        )
+
+    one = F.when(key % 7 == 0, "n/a").otherwise(F.concat(lit("+"), (100 + key % 300).cast("string")))
+    second = row(F.concat(lit("B &amp; "), "o_orderpriority"), (-(101 + key % 200)).cast("string"))
+    html = F.concat(
+        lit('<table class="odds-table">'), row(F.concat(lit("A "), text("o_custkey")), one),
+        F.when(key % 13 == 0, "").otherwise(second), lit("</table>"),
+    )
+    made = v.table(spark, sf, "orders").select(
+        key.alias("page_id"), F.concat(lit("http://x.example/events/card-number-"), text("o_orderkey")).alias("url"),
+        html.alias("html"),
+    )
+    probs = ("fighter1_implied_prob", "fighter2_implied_prob")
+    return pages.odds_records(made).withColumns({p: F.round(p, 6) for p in probs})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -10,11 +10,12 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlytics.functions.frames import interactions, pick_features
 from eventlytics.operators.profile import regression_metrics
+from eventlytics.sources import files
 
 # Feature lists, products, model settings and grids.
 BASE_FEATURES = (
@@ -118,6 +119,7 @@ def train(
     validate: bool = True,
     label: str = LABEL,
     parallelism: int = 4,
+    grid: dict | None = None,
     **overrides,
 ) -> PipelineModel:
     """Fit a pipeline, by 3-fold grid search unless the data are too few."""
@@ -130,12 +132,12 @@ def train(
     data = df.select(*features, label).persist()
     try:
         if validate and data.count() >= TOO_FEW_TO_VALIDATE:
-            grid = ParamGridBuilder()
-            for name, values in spec.grid.items():
-                grid = grid.addGrid(getattr(estimator, name), values)
+            choices = ParamGridBuilder()
+            for name, values in (grid or spec.grid).items():
+                choices = choices.addGrid(getattr(estimator, name), values)
             search = CrossValidator(
                 estimator=flow,
-                estimatorParamMaps=grid.build(),
+                estimatorParamMaps=choices.build(),
                 evaluator=RegressionEvaluator(labelCol=label, predictionCol=PREDICTION, metricName="rmse"),
                 numFolds=FOLDS,
                 seed=SEED,
@@ -180,3 +182,12 @@ def rolling(
         row = evaluate(fitted, test_df).withColumn("test_year", F.lit(year))
         out = row if out is None else out.unionByName(row)
     return out
+
+
+def compare_runs(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """(run, r2, rmse, mae) of saved metrics."""
+    out = None
+    for run, path in paths.items():
+        row = files.read_json(spark, path, "r2 double, rmse double, mae double").withColumn("run", F.lit(run))
+        out = row if out is None else out.unionByName(row)
+    return out.select("run", "r2", "rmse", "mae")

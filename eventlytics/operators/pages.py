@@ -123,15 +123,18 @@ def facts(pages: DataFrame) -> DataFrame:
     raw = pages.select("page_id", "url", rows.alias("rows")).select(
         "page_id", "url", *[cell(i).alias(name) for i, (name, _) in enumerate(FACTS)]
     )
-    out = raw.select(
-        "page_id", "url",
+    typed = F.struct(
         parse_count(F.col("attendance")).alias("attendance"),
         parse_money(F.col("gate")).alias("gate_revenue"),
-        "venue", "location",
+        "venue",
+        "location",
         parse_page_date(F.col("date")).alias("event_date"),
         parse_count(F.col("buys")).alias("ppv_buys"),
     )
-    return out.filter(F.coalesce("attendance", "gate_revenue").isNotNull())
+    # none or one record per page; a filter would be pushed under the parsing
+    # and run all of it twice
+    wanted = F.filter(F.array(typed), lambda r: F.coalesce(r["attendance"], r["gate_revenue"]).isNotNull())
+    return raw.select("page_id", "url", F.explode(wanted).alias("r")).select("page_id", "url", "r.*")
 
 
 def zip_records(
@@ -186,18 +189,24 @@ def alternate(cells: Column, side: int) -> Column:
     return F.filter(cells, lambda x, i: i % 2 == side)
 
 
-def segments(flat: Column) -> Column:
-    """Split a list into segments that each start with its first value."""
-    first = F.try_element_at(flat, F.lit(1))
-    # positions of the marker; neighbouring markers open one segment only
-    starts = F.filter(
-        F.transform(flat, lambda x, i: F.when(
-            (x == first) & ((i == 0) | (F.get(flat, i - 1) != first)), i + 1
-        )),
-        lambda p: p.isNotNull(),
+def segments(df: DataFrame, flat: str, out: str = "segments") -> DataFrame:
+    """Split a list column into segments that each start with its first value.
+
+    Neighbouring repeats of the first value open one segment only. The start
+    positions are a column of their own, so they are found once per row.
+    """
+    at = F.col(flat)
+    first = F.try_element_at(at, F.lit(1))
+    opens = F.transform(
+        at, lambda x, i: F.when((x == first) & ((i == 0) | (F.get(at, i - 1) != first)), i + 1)
+    )
+    starts = F.col("starts_")
+    ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(at) + 1))
+    return (
+        df.withColumn("starts_", F.filter(opens, lambda p: p.isNotNull()))
+        .withColumn(out, F.zip_with(starts, ends, lambda a, b: F.slice(at, a, b - a)))
+        .drop("starts_")
     )
-    ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(flat) + 1))
-    return F.zip_with(starts, ends, lambda a, b: F.slice(flat, a, b - a))
 
 
 def round_stats(sheets: DataFrame, stats: str, keep: Sequence[str]) -> DataFrame:
@@ -207,26 +216,23 @@ def round_stats(sheets: DataFrame, stats: str, keep: Sequence[str]) -> DataFrame
     of strikes. Summaries are dropped; totals and strikes of a round are put
     side by side where the columns both have agree.
     """
-    parts = sheets.select(*keep, segments(F.col(stats)).alias("seg_"))
+    parts = segments(sheets.select(*keep, stats), stats, "seg_")
     rounds = F.greatest(F.floor((F.size("seg_") - 2) / 2), F.lit(0)).cast("int")
     half = F.floor(F.size("seg_") / 2).cast("int")
-    numbered = F.when(rounds > 0, F.sequence(F.lit(1), rounds)).otherwise(F.array().cast("array<int>"))
-    pairs = F.transform(
-        numbered,
-        lambda r: F.struct(
-            r.alias("number"),
-            F.get("seg_", r).alias("t"),
-            F.get("seg_", r + half).alias("s"),
-        ),
+    # the n-th round of totals beside the n-th round of strikes
+    pairs = F.arrays_zip(
+        F.slice("seg_", 2, rounds).alias("t"), F.slice("seg_", half + 2, rounds).alias("s")
+    )
+    rows = parts.select(*keep, F.posexplode(pairs).alias("at_", "p")).select(
+        *keep, "at_", F.col("p")["0"].alias("t"), F.col("p")["1"].alias("s")
     )
-    rows = parts.select(*keep, F.explode(pairs).alias("p")).select(*keep, "p.*")
     shared = [c for c in STRIKES if c in TOTALS]
     agree = F.get("t", 0).eqNullSafe(F.get("s", 0))
     for c in shared:
         agree = agree & F.get("t", 1 + TOTALS.index(c)).eqNullSafe(F.get("s", 1 + STRIKES.index(c)))
     return rows.filter(agree).select(
         *keep,
-        F.concat(F.lit("Round "), F.col("number")).alias("round"),
+        F.concat(F.lit("Round "), (F.col("at_") + 1).cast("string")).alias("round"),
         F.get("t", 0).alias("fighter"),
         *[F.get("t", i + 1).alias(c) for i, c in enumerate(TOTALS)],
         *[F.get("s", i + 1).alias(c) for i, c in enumerate(STRIKES) if c not in shared],
