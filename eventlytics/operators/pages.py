@@ -224,7 +224,7 @@ def round_stats(sheets: DataFrame, stats: str, keep: Sequence[str]) -> DataFrame
         F.slice("seg_", 2, rounds).alias("t"), F.slice("seg_", half + 2, rounds).alias("s")
     )
     rows = parts.select(*keep, F.posexplode(pairs).alias("at_", "p")).select(
-        *keep, "at_", F.col("p")["0"].alias("t"), F.col("p")["1"].alias("s")
+        *keep, "at_", F.col("p.t").alias("t"), F.col("p.s").alias("s")
     )
     shared = [c for c in STRIKES if c in TOTALS]
     agree = F.get("t", 0).eqNullSafe(F.get("s", 0))
