@@ -190,20 +190,29 @@ def _titles(members: str) -> Column:
 
 def _first_swaps(scored: DataFrame, state: DataFrame, classes: int) -> DataFrame:
     """(card, n): the newcomer of the first improving swap, with its position."""
-    pairs = scored.join(state, "card").filter(
-        ~F.exists("ms", lambda m: m["fight_id"] == F.col("fight_id"))
+    held = state.withColumns(
+        {"ids": F.col("ms.fight_id"), "names1": F.col("ms.name1"), "names2": F.col("ms.name2")}
     )
-    # at most one member may be in the way, or the newcomer fits at no position
-    clash = F.filter(
-        "ms",
-        lambda m: F.arrays_overlap(
-            F.array(m["name1"], m["name2"]), F.array(F.col("name1"), F.col("name2"))
-        ),
+    pairs = scored.join(held, "card").filter(~F.array_contains("ids", F.col("fight_id")))
+
+    def place(name: str) -> Column:
+        """1-based position of the contest a name is in, 0 if it is on none."""
+        return F.greatest(*[F.array_position(side, F.col(name)) for side in ("names1", "names2")])
+
+    # a newcomer may only replace the one contest that holds its names
+    one, two = F.col("at1"), F.col("at2")
+    everywhere = F.sequence(F.lit(1), F.size("ms"))
+    spots = (
+        F.when((one == 0) & (two == 0), everywhere)
+        .when((one == 0) | (two == 0) | (one == two), F.array(F.greatest(one, two).cast("int")))
     )
-    tried = pairs.withColumn("clash", clash).filter(F.size("clash") <= 1).withColumn(
-        "out", F.explode(F.when(F.size("clash") == 1, F.col("clash")).otherwise(F.col("ms")))
+    tried = pairs.withColumns({"at1": place("name1"), "at2": place("name2")}).withColumn(
+        "spot", F.explode(spots)
+    )
+    spot = F.col("spot")
+    tried = tried.withColumn("out", F.element_at("ms", spot)).withColumn(
+        "rest", F.concat(F.slice("ms", 1, spot - 1), F.slice("ms", spot + 1, F.size("ms")))
     )
-    tried = tried.withColumn("rest", F.filter("ms", lambda m: m["pos"] != F.col("out.pos")))
     rest_classes = F.transform("rest", lambda m: m["weight_class"])
     tried = tried.withColumn("rest_classes", F.array_distinct(rest_classes))
     is_new = ~F.array_contains("rest_classes", F.col("weight_class"))

@@ -205,6 +205,7 @@ def segments(df: DataFrame, flat: str, out: str = "segments") -> DataFrame:
     return (
         df.withColumn("starts_", F.filter(opens, lambda p: p.isNotNull()))
         .withColumn(out, F.zip_with(starts, ends, lambda a, b: F.slice(at, a, b - a)))
+        .withColumn(out, F.slice(out, 1, F.size("starts_")))
         .drop("starts_")
     )
 

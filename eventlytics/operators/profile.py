@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlytics.functions.categories import stability_class
@@ -116,9 +116,20 @@ def box(df: DataFrame, category: str, value: str) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(a, b, r) for every unordered pair, one pass over the rows."""
+    """(a, b, r) for every unordered pair, one pass over the rows.
+
+    Each pair uses the rows that know both values; a constant column gives NULL.
+    The deviations of columns without NULL are shared by all their pairs.
+    """
     pairs = list(combinations_with_replacement(columns, 2))
-    wide = df.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+
+    def spread(a: str, b: str) -> Column:
+        return F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a)))
+
+    def r(a: str, b: str) -> Column:
+        return F.try_divide(F.covar_pop(a, b), spread(a, b) * spread(b, a))
+
+    wide = df.agg(*[r(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     as_rows = F.array(
         *[
             F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
