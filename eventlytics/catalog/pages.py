@@ -30,7 +30,7 @@ first AS (SELECT page_id, href, min(i) AS i FROM anchors WHERE starts_with(href,
       CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS pos FROM first""",
 )
 def links(spark, sf):
-    return pages.links(v.table(spark, sf, "pages"), shortest_text=0).select("page_id", "href", "pos")
+    return pages.links(v.spread_table(spark, sf, "pages"), shortest_text=0).select("page_id", "href", "pos")
 
 
 @query(
@@ -39,7 +39,7 @@ def links(spark, sf):
       CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS pos FROM first""",
 )
 def links_with_prefix(spark, sf):
-    return pages.links(v.table(spark, sf, "pages"), "/", shortest_text=0).select("page_id", "href", "pos")
+    return pages.links(v.spread_table(spark, sf, "pages"), "/", shortest_text=0).select("page_id", "href", "pos")
 
 
 @query(
@@ -69,7 +69,7 @@ def page_facts(spark, sf):
         F.when(key % 5 != 0, cell("Buy rate", F.concat(F.lit("~"), text("o_custkey") + 1000))),
     )
     html = F.concat(F.lit('<html><body><table class="infobox">'), rows, F.lit("</table></body></html>"))
-    made = v.table(spark, sf, "orders").select(
+    made = v.spread_table(spark, sf, "orders").select(
         key.alias("page_id"), F.concat(F.lit("http://x.example/"), text("o_orderkey")).alias("url"), html.alias("html")
     )
     return pages.facts(made)
@@ -122,32 +122,36 @@ def chunks_of_three(spark, sf):
 ROUNDS = 3
 
 
+def _template(rounds: int, mismatch: bool) -> str:
+    """Cells of a sheet joined by ``|``, with ``@`` for the order key."""
+
+    def segment(side: str, kind: str, columns, r: int) -> list[str]:
+        out = [f"{side}@"]
+        for c in columns:
+            shared = c in pages.TOTALS and c in pages.STRIKES
+            # a sheet whose halves disagree loses the round
+            odd = kind if mismatch and r == 1 and c == "sig_str" else ""
+            out.append(f"{side}{'' if shared else kind}{c}{r}{odd}")
+        return out
+
+    def cells(side: str) -> list[str]:
+        halves = (("t", pages.TOTALS), ("s", pages.STRIKES))
+        return [x for k, cols in halves for r in range(rounds + 1) for x in segment(side, k, cols, r)]
+
+    return "|".join(x for pair in zip(cells("A"), cells("B")) for x in pair)
+
+
 def _sheets(spark, sf):
     """Per order a flat list: totals (summary, rounds), then strikes the same."""
     key = F.col("o_orderkey")
-    rounds = (1 + key % ROUNDS).cast("int")
-
-    def segment(side: str, kind: str, columns, r):
-        values = [
-            F.concat(
-                F.lit(f"{side}{c}" if c in pages.TOTALS and c in pages.STRIKES else f"{side}{kind}{c}"),
-                r.cast("string"),
-                # a sheet whose halves disagree loses the round
-                F.when((key % 11 == 0) & (r == 1), kind).otherwise("") if c == "sig_str" else F.lit(""),
-            )
-            for c in columns
-        ]
-        return F.array(F.concat(F.lit(side), key.cast("string")), *values)
-
-    def side_cells(side: str):
-        at = F.sequence(F.lit(0), rounds)
-        return F.flatten(F.concat(
-            F.transform(at, lambda r: segment(side, "t", pages.TOTALS, r)),
-            F.transform(at, lambda r: segment(side, "s", pages.STRIKES, r)),
-        ))
-
-    both = F.zip_with(side_cells("A"), side_cells("B"), lambda a, b: F.array(a, b))
-    return v.table(spark, sf, "orders").select("o_orderkey", F.flatten(both).alias("cells"))
+    sheet = None
+    for mismatch in (True, False):
+        for rounds in range(1, ROUNDS + 1):
+            hit = ((key % 11 == 0) == F.lit(mismatch)) & (key % ROUNDS == rounds - 1)
+            text_ = F.lit(_template(rounds, mismatch))
+            sheet = F.when(hit, text_) if sheet is None else sheet.when(hit, text_)
+    filled = F.replace(sheet, F.lit("@"), text("o_orderkey"))
+    return v.spread_table(spark, sf, "orders").select("o_orderkey", F.split(filled, "[|]").alias("cells"))
 
 
 _SHARED = [c for c in pages.STRIKES if c in pages.TOTALS]
@@ -206,7 +210,7 @@ def result_record(spark, sf):
         lit("Time format: 3 Rnd (5-5-5)"), F.concat(lit("Referee: R. "), "o_orderstatus"),
         lit("Details: x 45 - 49."), F.concat(lit("URL:http://x.example/fight-details/"), key),
     )
-    lists = v.table(spark, sf, "orders").select("o_orderkey", texts.alias("texts"))
+    lists = v.spread_table(spark, sf, "orders").select("o_orderkey", texts.alias("texts"))
     return pages.result_record(lists, "texts", ["o_orderkey"])
 
 
@@ -254,7 +258,7 @@ def odds_records(spark, sf):
         lit('<table class="odds-table">'), row(F.concat(lit("A "), text("o_custkey")), one),
         F.when(key % 13 == 0, "").otherwise(second), lit("</table>"),
     )
-    made = v.table(spark, sf, "orders").select(
+    made = v.spread_table(spark, sf, "orders").select(
         key.alias("page_id"), F.concat(lit("http://x.example/events/card-number-"), text("o_orderkey")).alias("url"),
         html.alias("html"),
     )

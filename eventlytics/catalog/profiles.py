@@ -78,7 +78,7 @@ def _pairs(names) -> str:
 
 @query("a14_correlations", _pairs(MEASURES))
 def correlations(spark, sf):
-    return profile.correlations(v.table(spark, sf, "lineitem"), MEASURES).withColumn("r", F.round("r", 6))
+    return profile.correlations(v.spread_table(spark, sf, "lineitem"), MEASURES).withColumn("r", F.round("r", 6))
 
 
 @query(
@@ -88,7 +88,7 @@ def correlations(spark, sf):
     SELECT a, b, r FROM pairs WHERE a IN (SELECT name FROM names) AND b IN (SELECT name FROM names)""",
 )
 def top_correlations(spark, sf):
-    out = profile.top_correlations(v.table(spark, sf, "lineitem"), "l_extendedprice", MEASURES, 3)
+    out = profile.top_correlations(v.spread_table(spark, sf, "lineitem"), "l_extendedprice", MEASURES, 3)
     return out.withColumn("r", F.round("r", 6))
 
 

@@ -43,7 +43,7 @@ def scored(df, column="text"):
     DOCUMENTS + "SELECT doc_id, round(polarity, 6) AS polarity, round(subjectivity, 6) AS subjectivity FROM scored",
 )
 def lexicon_sentiment(spark, sf):
-    out = scored(v.table(spark, sf, "documents"))
+    out = scored(v.spread_table(spark, sf, "documents"))
     return out.select("doc_id", F.round("polarity", 6).alias("polarity"), F.round("subjectivity", 6).alias("subjectivity"))
 
 
@@ -52,7 +52,7 @@ def lexicon_sentiment(spark, sf):
     TURNS + """SELECT conv_id, turn, round(polarity, 6) AS polarity, round(subjectivity, 6) AS subjectivity FROM scored""",
 )
 def lexicon_sentiment_turns(spark, sf):
-    out = scored(v.table(spark, sf, "conversations"))
+    out = scored(v.spread_table(spark, sf, "conversations"))
     return out.select(
         "conv_id", "turn", F.round("polarity", 6).alias("polarity"), F.round("subjectivity", 6).alias("subjectivity")
     )
@@ -69,7 +69,7 @@ ROUNDED = (
 
 
 def comments(spark, sf):
-    df = v.table(spark, sf, "documents").select(
+    df = v.spread_table(spark, sf, "documents").select(
         F.col("source").alias("event_name"), F.col("n_chars").alias("score"), F.col("text").alias("comment_text")
     )
     return scored(df, "comment_text")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlytics.operators.scale import spread
 from eventlytics.sources.files import read_parquet
 
 
@@ -16,6 +17,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table for heavy per-row work: a file of few splits is spread out."""
+    return spread(table(spark, sf, name))
+
+
 def supplier_name(key: str | Column) -> Column:
     return F.concat(F.lit("Supplier#"), F.lpad(F.col(key).cast("string") if isinstance(key, str) else key, 9, "0"))
 

@@ -31,10 +31,18 @@ def decimal_to_probability(odds: Column) -> Column:
     return F.when(odds <= 0, 0.0).otherwise(1 / odds)
 
 
+def _line(c: Column) -> Column:
+    return F.replace(F.trim(c), F.lit("+"), F.lit("")).try_cast("int")
+
+
+def is_line(c: Column) -> Column:
+    """Whether a text reads as an American line."""
+    return _line(c).isNotNull()
+
+
 def parse_line(c: Column) -> Column:
     """``+150`` / ``-200`` as integer; unreadable lines become 0."""
-    bare = F.replace(F.trim(c), F.lit("+"), F.lit(""))
-    return F.coalesce(bare.try_cast("int"), F.lit(0))
+    return F.coalesce(_line(c), F.lit(0))
 
 
 def line_movement(df: DataFrame) -> DataFrame:

@@ -2,9 +2,9 @@
 
 A graph is two frames: ``vertices(id, …)`` and directed ``edges(src, dst, …)``
 with each (src, dst) once. Edges stay where they are: they are laid out once by
-(src, salt), and only the much smaller vertex state moves in each round. A
+source, and only the much smaller vertex state moves in each round. A
 vertex with very many edges gets several salts, so its edges fill several
-partitions; its state row is repeated once per salt. Messages are combined
+partitions and its state row is repeated once per salt. Messages are combined
 before the shuffle. State is checkpointed to the shared folder.
 """
 
@@ -59,33 +59,48 @@ def build_graph(
 
 # -- layout for iteration ---------------------------------------------------
 
-def _salted(edges: DataFrame, salt_edges: int) -> tuple[DataFrame, DataFrame]:
-    """(edges laid out by (src, salt_) and kept, degrees(id, out_, salts_))."""
-    pairs = edges.select("src", "dst")
-    degrees = pairs.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("out_")).withColumn(
-        "salts_", F.ceil(F.col("out_") / salt_edges).cast("int")
-    )
-    degrees = shared_checkpoint(degrees)
-    salt = F.pmod(F.xxhash64("dst"), F.col("salts_")).cast("int")
-    laid = (
-        pairs.join(degrees.select(F.col("id").alias("src"), "salts_"), "src")
-        .select("src", "dst", salt.alias("salt_"))
-        .repartition(shuffle_width(edges.sparkSession), "src", "salt_")
-        .persist()
-    )
-    return laid, degrees
+class _Layout:
+    """Edges laid out for iteration, with the vertex columns that go with them.
 
+    ``start`` holds (id, out_, salts_) of every vertex, laid out by id. Edges are
+    laid out by src, or by (src, salt_) if some vertex has too many of them for
+    one partition. Without such vertices the state meets its edges where it is,
+    so a round shuffles nothing but the combined messages.
+    """
 
-def _send(state: DataFrame, laid: DataFrame) -> DataFrame:
-    """Vertex state along its out edges: one row per edge, keyed by ``dst``."""
-    copies = state.filter("salts_ > 0").withColumn(
-        "salt_", F.explode(F.sequence(F.lit(0), F.col("salts_") - 1))
-    )
-    return copies.withColumnRenamed("id", "src").join(laid, ["src", "salt_"])
+    def __init__(self, vertices: DataFrame, edges: DataFrame, salt_edges: int):
+        width = shuffle_width(edges.sparkSession)
+        pairs = edges.select("src", "dst")
+        degrees = shared_checkpoint(
+            pairs.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("out_")).withColumn(
+                "salts_", F.ceil(F.col("out_") / salt_edges).cast("int")
+            )
+        )
+        self.salted = not degrees.filter("salts_ > 1").isEmpty()
+        if self.salted:
+            salt = F.pmod(F.xxhash64("dst"), F.col("salts_")).cast("int")
+            pairs = pairs.join(degrees.select(F.col("id").alias("src"), "salts_"), "src").select(
+                "src", "dst", salt.alias("salt_")
+            )
+        self.on = ["src", "salt_"] if self.salted else ["src"]
+        self.edges = pairs.repartition(width, *self.on).persist()
+        self.start = (
+            vertices.select("id").join(degrees, "id", "left").fillna(0, ["out_", "salts_"])
+            .repartition(width, "id").persist()
+        )
 
+    def send(self, state: DataFrame) -> DataFrame:
+        """Vertex state along its out edges: one row per edge, keyed by ``dst``."""
+        moved = state.withColumnRenamed("id", "src")
+        if self.salted:
+            moved = moved.filter("salts_ > 0").withColumn(
+                "salt_", F.explode(F.sequence(F.lit(0), F.col("salts_") - 1))
+            )
+        return moved.join(self.edges, self.on)
 
-def _start(vertices: DataFrame, degrees: DataFrame) -> DataFrame:
-    return vertices.select("id").join(degrees, "id", "left").fillna(0, ["out_", "salts_"])
+    def release(self) -> None:
+        self.edges.unpersist()
+        self.start.unpersist()
 
 
 def pagerank(
@@ -95,19 +110,18 @@ def pagerank(
     """(id, pagerank_score): ``reset + (1 - reset) · Σ rank / out-degree``, all
     ranks 1 at the start, scaled at the end so that they sum to the vertex count.
     """
-    laid, degrees = _salted(edges, salt_edges)
-    fixed = shared_checkpoint(_start(vertices, degrees))
-    state = fixed.withColumn("rank_", F.lit(1.0))
+    layout = _Layout(vertices, edges, salt_edges)
+    state = layout.start.withColumn("rank_", F.lit(1.0))
     for i in range(1, rounds + 1):
-        sent = _send(state, laid).groupBy(F.col("dst").alias("id")).agg(
+        sent = layout.send(state).groupBy(F.col("dst").alias("id")).agg(
             F.sum(F.col("rank_") / F.col("out_")).alias("in_")
         )
-        state = fixed.join(sent, "id", "left").withColumn(
+        state = layout.start.join(sent, "id", "left").withColumn(
             "rank_", F.lit(reset) + F.lit(1 - reset) * F.coalesce("in_", F.lit(0.0))
         ).drop("in_")
         if i % CHECKPOINT_EVERY == 0 or i == rounds:
             state = shared_checkpoint(state)
-    laid.unpersist()
+    layout.release()
     scale = state.agg(F.count("*") / F.sum("rank_")).scalar()
     return state.select("id", (F.col("rank_") * scale).alias("pagerank_score"))
 
@@ -123,22 +137,21 @@ def label_propagation(
     both = edges.select("src", "dst").unionByName(
         edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
     )
-    laid, degrees = _salted(both, salt_edges)
-    fixed = shared_checkpoint(_start(vertices, degrees).select("id", "salts_"))
-    state = fixed.withColumn("label_", F.col("id"))
+    layout = _Layout(vertices, both, salt_edges)
+    state = layout.start.withColumn("label_", F.col("id"))
     for i in range(1, rounds + 1):
-        votes = _send(state, laid).groupBy(F.col("dst").alias("id"), "label_").agg(
+        votes = layout.send(state).groupBy(F.col("dst").alias("id"), "label_").agg(
             F.count("*").alias("n_")
         )
         winner = votes.groupBy("id").agg(
             F.min(F.struct((-F.col("n_")).alias("n"), F.col("label_").alias("label"))).alias("w_")
         )
-        state = fixed.join(winner, "id", "left").select(
-            "id", "salts_", F.coalesce(F.col("w_.label"), F.col("id")).alias("label_")
-        )
+        state = layout.start.join(winner, "id", "left").withColumn(
+            "label_", F.coalesce(F.col("w_.label"), F.col("id"))
+        ).drop("w_")
         if i % CHECKPOINT_EVERY == 0 or i == rounds:
             state = shared_checkpoint(state)
-    laid.unpersist()
+    layout.release()
     return state.select("id", F.col("label_").alias("community_id"))
 
 

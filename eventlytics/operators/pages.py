@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from eventlytics.functions.dates import parse_page_date
 from eventlytics.functions.numbers import parse_count, parse_money
-from eventlytics.functions.odds import implied_probability, parse_line
+from eventlytics.functions.odds import implied_probability, is_line, parse_line
 from eventlytics.functions.text import collapse_space, join_sides, strip_label, url_to_title
 
 # Header keywords of the facts table, first match wins.
@@ -30,6 +30,10 @@ HEAD_CELL = r"(?is)<th\b[^>]*>(.*?)</th>"
 DATA_CELL = r"(?is)<td\b[^>]*>(.*?)</td>"
 ANCHOR = r"(?is)<a\s[^>]*?href=\"[^\"]*\"[^>]*>.*?</a>"
 HREF = r"(?is)href=\"([^\"]*)\""
+ODDS_TABLE = r"(?is)<table[^>]*class=\"odds-table\"[^>]*>(.*?)</table>"
+TABLE_ROW = r"(?is)<tr[^>]*>(.*?)</tr>"
+NAME_CELL = r"(?is)<th[^>]*class=\"oppcell\"[^>]*>(.*?)</th>"
+LINE_CELL = r"(?is)<td[^>]*class=\"odds\"[^>]*>.*?</td>"
 TAG = r"(?s)<[^>]*>"
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 TOTALS = ("kd", "sig_str", "sig_str_pct", "total_str", "td", "td_pct", "sub_att", "rev", "ctrl")
@@ -95,33 +99,28 @@ def facts(pages: DataFrame) -> DataFrame:
     Rows are told by keywords in the header cell; pages naming neither an
     attendance nor a gate are dropped.
     """
+    def kind(row: Column) -> Column:
+        head = F.replace(F.lower(cell_text(F.regexp_extract(row, HEAD_CELL, 1))), F.lit(" "), F.lit(""))
+        out = None
+        for name, words in FACTS:
+            hit = F.lit(False)
+            for w in words:
+                hit = hit | head.contains(w)
+            out = F.when(hit, name) if out is None else out.when(hit, name)
+        return out
+
     rows = F.transform(
         all_groups(F.col("html"), FACT_ROW),
-        lambda r: F.struct(
-            F.lower(cell_text(F.regexp_extract(r, HEAD_CELL, 1))).alias("head"),
-            cell_text(F.regexp_extract(r, DATA_CELL, 1)).alias("data"),
-        ),
+        lambda r: F.struct(kind(r).alias("kind"), F.regexp_extract(r, DATA_CELL, 1).alias("data")),
     )
 
-    def names(head: Column, words: Sequence[str]) -> Column:
-        bare = F.replace(head, F.lit(" "), F.lit(""))
-        hit = F.lit(False)
-        for w in words:
-            hit = hit | bare.contains(w)
-        return hit
-
-    def cell(at: int) -> Column:
-        # a row belongs to the first fact its header names; the last such row counts
-        def mine(r: Column) -> Column:
-            hit = names(r["head"], FACTS[at][1])
-            for _, words in FACTS[:at]:
-                hit = hit & ~names(r["head"], words)
-            return hit
-
-        return F.try_element_at(F.filter("rows", mine), F.lit(-1))["data"]
+    def cell(name: str) -> Column:
+        # of several rows with one keyword the last counts
+        mine = F.filter("rows", lambda r: r["kind"] == name)
+        return cell_text(F.try_element_at(mine, F.lit(-1))["data"])
 
     raw = pages.select("page_id", "url", rows.alias("rows")).select(
-        "page_id", "url", *[cell(i).alias(name) for i, (name, _) in enumerate(FACTS)]
+        "page_id", "url", *[cell(name).alias(name) for name, _ in FACTS]
     )
     typed = F.struct(
         parse_count(F.col("attendance")).alias("attendance"),
@@ -275,24 +274,26 @@ def tape_record(lists: DataFrame, texts: str, keep: Sequence[str]) -> DataFrame:
 
 def odds_records(pages: DataFrame) -> DataFrame:
     """One contest per two-row odds table, titled by the page's URL."""
-    tables = all_groups(F.col("html"), r"(?is)<table[^>]*class=\"odds-table\"[^>]*>(.*?)</table>")
-    rows = pages.select(
-        "page_id", "url", F.posexplode(tables).alias("pos", "t")
-    ).withColumn("r", all_groups(F.col("t"), r"(?is)<tr[^>]*>(.*?)</tr>"))
-    name_cell = r"(?is)<th[^>]*class=\"oppcell\"[^>]*>(.*?)</th>"
-    odds_cell = r"(?is)<td[^>]*class=\"odds\"[^>]*>(.*?)</td>"
-    cols = {}
-    for i in (1, 2):
-        row = F.get("r", i - 1)
-        cols[f"fighter{i}_name"] = cell_text(F.regexp_extract(row, name_cell, 1))
-        cols[f"has{i}_"] = row.rlike(name_cell) & row.rlike(odds_cell)
-        cols[f"line{i}_"] = cell_text(F.regexp_extract(row, odds_cell, 1))
-    out = rows.filter(F.size("r") >= 2).withColumns(cols).filter("has1_ AND has2_")
+    tables = all_groups(F.col("html"), ODDS_TABLE)
+    two_rows = F.slice(all_groups(F.col("t"), TABLE_ROW), 1, 2)
+    # name and first line of each row; '' where a cell is missing
+    sides = F.transform(
+        two_rows,
+        lambda r: F.struct(
+            cell_text(F.regexp_extract(r, NAME_CELL, 1)).alias("name"),
+            F.regexp_extract(r, LINE_CELL, 0).alias("cell"),
+        ),
+    )
+    found = pages.select("page_id", "url", F.posexplode(tables).alias("pos", "t")).select(
+        "page_id", "url", "pos", sides.alias("s")
+    )
+    complete = (F.size("s") == 2) & ~F.exists("s", lambda x: (x["name"] == "") | (x["cell"] == ""))
+    # none or one record per table; a filter would be pushed under the parsing
+    kept = found.select("page_id", "url", "pos", F.explode(F.when(complete, F.array("s"))).alias("s"))
+    lines = {f"line{i}_": cell_text(F.get("s", i - 1)["cell"]) for i in (1, 2)}
+    out = kept.withColumns(lines)
     # one unreadable line voids both, as they are only meaningful together
-    readable = F.lit(True)
-    for i in (1, 2):
-        bare = F.replace(F.trim(F.col(f"line{i}_")), F.lit("+"), F.lit(""))
-        readable = readable & bare.try_cast("int").isNotNull()
+    readable = is_line(F.col("line1_")) & is_line(F.col("line2_"))
     odds = {
         f"fighter{i}_odds": F.when(readable, parse_line(F.col(f"line{i}_"))).otherwise(0)
         for i in (1, 2)
@@ -300,5 +301,5 @@ def odds_records(pages: DataFrame) -> DataFrame:
     probs = {f"fighter{i}_implied_prob": implied_probability(F.col(f"fighter{i}_odds")) for i in (1, 2)}
     return out.withColumns(odds).withColumns(probs).select(
         "page_id", "pos", url_to_title(F.col("url")).alias("event_name"),
-        "fighter1_name", "fighter2_name", *odds, *probs,
+        *[F.get("s", i - 1)["name"].alias(f"fighter{i}_name") for i in (1, 2)], *odds, *probs,
     )

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations_with_replacement
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,27 +117,54 @@ def box(df: DataFrame, category: str, value: str) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(a, b, r) for every unordered pair, one pass over the rows.
+    """(a, b, r) for every unordered pair; a constant column gives NULL.
 
-    Each pair uses the rows that know both values; a constant column gives NULL.
-    The deviations of columns without NULL are shared by all their pairs.
+    Each pair uses the rows that know both values. The sums behind all pairs are
+    matrix products over Arrow batches, one small row per task; Spark adds them
+    up. Values are taken relative to the column means to keep their precision.
     """
-    pairs = list(combinations_with_replacement(columns, 2))
-
-    def spread(a: str, b: str) -> Column:
-        return F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a)))
-
-    def r(a: str, b: str) -> Column:
-        return F.try_divide(F.covar_pop(a, b), spread(a, b) * spread(b, a))
-
-    wide = df.agg(*[r(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    as_rows = F.array(
-        *[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
-            for i, (a, b) in enumerate(pairs)
-        ]
+    names, width = list(columns), len(columns)
+    data = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(names)])
+    means = [m or 0.0 for m in data.agg(*[F.avg(c) for c in data.columns]).first()]
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((4, width, width))
+        for batch in batches:
+            x = batch.to_numpy(dtype=float) - means
+            known = ~np.isnan(x)
+            x, known = np.where(known, x, 0.0), known.astype(float)
+            # rows knowing both, sum of a, sum of a squared, sum of a times b
+            total += (known.T @ known, x.T @ known, (x * x).T @ known, x.T @ x)
+        yield pd.DataFrame({"s": [total.ravel()]})
+
+    added = (
+        data.mapInPandas(sums, "s array<double>")
+        .select(F.posexplode("s").alias("at", "x"))
+        .groupBy("at").agg(F.sum("x").alias("x"))
     )
-    return wide.select(F.explode(as_rows).alias("x")).select("x.*")
+    table = added.agg(F.map_from_entries(F.collect_list(F.struct("at", "x"))).alias("m"))
+
+    def entry(part: int, i: int, j: int) -> Column:
+        return F.try_element_at("m", F.lit((part * width + i) * width + j))
+
+    pairs = [
+        F.struct(
+            F.lit(a).alias("a"), F.lit(b).alias("b"),
+            *[entry(part, *at).alias(n) for n, part, at in (
+                ("n", 0, (i, j)), ("sa", 1, (i, j)), ("sb", 1, (j, i)),
+                ("qa", 2, (i, j)), ("qb", 2, (j, i)), ("p", 3, (i, j)),
+            )],
+        )
+        for i, a in enumerate(names) for j, b in enumerate(names) if i <= j
+    ]
+    rows = table.select(F.explode(F.array(*pairs)).alias("x")).select("x.*")
+    spread_a = F.col("qa") - F.try_divide(F.col("sa") * F.col("sa"), F.col("n"))
+    spread_b = F.col("qb") - F.try_divide(F.col("sb") * F.col("sb"), F.col("n"))
+    shared = F.col("p") - F.try_divide(F.col("sa") * F.col("sb"), F.col("n"))
+    # a spread within rounding of zero means a constant column
+    varies = (spread_a > F.col("qa") * 1e-13) & (spread_b > F.col("qb") * 1e-13)
+    r = F.when(varies, shared / F.sqrt(spread_a) / F.sqrt(spread_b))
+    return rows.select("a", "b", r.alias("r"))
 
 
 def top_correlations(df: DataFrame, label: str, columns: Sequence[str], n: int = 15) -> DataFrame:
