@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlytics.functions.categories import stability_class
-from eventlytics.operators.scale import exact_quantiles
+from eventlytics.operators.scale import exact_quantiles, shared_checkpoint
 
 BINS = 30
 WHISKER = 1.5
@@ -169,7 +169,8 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def top_correlations(df: DataFrame, label: str, columns: Sequence[str], n: int = 15) -> DataFrame:
     """Matrix of the label and the ``n`` columns closest to it, in long form."""
-    matrix = correlations(df, [label, *[c for c in columns if c != label]])
+    # read three times below, and no longer than the square of the column count
+    matrix = shared_checkpoint(correlations(df, [label, *[c for c in columns if c != label]]))
     # the label is first in the list, so it is always on the left of its pairs
     near = (
         matrix.filter((F.col("a") == label) & (F.col("b") != label) & F.col("r").isNotNull())
