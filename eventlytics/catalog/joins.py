@@ -104,15 +104,16 @@ def name_and_near_date(spark, sf):
 
 @query(
     "j5_interval_join",
-    LINKS + f"""SELECT k.event_id, l.event_date AS label_date, l.sell_through FROM keyed k
-      JOIN fed l ON {ON['name_date']}""",
+    LINKS + f"""SELECT k.event_id, count(l.sell_through) AS matches, min(l.sell_through) AS lowest,
+      max(l.sell_through) AS highest FROM keyed k LEFT JOIN fed l ON {ON['name_date']} GROUP BY k.event_id""",
 )
 def interval_join(spark, sf):
     left = linkage.with_match_keys(v.cards(spark, sf)).select("event_id", "event_date", "name_key")
     feed = linkage.with_match_keys(v.labels(spark, sf).filter("sell_through IS NOT NULL"))
-    return linkage.interval_join(left, feed.select("name_key", "event_date", "sell_through"), "name_key").select(
-        "event_id", F.col("other_date").alias("label_date"), "sell_through"
+    found = linkage.interval_matches(
+        left, feed.select("name_key", "event_date", "sell_through"), "name_key", "sell_through"
     )
+    return found.select("event_id", "matches", "lowest", "highest")
 
 
 @query("j6_near_date", linked("date"))

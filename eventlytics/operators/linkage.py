@@ -82,6 +82,10 @@ def link_labels(
         labels.filter(F.col(label).isNotNull()).select("event_name", "event_date", label)
     )
     out = with_match_keys(events)
+    if "number" in strategies:
+        # events without a number must not meet in one task; '?…' matches nothing
+        apart = F.concat(F.lit("?"), F.col("event_id").cast("string"))
+        out = out.withColumn("number_key", F.coalesce("number_key", apart))
     for s in strategies:
         keys, near = LOOKUPS[s]
         out = out.join(_lookup(feed, keys, near, label, s), list(keys), "left")
@@ -94,16 +98,20 @@ def link_labels(
     )
 
 
-def interval_join(
-    left: DataFrame, right: DataFrame, key: str, date: str = "event_date", days: int = DAYS
+def interval_matches(
+    left: DataFrame, right: DataFrame, key: str, value: str, date: str = "event_date", days: int = DAYS
 ) -> DataFrame:
-    """All pairs with equal key and dates at most ``days`` apart (both sides kept).
+    """Left rows with what an interval join on key and near dates would find.
 
-    The tolerance becomes part of the equi key, so a frequent key is spread
-    over its dates instead of meeting in one task.
+    Adds the number of right rows with an equal key and a date at most ``days``
+    apart, and their lowest and highest value. The right side is summed up per
+    (key, day) first, so no pairs are formed however often a key occurs.
     """
     near = on_near_days(right.withColumnRenamed(date, "other_date"), "other_date", days)
-    return left.join(near.withColumnRenamed("match_date", date).drop("gap_"), [key, date])
+    found = near.groupBy(key, F.col("match_date").alias(date)).agg(
+        F.count("*").alias("matches"), F.min(value).alias("lowest"), F.max(value).alias("highest")
+    )
+    return left.join(found, [key, date], "left").fillna(0, ["matches"])
 
 
 def unmatched(events: DataFrame, matched: DataFrame, key: str = "event_id") -> DataFrame:

@@ -40,23 +40,6 @@ def pair_history(
     )
 
 
-def pair_history_self_join(fights: DataFrame, fight_id: str = "fight_id") -> DataFrame:
-    """Cross-check form for small data: equi join on the pair, earlier dates counted."""
-    pairs = fights.select(
-        fight_id,
-        pair_low(F.col("fighter1_name"), F.col("fighter2_name")).alias("pair1"),
-        pair_high(F.col("fighter1_name"), F.col("fighter2_name")).alias("pair2"),
-        "event_date",
-    )
-    now, then = pairs.alias("now"), pairs.drop(fight_id).alias("then")
-    return (
-        now.join(then, ["pair1", "pair2"])
-        .filter(F.col("then.event_date") < F.col("now.event_date"))
-        .groupBy(fight_id)
-        .agg(F.count("*").alias("times_fought"))
-    )
-
-
 def role_join(
     df: DataFrame, dimension: DataFrame, key: str, roles: dict[str, str], columns: list[str]
 ) -> DataFrame:

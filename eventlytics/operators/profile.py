@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlytics.functions.categories import stability_class
-from eventlytics.operators.scale import exact_quantiles, shared_checkpoint
+from eventlytics.operators.scale import broadcast_checked, exact_quantiles, shared_checkpoint
 
 BINS = 30
 WHISKER = 1.5
@@ -98,8 +98,11 @@ def yearly_mean(df: DataFrame, date: str, value: str) -> DataFrame:
 def box(df: DataFrame, category: str, value: str) -> DataFrame:
     """Quartiles, whisker ends inside 1.5 · IQR, count and outliers per category."""
     known = df.filter(F.col(category).isNotNull() & F.col(value).isNotNull())
-    quartiles = exact_quantiles(known, [category], value, QUARTILES).select(
-        category, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3")
+    # a row per category: counted and broadcast, or the rows of a category would meet
+    quartiles = broadcast_checked(
+        exact_quantiles(known, [category], value, QUARTILES).select(
+            category, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3")
+        )
     )
     reach = (F.col("q3") - F.col("q1")) * WHISKER
     low, high = F.col("q1") - reach, F.col("q3") + reach

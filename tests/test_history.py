@@ -65,13 +65,22 @@ def test_hot_entities_equal_plain_windows(spark, limit):
     assert values(rounded(plain)) == values(rounded(split))
 
 
+def pair_history_self_join(fights):
+    """Cross-check: equi join on the pair, earlier dates counted."""
+    one, two = F.col("fighter1_name"), F.col("fighter2_name")
+    pairs = fights.select("fight_id", F.least(one, two).alias("a"), F.greatest(one, two).alias("b"), "event_date")
+    now, then = pairs.alias("now"), pairs.drop("fight_id").alias("then")
+    earlier = now.join(then, ["a", "b"]).filter(F.col("then.event_date") < F.col("now.event_date"))
+    return earlier.groupBy("fight_id").agg(F.count("*").alias("times_fought"))
+
+
 def test_pair_history_counts_strictly_earlier_dates(spark):
     rows = [(1, "A", "B", day(0)), (2, "B", "A", day(5)), (3, "A", "B", day(9)), (4, "A", "B", day(9)), (5, "A", "B", None), (6, "A", "C", day(9))]
     fights = spark.createDataFrame(rows, "fight_id int, fighter1_name string, fighter2_name string, event_date date")
     out = matchups.pair_history(fights).orderBy("fight_id").collect()
     assert [r.times_fought for r in out] == [0, 1, 2, 2, 0, 0]
     assert [r.is_rivalry for r in out] == [0, 0, 1, 1, 0, 0]
-    crossed = {r.fight_id: r.times_fought for r in matchups.pair_history_self_join(fights).collect()}
+    crossed = {r.fight_id: r.times_fought for r in pair_history_self_join(fights).collect()}
     assert [crossed.get(i, 0) for i in range(1, 7)] == [r.times_fought for r in out]
 
 

@@ -69,9 +69,10 @@ def test_cascade_equals_plain_loop(spark):
     assert {k: v[0] for k, v in out.items()} == plain(events, labels)
 
 
-def test_interval_join_keeps_all_pairs(spark):
-    left = spark.createDataFrame([("a", day(0)), ("a", day(5))], "k string, event_date date")
+def test_interval_matches_are_counted(spark):
+    left = spark.createDataFrame([("a", day(0)), ("a", day(5)), ("a", day(0))], "k string, event_date date")
     right = spark.createDataFrame([("a", day(1), 1), ("a", day(-1), 2), ("a", day(2), 3), ("b", day(0), 4)],
                                   "k string, event_date date, v int")
-    out = linkage.interval_join(left, right, "k").collect()
-    assert sorted(r.v for r in out) == [1, 2]
+    out = linkage.interval_matches(left, right, "k", "v").collect()
+    assert sorted((r.event_date, r.matches, r.lowest, r.highest) for r in out if r.matches) == [(day(0), 2, 1, 2)] * 2
+    assert [r.matches for r in out if r.event_date == day(5)] == [0]
