@@ -244,19 +244,19 @@ def series(spark, sf):
 @query(
     "j15_trailing_buzz",
     v.with_(v.SERIES, FOCAL) + """SELECT f.fight_id, f.fighter1_name, f.fighter2_name, f.event_date,
-    round(a.avg_7d, 6) AS f1_avg_search_7d, round(a.avg_30d, 6) AS f1_avg_search_30d,
+    round(a.avg_7d, 8) AS f1_avg_search_7d, round(a.avg_30d, 8) AS f1_avg_search_30d,
     a.peak_7d AS f1_peak_search_7d, a.direction AS f1_trend_direction,
-    round(b.avg_7d, 6) AS f2_avg_search_7d, round(b.avg_30d, 6) AS f2_avg_search_30d,
+    round(b.avg_7d, 8) AS f2_avg_search_7d, round(b.avg_30d, 8) AS f2_avg_search_30d,
     b.peak_7d AS f2_peak_search_7d, b.direction AS f2_trend_direction,
-    round(a.avg_7d + b.avg_7d, 6) AS combined_buzz_7d, round(a.avg_30d + b.avg_30d, 6) AS combined_buzz_30d,
-    greatest(a.peak_7d, b.peak_7d) AS max_peak_search, round(abs(a.avg_7d - b.avg_7d), 6) AS buzz_differential
+    round(a.avg_7d + b.avg_7d, 8) AS combined_buzz_7d, round(a.avg_30d + b.avg_30d, 8) AS combined_buzz_30d,
+    greatest(a.peak_7d, b.peak_7d) AS max_peak_search, round(abs(a.avg_7d - b.avg_7d), 8) AS buzz_differential
   FROM focal f JOIN filled a ON a.entity = f.fighter1_name AND a.day = f.event_date
   JOIN filled b ON b.entity = f.fighter2_name AND b.day = f.event_date""",
 )
 def trailing_buzz(spark, sf):
     out = trailing.contest_buzz(focal(spark, sf), series(spark, sf))
     rounded = [c for c in out.columns if "avg_search" in c or "buzz" in c]
-    return out.withColumns({c: F.round(c, 6) for c in rounded})
+    return out.withColumns({c: F.round(c, 8) for c in rounded})
 
 
 @query(

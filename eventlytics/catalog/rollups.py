@@ -72,12 +72,12 @@ def adaptive_rollup(spark, sf):
 
 @query(
     "a5_entity_summary",
-    """SELECT user_id, round(avg(value), 6) AS avg_value, max(value) AS max_value,
-      round(stddev_samp(value), 6) AS search_volatility FROM events GROUP BY user_id""",
+    """SELECT user_id, round(avg(value), 8) AS avg_value, max(value) AS max_value,
+      round(stddev_samp(value), 8) AS search_volatility FROM events GROUP BY user_id""",
 )
 def entity_summary(spark, sf):
     out = rollup.entity_summary(v.table(spark, sf, "events"), "user_id", "value")
-    return out.withColumns({c: F.round(c, 6) for c in ("avg_value", "search_volatility")})
+    return out.withColumns({c: F.round(c, 8) for c in ("avg_value", "search_volatility")})
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -25,6 +26,14 @@ def lower_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
+def safe_names(df: DataFrame) -> DataFrame:
+    """Names of letters, digits and ``_`` only, for columnar files."""
+    def safe(name: str) -> str:
+        return re.sub("[^a-z0-9]+", "_", name.lower().replace("%", " pct ")).strip("_")
+
+    return df.toDF(*[safe(c) for c in df.columns])
+
+
 def fill(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """Per-column defaults; names the frame does not have are skipped."""
     wanted = {k: v for k, v in defaults.items() if k in df.columns}

@@ -168,11 +168,13 @@ def exact_quantiles(
             for i, p in enumerate(probs)
         ]
     )
-    brackets = broadcast_checked(
-        sketch.select(*groups, F.explode(bounds).alias("b")).select(*groups, "b.*")
-    )
-    # with no groups the other side is one row per probability
-    near = data.join(brackets, list(groups)) if groups else data.join(brackets)
+    brackets = sketch.select(*groups, F.explode(bounds).alias("b")).select(*groups, "b.*")
+    if groups:
+        near = data.join(broadcast_checked(brackets), list(groups))
+    else:
+        # one row per probability: read them as constants
+        known = [F.struct(*[F.lit(x).alias(n) for n, x in r.asDict().items()]) for r in brackets.collect()]
+        near = data.select("v_", F.explode(F.array(*known)).alias("b")).select("v_", "b.*")
     keys = [*groups, "q", "at"]
     counted = (
         near.filter(F.col("v_") <= F.col("hi"))

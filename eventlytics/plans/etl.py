@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlytics.functions import categories, dates, numbers, text
-from eventlytics.functions.frames import fill, find_column, optional
+from eventlytics.functions.frames import fill, find_column, optional, safe_names
 from eventlytics.operators import incremental, linkage, rollup
 from eventlytics.operators.scale import keep_first
 from eventlytics.plans import features
@@ -213,9 +213,8 @@ def run(spark: SparkSession, data: str, out: str) -> None:
     write(clean_fighters(body), f"{out}/processed/fighters")
     bouts = raw.get("fight_results", raw.get("fight_details"))
     write(clean_fights(bouts, processed("events")), f"{out}/processed/fights")
-    write(attach_fight_ids(clean_fight_stats(raw["fight_stats"]), processed("fights")).drop(
-        *[c for c in raw["fight_stats"].columns]
-    ), f"{out}/processed/fight_stats")
+    stats = attach_fight_ids(clean_fight_stats(raw["fight_stats"]), processed("fights"))
+    write(safe_names(stats), f"{out}/processed/fight_stats")
     write(calendar_features(processed("events"), processed("fights")), f"{out}/processed/event_features")
 
 

@@ -52,5 +52,5 @@ def test_history_sorts_once(spark):
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if n[0] in "adfhjprtuw" and n[:2] != "a8"))
 def test_no_python_rows_and_no_product(spark, name):
     text = plan(QUERIES[name](spark, FOLDER))
-    for bad in ("CartesianProduct", "PythonUDF", "BatchEvalPython", "ArrowEvalPython"):
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in text

@@ -100,3 +100,4 @@ def test_frames(spark):
     assert made == ["ab"] and out.first().ab == 2
     two = frames.two_sided(df, "b", "c", "total", "gap", missing=0).first()
     assert (two.total, two.gap) == (2, 2)
+    assert frames.safe_names(df.withColumnRenamed("c", "TD %")).columns == ["a", "b", "td_pct", "sig_str"]

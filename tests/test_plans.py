@@ -60,6 +60,7 @@ def test_stages(spark, data):
     assert fights.count() == 480 and fights.filter("event_id IS NULL").count() == 0
     assert {r.weight_class for r in fights.select("weight_class").distinct().collect()} == {"Lightweight", "Welterweight"}
     stats = files.read_parquet(spark, f"{root}/processed/fight_stats")
+    assert {"sig_str", "sig_str_pct", "td_pct", "round"} <= set(stats.columns)
     assert stats.count() == 1920 and stats.filter("fight_id IS NULL OR sig_strikes_landed <> 19").count() == 0
 
     network.run(spark, root, root)
