@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from eventlytics.operators import incremental, profile, scale
@@ -81,3 +82,22 @@ def test_metrics_and_stability(spark):
     assert tuple(empty) == (0.0, 0.0, 0.0, 0.0, 0)
     folds = spark.createDataFrame([(0.4,), (0.5,)], "r2 double")
     assert profile.stability(folds, "r2").first().stability == "stable"
+
+
+def test_correlations_use_rows_that_know_both(spark):
+    rng = np.random.default_rng(4)
+    table = pd.DataFrame(rng.normal(1e6, 1.0, (400, 3)), columns=list("abc"))
+    table["b"] += table["a"]
+    table.loc[::3, "c"] = np.nan
+    table.loc[::7, "a"] = np.nan
+    table["flat"], table["empty"] = 2.0, np.nan
+    rows = [tuple(None if np.isnan(x) else float(x) for x in r) for r in table.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, flat double, empty double").repartition(3)
+    out = {(r.a, r.b): r.r for r in profile.correlations(df, list(table.columns)).collect()}
+    want = table.corr()
+    for (a, b), r in out.items():
+        expected = want.loc[a, b]
+        assert (r is None) == bool(np.isnan(expected)), (a, b)
+        assert r is None or r == pytest.approx(expected, abs=1e-9)
+    top = profile.top_correlations(df, "a", ["b", "c", "flat"], 1).collect()
+    assert {(r.a, r.b) for r in top} == {("a", "a"), ("a", "b"), ("b", "b")}
