@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlytics.llm import packing
+from eventlytics.llm import bpe_automaton, packing
 from eventlytics.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,3 +27,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), payload="crc32"
     ).drop("ids")
+
+
+@query
+def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents by the automaton, and their text again."""
+    return bpe_automaton.encode_decode(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), digests=True
+    )
