@@ -235,14 +235,14 @@ def encode_decode(
     their size is the vocabulary's. No shuffle.
     """
     path = vocabulary
-    tables = docs.sparkSession.sparkContext.broadcast(compile_merges(path))
+    tables = docs.sparkSession.sparkContext.broadcast(vars(compile_merges(path)))
     kinds = ("ids_sha256 string, decoded_sha256 string", "ids binary, decoded string")
     schema = f"doc_id bigint, n_tokens bigint, {kinds[0] if digests else kinds[1]}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import sha256
 
-        coder = once(("word_bpe", path), lambda: Coder(tables.value))
+        coder = once(("word_bpe", path), lambda: Coder(Automaton(**tables.value)))
         for batch in text_slices(batches, limit=4 << 20):
             ids = coder.encode_all(texts_of(batch))
             texts = map(coder.decode, ids)

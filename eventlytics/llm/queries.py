@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlytics.llm import bpe_automaton, packing
-from eventlytics.llm.common import table
+from eventlytics.llm import bpe_automaton, language, packing
+from eventlytics.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -21,6 +21,16 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned from documents whose remainder is not 1."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.filter(~held_out(docs["doc_id"], 3, 1)))
+    return language.predict(docs, model).select(
+        "doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "lang_pred", "score"
+    )
+
+
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 ids."""
