@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlytics.llm import bpe_automaton, language, packing
+from eventlytics.llm import bpe_automaton, language, packing, secrets
 from eventlytics.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,24 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    found = secrets.scan(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans: Column) -> Column:
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+    return found.select(
+        "doc_id", *map(number, secrets.KINDS[:3]),
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 ids."""
