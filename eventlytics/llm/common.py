@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 BATCH_BYTES = 8 << 20
 
@@ -31,6 +32,19 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts == part
 
 
+def smallest(rows: DataFrame, group: str, order: list[str], n: int, salts: int = 16) -> DataFrame:
+    """The first ``n`` rows of each group; no task sorts more than ``salts * n`` rows of a group
+    at the end, however large it is."""
+    by_salt = Window.partitionBy(group, "salt_").orderBy(*order)
+    by_group = Window.partitionBy(group).orderBy(*order)
+    few = rows.withColumn("salt_", F.pmod(F.xxhash64(*order), F.lit(salts))).withColumn(
+        "place_", F.row_number().over(by_salt)
+    ).filter(F.col("place_") <= n)
+    return few.withColumn("place_", F.row_number().over(by_group)).filter(F.col("place_") <= n).drop(
+        "place_", "salt_"
+    )
+
+
 def text_slices(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BATCH_BYTES
 ) -> Iterator[pa.RecordBatch]:

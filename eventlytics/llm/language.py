@@ -18,9 +18,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from eventlytics.llm.common import from_planes, id_and_text, once, text_slices, texts_of, to_planes
+from eventlytics.llm.common import (
+    from_planes,
+    id_and_text,
+    once,
+    smallest,
+    text_slices,
+    texts_of,
+    to_planes,
+)
 
 ORDER = 3
 TEXTS_PER_LANGUAGE = 1000
@@ -63,11 +70,9 @@ def fit(
     rows = id_and_text(docs, id_col, text_col, docs[lang_col].cast("string").alias("lang")).withColumn(
         "at", F.xxhash64("doc_id")
     ).filter(F.col("lang").isNotNull() & (F.length("text") > 0))
-    order = Window.partitionBy("lang").orderBy("at")
     cuts = {
         r["lang"]: r["cut"]
-        for r in rows.select("lang", "at").distinct()
-        .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= texts_per_language)
+        for r in smallest(rows.select("lang", "at").distinct(), "lang", ["at"], texts_per_language)
         .groupBy("lang").agg(F.max("at").alias("cut")).collect()
     }
     if not cuts:
