@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlytics.llm import bpe_automaton, language, packing, secrets, toxicity
+from eventlytics.llm import bpe_automaton, language, ngram_lm, packing, secrets, toxicity
 from eventlytics.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,17 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kneser-Ney scores of all documents, learned from those whose remainder is not 1."""
+    docs = table(spark, sf_dir, "documents")
+    model = ngram_lm.fit(docs.filter(~held_out(docs["doc_id"], 5, 1)))
+    return ngram_lm.score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id"), 5, 1).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity",
+    )
+
+
 @query
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; learned from documents whose remainder is not 1."""
