@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlytics.llm import bpe_automaton, language, ngram_lm, packing, secrets, toxicity
+from eventlytics.llm import bpe_automaton, language, ngram_lm, packing, repeats, secrets, toxicity
 from eventlytics.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,13 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the sentences of spans that came before elsewhere."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.without_repeats(docs).select("doc_id", "n_sentences", "n_removed", "text")
+
+
 @query
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; labels of documents with remainder 0 are not used."""
