@@ -113,3 +113,28 @@ class Reader:
         out = np.empty_like(found)
         out[order] = found
         return out
+
+
+def write_array(folder: str, values: np.ndarray) -> str:
+    """A file of unsigned 64-bit numbers, to be read in parts. Returns its place."""
+    return write_shard(folder, 0, values, np.zeros((0, 1), np.uint32))
+
+
+class Array:
+    def __init__(self, uri: str) -> None:
+        path = _local(uri)
+        if path is not None:
+            self.values = np.memmap(path, "<u8", "r") if _size(path) else np.zeros(0, np.uint64)
+        else:
+            store, path = _remote(uri)
+            with store.open_input_file(path) as file:
+                self.values = np.frombuffer(file.read(), "<u8")
+
+    def part(self, start: int, length: int) -> np.ndarray:
+        return np.asarray(self.values[start : start + length])
+
+
+def _size(path: str) -> int:
+    import os
+
+    return os.path.getsize(path)

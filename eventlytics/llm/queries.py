@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlytics.llm import bpe_automaton, language, ngram_lm, packing, repeats, secrets, toxicity
+from eventlytics.llm import bpe_automaton, jaccard, language, ngram_lm, packing, repeats, secrets, toxicity
 from eventlytics.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +92,9 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.encode_decode(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), digests=True
     )
+
+
+@query
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 5-word shingles have a similarity of 0.75 or more."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
