@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlytics.llm import bpe_automaton, jaccard, language, ngram_lm, packing, repeats, secrets, toxicity
+from eventlytics.llm import bpe_automaton, cover_tree, jaccard, language, ngram_lm, packing, repeats, secrets, toxicity
 from eventlytics.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,12 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of embeddings with a cosine of 0.95 or more."""
+    return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents."""
