@@ -10,7 +10,7 @@ code length is one sum of table entries; the shortest one names the language.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from uuid import uuid4
 
@@ -199,6 +199,40 @@ class Tree:
         return sums[np.maximum(ends - ORDER, starts)] - sums[starts]
 
 
+class Judge:
+    def __init__(self, model: Counts) -> None:
+        self.trees = [Tree(k, c) for k, c in zip(model.keys, model.counts, strict=True)]
+        self.names = np.array([*model.languages, UNDETERMINED], object)
+
+    def __call__(self, texts: list[str], spoken: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+        """(language, score) of each text; ``spoken``: it has a letter."""
+        none = len(self.trees)
+        best, score = np.full(len(texts), none), np.zeros(len(texts))
+        if self.trees and texts:
+            raw = [t.encode() for t in texts]
+            data = np.frombuffer(b"".join(_PAD + t for t in raw), np.uint8)
+            ends = np.cumsum([len(t) + ORDER for t in raw])
+            bits = np.stack([tree.bits(data, ends) for tree in self.trees])
+            best = bits.argmin(0)
+            score = 1 / np.exp2(np.maximum(bits.min(0) - bits, -1000)).sum(0)
+        und = ~np.array(spoken, bool)
+        best[und], score[und] = none, 0.0
+        return self.names[best], score
+
+
+def _judged(docs: DataFrame, model: Counts, text_col: str, schema: object, make: Callable) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # as large as the sample allows
+    name = model.name
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = once(("ppm", name), lambda: Judge(Counts(**shared.value)))
+        for batch in text_slices(batches, text_col, limit=2 << 20):
+            yield make(batch, *judge(texts_of(batch, text_col), batch.column("spoken_").to_pylist()))
+
+    letters = F.coalesce(docs[text_col].rlike(r"\p{L}"), F.lit(False))
+    return docs.withColumn("spoken_", letters).mapInArrow(run, schema)
+
+
 def predict(
     docs: DataFrame, model: Counts, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -208,30 +242,23 @@ def predict(
     nothing was learned, get "und" and score 0. Rows that repeat are alike; ties
     between languages go to the name that sorts first.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # as large as the sample allows
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counts(**shared.value)
-        trees = once(
-            ("ppm", counts.name), lambda: [Tree(k, c) for k, c in zip(counts.keys, counts.counts, strict=True)]
+    def make(batch: pa.RecordBatch, lang: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
+            ["doc_id", "lang_pred", "score"],
         )
-        names = np.array([*counts.languages, UNDETERMINED], object)
-        for batch in text_slices(batches, limit=2 << 20):
-            texts = [t.encode() for t in texts_of(batch)]
-            data = np.frombuffer(b"".join(_PAD + t for t in texts), np.uint8)
-            ends = np.cumsum([len(t) + ORDER for t in texts])
-            best, score = np.full(len(texts), len(trees)), np.zeros(len(texts))
-            if trees:
-                bits = np.stack([tree.bits(data, ends) for tree in trees])
-                best = bits.argmin(0)
-                score = 1 / np.exp2(np.maximum(bits.min(0) - bits, -1000)).sum(0)
-            und = ~np.array(batch.column("spoken").to_pylist(), bool)
-            best[und], score[und] = len(trees), 0.0
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(names[best], pa.string()), pa.array(score, pa.float64())],
-                ["doc_id", "lang_pred", "score"],
-            )
-
-    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    source = id_and_text(docs, id_col, text_col).select(F.col("doc_id").cast("long"), "text", letters.alias("spoken"))
-    return source.mapInArrow(run, "doc_id bigint, lang_pred string, score double")
+
+    source = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return _judged(source, model, "text", "doc_id bigint, lang_pred string, score double", make)
+
+
+def keep_known(docs: DataFrame, model: Counts, *, text_col: str = "text", min_score: float = 0.5) -> DataFrame:
+    """The rows, as they are, whose language is determined with at least ``min_score``."""
+    names = docs.columns
+
+    def make(batch: pa.RecordBatch, lang: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+        good = pa.array((lang != UNDETERMINED) & (score >= min_score))
+        return batch.select(names).filter(good)
+
+    return _judged(docs, model, text_col, docs.schema, make)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlytics.llm import bpe_automaton, cover_tree, jaccard, language, ngram_lm, packing, repeats, secrets, toxicity
+from eventlytics.llm import bpe_automaton, cover_tree, graph_search, jaccard, language, ngram_lm, packing, repeats, secrets, toxicity
 from eventlytics.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,13 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest embeddings of every embedding whose id is divisible by 100."""
+    rows = table(spark, sf_dir, "embeddings")
+    return graph_search.nearest(rows, rows.filter(rows["vec_id"] % 100 == 0))
+
+
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 ids."""
