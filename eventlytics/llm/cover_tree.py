@@ -31,7 +31,7 @@ SIMILARITY = 0.95
 PART = 2048
 CENTRES = 512  # at most; a bounded sample of the rows
 LEVELS = 6
-_SLACK = 1e-9  # bounds are taken this much wider than computed
+_SLACK = 1e-7  # bounds are taken this much wider: small distances are known to 1e-8 only
 
 
 @dataclass

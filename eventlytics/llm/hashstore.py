@@ -82,9 +82,9 @@ class Reader:
     def _shard(self, shard: int) -> tuple[np.ndarray, np.ndarray] | None:
         if shard in self.open:
             return self.open[shard]
-        if shard not in self.store.files:
+        uri, count = self.store.files.get(shard, ("", 0))
+        if not count:
             return None
-        uri, count = self.store.files[shard]
         path, width = _local(uri), self.store.width
         if path is not None:
             keys = np.memmap(path, "<u8", "r", 0, (count,))
@@ -105,7 +105,7 @@ class Reader:
         cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(asked)]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             part = self._shard(int(shards[a])) if b > a else None
-            if part is None or not len(part[0]):
+            if part is None:
                 continue
             at = np.minimum(np.searchsorted(part[0], asked[a:b]), len(part[0]) - 1)
             hit = part[0][at] == asked[a:b]
