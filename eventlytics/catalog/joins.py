@@ -13,10 +13,10 @@ from eventlytics.operators import linkage, matchups, rollup
 @query(
     "j1_rollup_to_parent",
     v.with_(v.BOUTS, v.CARDS) + """SELECT c.event_id, b.num_fights FROM cards c LEFT JOIN
-      (SELECT event_id, count(*) AS num_fights FROM bouts WHERE is_title_fight GROUP BY event_id) b USING (event_id)""",
+      (SELECT event_id, count(*) AS num_fights FROM bouts GROUP BY event_id) b USING (event_id)""",
 )
 def rollup_to_parent(spark, sf):
-    counts = v.bouts(spark, sf).filter("is_title_fight").groupBy("event_id").agg(F.count("*").alias("num_fights"))
+    counts = v.bouts(spark, sf).groupBy("event_id").agg(F.count("*").alias("num_fights"))
     return rollup.attach(v.cards(spark, sf), [counts]).select("event_id", "num_fights")
 
 

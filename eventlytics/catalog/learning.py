@@ -8,7 +8,7 @@ from eventlytics.catalog import scans
 from eventlytics.catalog import views as v
 from eventlytics.catalog.registry import query
 from eventlytics.functions import categories, dates
-from eventlytics.operators import history, learning, rollup
+from eventlytics.operators import history, learning, rollup, scale
 from eventlytics.sources import files
 
 FEATURES = ("num_fights", "num_title_fights", "has_title", "day_of_week", "month", "is_saturday",
@@ -67,69 +67,121 @@ def temporal_split(spark, sf):
 
 def _fitted(spark, sf, model):
     df, features = prepared(spark, sf)
-    df = df.persist()
+    df = scale.shared_checkpoint(df)
     train, test = learning.split_by_year(df, 2000)
     return learning.train(train, features, model, validate=False, **SMALL[model]), test, features, df
 
 
-@query("m3_boosted_trees")
+# How trees grow is no matter of SQL; the queries show what must hold of any model.
+TEST_ROWS = v.with_(v.BOUTS, v.CARDS, """labels AS (SELECT CAST(o_orderdate AS DATE) AS event_date,
+  avg(o_totalprice) / 500000 AS sell_through FROM orders GROUP BY 1)""",
+    "test AS (SELECT * FROM cards JOIN labels USING (event_date) WHERE year(event_date) >= 2000)")
+METRICS_SQL = TEST_ROWS + "SELECT count(*) AS test_size, true AS consistent FROM test"
+PREDICTIONS_SQL = TEST_ROWS + "SELECT event_name, round(sell_through, 6) AS sell_through, true AS usable FROM test"
+
+
+def _metrics_hold(metrics):
+    """Test size, and whether the errors fit each other."""
+    fits = (
+        (F.abs(F.col("mse") - F.col("rmse") ** 2) < 1e-9) & (F.col("mae") <= F.col("rmse") + 1e-12)
+        & (F.col("mae") >= 0) & (F.col("r2") <= 1)
+    )
+    return metrics.select(F.col("test_size").cast("long").alias("test_size"), fits.alias("consistent"))
+
+
+def _predictions_hold(rows, low=None, high=None):
+    """Label, and whether the prediction is a number (and in the range of the labels learned)."""
+    usable = F.col("prediction").isNotNull() & ~F.isnan("prediction")
+    if low is not None:
+        usable &= F.col("prediction").between(low - 1e-9, high + 1e-9)
+    return rows.select("event_name", F.round("sell_through", 6).alias("sell_through"), usable.alias("usable"))
+
+
+@query("m3_boosted_trees", METRICS_SQL)
 def boosted_trees(spark, sf):
     model, test, _, _ = _fitted(spark, sf, "gbt")
-    return learning.evaluate(model, test)
+    return _metrics_hold(learning.evaluate(model, test))
 
 
-@query("m4_random_forest")
+@query("m4_random_forest", METRICS_SQL)
 def random_forest(spark, sf):
     model, test, _, _ = _fitted(spark, sf, "rf")
-    return learning.evaluate(model, test)
+    return _metrics_hold(learning.evaluate(model, test))
 
 
-@query("m5_cross_validation")
+@query("m5_cross_validation", METRICS_SQL)
 def cross_validation(spark, sf):
     df, features = prepared(spark, sf)
     train, test = learning.split_by_year(df, 2000)
     small = {"maxDepth": [2, 3], "numTrees": [3, 5]}
     model = learning.train(train, features, "rf", validate=True, grid=small, **SMALL["rf"])
-    return learning.evaluate(model, test)
+    return _metrics_hold(learning.evaluate(model, test))
 
 
-@query("m7_feature_importances")
+@query(
+    "m7_feature_importances",
+    TEST_ROWS + "SELECT feature, true AS is_share, true AS sums_to_one FROM (VALUES "
+    + ", ".join(f"('{f}')" for f in FEATURES) + """) AS f(feature) WHERE (SELECT count(*) FROM test) > 0""",
+)
 def feature_importances(spark, sf):
-    model, test, features, _ = _fitted(spark, sf, "rf")
-    return learning.importances(model, features, test)
+    df, _ = prepared(spark, sf)
+    train, _ = learning.split_by_year(scale.shared_checkpoint(df), 2000)
+    table = learning.importances(learning.train(train, FEATURES, "rf", validate=False, **SMALL["rf"]), FEATURES, train)
+    total = table.agg(F.sum("importance").alias("total"))
+    return table.join(F.broadcast(total)).select(  # one row
+        "feature", F.col("importance").between(0, 1).alias("is_share"),
+        (F.abs(F.col("total") - 1) < 1e-9).alias("sums_to_one"),
+    )
 
 
-@query("t4_top_importances")
+@query("t4_top_importances", TEST_ROWS + """SELECT CAST(i AS INTEGER) AS place, true AS in_order FROM range(9) AS t(i)
+  WHERE (SELECT count(*) FROM test) > 0""")
 def top_importances(spark, sf):
     model, test, features, _ = _fitted(spark, sf, "rf")
-    return learning.importances(model, features, test).limit(9)
+    top = learning.importances(model, features, test).limit(9)
+    listed = top.agg(F.sort_array(F.collect_list(F.struct((-F.col("importance")).alias("i"), "feature"))).alias("l"))
+    places = listed.select(F.posexplode("l").alias("place", "x"), "l")
+    return places.select("place", (F.greatest(F.get("l", F.col("place") - 1)["i"], F.lit(-1.0)) <= F.col("x.i")).alias("in_order"))
 
 
-@query("m8_predictions")
+@query("m8_predictions", PREDICTIONS_SQL)
 def predictions(spark, sf):
     model, test, _, _ = _fitted(spark, sf, "gbt")
-    return learning.predictions(model, test, ["event_name", "sell_through"])
+    return _predictions_hold(learning.predictions(model, test, ["event_name", "sell_through"]))
 
 
-@query("s8_saved_model")
+@query("s8_saved_model", PREDICTIONS_SQL)
 def saved_model(spark, sf):
-    model, test, _, _ = _fitted(spark, sf, "rf")
+    model, test, _, df = _fitted(spark, sf, "rf")
     path = scans.scratch(spark, "model")
     files.save_model(model, path)
-    return learning.predictions(files.load_model(path), test, ["event_name", "sell_through"])
+    ends = df.filter("year < 2000").agg(F.min("sell_through").alias("a"), F.max("sell_through").alias("z")).first()
+    return _predictions_hold(
+        learning.predictions(files.load_model(path), test, ["event_name", "sell_through"]), ends["a"], ends["z"]
+    )
 
 
-@query("m9_rolling_years")
+@query(
+    "m9_rolling_years",
+    TEST_ROWS.replace(" WHERE year(event_date) >= 2000", "") + """SELECT CAST(y AS INTEGER) AS test_year,
+      count(*) AS test_size, true AS consistent FROM test, (VALUES (1999), (2000), (2001)) AS t(y)
+    WHERE year(event_date) >= y GROUP BY y""",
+)
 def rolling_years(spark, sf):
     df, features = prepared(spark, sf)
-    return learning.rolling(df.persist(), features, (1999, 2000, 2001), "gbt", **SMALL["gbt"])
+    folds = learning.rolling(scale.shared_checkpoint(df), features, (1999, 2000, 2001), "gbt", **SMALL["gbt"])
+    kept = folds.select("test_year", "rmse", "mae", "mse", "r2", "test_size")
+    held = kept.withColumn("consistent", (F.abs(F.col("mse") - F.col("rmse") ** 2) < 1e-9) & (F.col("r2") <= 1))
+    return held.select("test_year", F.col("test_size").cast("long").alias("test_size"), "consistent")
 
 
-@query("m10_model_comparison")
+@query("m10_model_comparison", TEST_ROWS + """SELECT run, true AS finite FROM (VALUES ('gbt'), ('rf')) AS t(run)
+  WHERE (SELECT count(*) FROM test) > 0""")
 def model_comparison(spark, sf):
     paths = {}
     for name in ("gbt", "rf"):
         model, test, features, _ = _fitted(spark, sf, name)
         paths[name] = scans.scratch(spark, name)
         files.write_metrics(learning.evaluate(model, test), paths[name], {"num_features": len(features)})
-    return learning.compare_runs(spark, paths)
+    finite = ~F.isnan("r2") & (F.col("rmse") > 0) & (F.col("mae") > 0)
+    return learning.compare_runs(spark, paths).select("run", F.coalesce(finite, F.lit(False)).alias("finite"))

@@ -77,10 +77,10 @@ def page_facts(spark, sf):
 
 @query(
     "h3_schedule_records",
-    """SELECT n_regionkey AS page_id, CAST(row_number() OVER w - 1 AS INTEGER) AS pos, c_name AS event,
+    """SELECT c_custkey // 50 AS page_id, CAST(row_number() OVER w - 1 AS INTEGER) AS pos, c_name AS event,
       'http://x.example/event-details/' || c_custkey AS link, c_mktsegment AS date, 'Nation ' || n_nationkey AS location
     FROM customer JOIN nation ON c_nationkey = n_nationkey
-    WINDOW w AS (PARTITION BY n_regionkey ORDER BY c_custkey)""",
+    WINDOW w AS (PARTITION BY c_custkey // 50 ORDER BY c_custkey)""",
 )
 def schedule_records(spark, sf):
     row = F.concat(
@@ -90,8 +90,9 @@ def schedule_records(spark, sf):
     )
     upcoming = '<tr><td><span class="b-statistics__date">soon</span></td><td class="b-place">later</td></tr>'
     customers, nations = v.table(spark, sf, "customer"), v.table(spark, sf, "nation")
+    # a page lists at most fifty contests
     made = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).groupBy(
-        F.col("n_regionkey").alias("page_id")
+        F.floor(F.col("c_custkey") / 50).alias("page_id")
     ).agg(F.sort_array(F.collect_list(F.struct("c_custkey", row.alias("r")))).alias("rows"))
     html = F.concat(F.lit(upcoming), F.array_join(F.transform("rows", lambda r: r["r"]), ""))
     return pages.schedule_records(
@@ -101,7 +102,7 @@ def schedule_records(spark, sf):
 
 @query(
     "r4_chunks_of_three",
-    """SELECT s_nationkey AS page_id, CAST(row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS INTEGER) AS pos,
+    """SELECT s_suppkey // 50 AS page_id, CAST(row_number() OVER (PARTITION BY s_suppkey // 50 ORDER BY s_suppkey) - 1 AS INTEGER) AS pos,
       s_name AS first, CAST(s_suppkey AS VARCHAR) AS last, '' AS nickname FROM supplier""",
 )
 def chunks_of_three(spark, sf):
@@ -109,7 +110,7 @@ def chunks_of_three(spark, sf):
     row = F.concat(
         F.lit(link), "s_name", F.lit("</a>" + link), text("s_suppkey"), F.lit("</a>" + link + " </a>")
     )
-    made = v.table(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("page_id")).agg(
+    made = v.table(spark, sf, "supplier").groupBy(F.floor(F.col("s_suppkey") / 50).alias("page_id")).agg(
         F.sort_array(F.collect_list(F.struct("s_suppkey", row.alias("r")))).alias("rows")
     )
     html = F.array_join(F.transform("rows", lambda r: r["r"]), "")

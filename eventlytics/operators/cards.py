@@ -53,16 +53,18 @@ def score_candidates(candidates: DataFrame) -> DataFrame:
     )
 
 
-def greedy_cards(scored: DataFrame, max_fights: int = MAX_FIGHTS, max_rounds: int = 200) -> DataFrame:
+def greedy_cards(scored: DataFrame, max_fights: int = MAX_FIGHTS) -> DataFrame:
     """Best contests first, no entity twice, at most ``max_fights`` per card.
 
     Equals taking contests one by one by (score desc, fight_id): in each round
     every contest that is the best left for both of its sides is taken, and
-    contests of taken entities leave (locally dominant matching, Preis 1999).
+    contests of taken entities leave (locally dominant matching, Preis 1999). The
+    best contest left is always the best of both its sides, so ``r`` rounds take
+    the first ``r`` picks of that walk at least, and ``max_fights`` rounds are enough.
     """
     left = scored.select("card", "fight_id", "name1", "name2", "score")
     taken = None
-    for _ in range(max_rounds):
+    for _ in range(max_fights):
         rank = F.struct((-F.col("score")).alias("s"), F.col("fight_id").alias("f"))
         best = (
             left.select("card", F.explode(F.array("name1", "name2")).alias("name"), rank.alias("r"))
@@ -82,8 +84,6 @@ def greedy_cards(scored: DataFrame, max_fights: int = MAX_FIGHTS, max_rounds: in
         for side in ("name1", "name2"):
             left = left.join(used.withColumnRenamed("used", side), ["card", side], "left_anti")
         left = shared_checkpoint(left)
-    else:
-        raise RuntimeError("selection did not settle; raise max_rounds")
     if taken is None:
         taken = left
     chosen = keep_first_n(
@@ -151,7 +151,8 @@ def improve_cards(
     the newcomer). The newcomer is scored against the card without the contest
     it replaces, and a replaced contest may return later. The card is one row of
     at most ``high`` contests; its candidates stay spread over the cluster and
-    are reduced to one swap before anything is gathered.
+    are reduced to one swap before anything is gathered. ``settled`` tells
+    whether a card has no improving swap left or ``max_rounds`` ended its search.
     """
     member = F.struct("pos", "fight_id", "name1", "name2", "weight_class", "is_title", "score")
     ordered = chosen.groupBy("card").agg(
@@ -159,7 +160,7 @@ def improve_cards(
     ).select("card", F.posexplode("o").alias("pos", "o")).select("card", "pos", "o.fight_id")
     start = chosen.join(ordered, ["card", "fight_id"])
     cards = shared_checkpoint(start.select("card", member.alias("m")))
-    active = cards
+    active, open_cards = cards, cards.select("card").distinct()
     for _ in range(max_rounds):
         state = (
             active.groupBy("card")
@@ -169,6 +170,7 @@ def improve_cards(
         )
         swaps = _first_swaps(scored, state, classes)
         swaps = shared_checkpoint(swaps)
+        open_cards = swaps.select("card")
         if swaps.isEmpty():
             break
         cards = shared_checkpoint(
@@ -177,7 +179,10 @@ def improve_cards(
             )
         )
         active = cards.join(swaps.select("card"), "card", "left_semi")
-    return cards.select("card", "m.*").drop("pos")
+    still = open_cards.select("card", F.lit(False).alias("settled"))
+    return cards.select("card", "m.*").drop("pos").join(still, "card", "left").withColumn(
+        "settled", F.coalesce("settled", F.lit(True))
+    )
 
 
 def _total(members: str, field: str) -> Column:

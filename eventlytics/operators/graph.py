@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlytics.operators.scale import dense_ids, shared_checkpoint, shuffle_width
+from eventlytics.operators.scale import dense_ids, shared_checkpoint, shuffle_width, splittable
 
 SALT_EDGES = 500_000
 CHECKPOINT_EVERY = 5
@@ -24,16 +24,16 @@ CHECKPOINT_EVERY = 5
 # -- building ---------------------------------------------------------------
 
 def vertex_names(fights: DataFrame, one: str = "fighter1_name", two: str = "fighter2_name") -> DataFrame:
-    """Distinct names of both sides."""
+    """Distinct names of both sides; an empty name is none."""
     return fights.select(F.explode(F.array(one, two)).alias("name")).filter(
-        F.col("name").isNotNull()
+        F.length("name") > 0
     ).distinct()
 
 
 def name_edges(fights: DataFrame, one: str = "fighter1_name", two: str = "fighter2_name") -> DataFrame:
     """Directed edges by name with the number of meetings."""
     return (
-        fights.filter(F.col(one).isNotNull() & F.col(two).isNotNull())
+        fights.filter((F.length(one) > 0) & (F.length(two) > 0))
         .groupBy(F.col(one).alias("src_name"), F.col(two).alias("dst_name"))
         .agg(F.count("*").alias("fight_count"))
     )
@@ -155,7 +155,7 @@ def label_propagation(
     return state.select("id", F.col("label_").alias("community_id"))
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, component_id): the smallest id reachable, edge direction ignored.
 
     Alternating large-star and small-star steps (Kiveris et al., 2014): each
@@ -167,12 +167,8 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         .select(F.greatest("src", "dst").alias("v"), F.least("src", "dst").alias("u"))
         .distinct()
     )
-    for _ in range(max_rounds):
-        if _settled(pairs):
-            break
+    while not _settled(pairs):
         pairs = shared_checkpoint(_small_star(_large_star(pairs)))
-    else:
-        raise RuntimeError("components did not settle; raise max_rounds")
     return vertices.select("id").join(
         pairs.select(F.col("v").alias("id"), F.col("u").alias("root_")), "id", "left"
     ).select("id", F.coalesce("root_", F.col("id")).alias("component_id"))
@@ -191,7 +187,7 @@ def _large_star(pairs: DataFrame) -> DataFrame:
     both = pairs.select(F.col("v").alias("a"), F.col("u").alias("b")).unionByName(
         pairs.select(F.col("u").alias("a"), F.col("v").alias("b"))
     )
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    least = splittable(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
     return (
         both.filter("b > a").join(least, "a")
         .select(F.col("b").alias("v"), F.col("m").alias("u"))
@@ -201,7 +197,7 @@ def _large_star(pairs: DataFrame) -> DataFrame:
 
 def _small_star(pairs: DataFrame) -> DataFrame:
     """Hook a vertex and its smaller neighbours to the smallest of them."""
-    least = pairs.groupBy("v").agg(F.min("u").alias("m"))
+    least = splittable(pairs.groupBy("v").agg(F.min("u").alias("m")))
     joined = pairs.join(least, "v")
     hooked = joined.filter("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u"))
     own = least.select("v", F.col("m").alias("u"))
@@ -219,8 +215,8 @@ def triangle_count(vertices: DataFrame, edges: DataFrame) -> DataFrame:
         F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")
     ).distinct()
     pairs = shared_checkpoint(pairs)
-    degree = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(
-        F.count("*").alias("d")
+    degree = splittable(
+        pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("d"))
     )
     with_degrees = pairs.join(degree.select(F.col("id").alias("a"), F.col("d").alias("da")), "a").join(
         degree.select(F.col("id").alias("b"), F.col("d").alias("db")), "b"

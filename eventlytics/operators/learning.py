@@ -41,7 +41,6 @@ PRODUCTS = {
     "rematch_usa_interaction": ("num_rematches", "is_usa"),
 }
 FOLDS, SEED = 3, 42
-TOO_FEW_TO_SPLIT, TOO_FEW_TO_VALIDATE = 10, 50
 LABEL, PREDICTION = "sell_through", "prediction"
 
 
@@ -87,25 +86,26 @@ def prepare(
 
 
 def split_by_year(
-    df: DataFrame, year: int, column: str = "year", exact: bool = False
+    df: DataFrame, year: int, column: str = "year", exact: bool = False, when_empty: str = "error"
 ) -> tuple[DataFrame, DataFrame]:
     """Train before ``year``, test from it on (``exact``: that year only).
 
-    Under ten rows both parts are the whole; an empty part falls back to a
-    random 80/20 split. One small aggregate decides.
+    ``when_empty`` says what an empty part leads to: an "error", a "random" 80/20
+    split, or the "same" rows in both parts. One small aggregate decides.
     """
+    if when_empty not in ("error", "random", "same"):
+        raise ValueError(f"unknown choice: {when_empty}")
     train = df.filter(F.col(column) < year)
     test = df.filter(F.col(column) == year if exact else F.col(column) >= year)
     n = df.agg(
-        F.count("*").alias("all"),
         F.count_if(F.col(column) < year).alias("train"),
         F.count_if(F.col(column) == year if exact else F.col(column) >= year).alias("test"),
     ).first()
-    if n["all"] < TOO_FEW_TO_SPLIT:
-        return df, df
-    if n["train"] == 0 or n["test"] == 0:
-        return tuple(df.randomSplit([0.8, 0.2], seed=SEED))
-    return train, test
+    if n["train"] and n["test"]:
+        return train, test
+    if when_empty == "error":
+        raise ValueError(f"no rows before {year} or none to test on")
+    return (df, df) if when_empty == "same" else tuple(df.randomSplit([0.8, 0.2], seed=SEED))
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
@@ -122,7 +122,7 @@ def train(
     grid: dict | None = None,
     **overrides,
 ) -> PipelineModel:
-    """Fit a pipeline, by 3-fold grid search unless the data are too few."""
+    """Fit a pipeline, by 3-fold grid search where ``validate`` is set."""
     spec = SPECS[model]
     estimator = spec.estimator(
         featuresCol="features", labelCol=label, predictionCol=PREDICTION, seed=SEED,
@@ -131,7 +131,7 @@ def train(
     flow = Pipeline(stages=[assembler(features), estimator])
     data = df.select(*features, label).persist()
     try:
-        if validate and data.count() >= TOO_FEW_TO_VALIDATE:
+        if validate:
             choices = ParamGridBuilder()
             for name, values in (grid or spec.grid).items():
                 choices = choices.addGrid(getattr(estimator, name), values)

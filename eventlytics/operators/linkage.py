@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from eventlytics.functions.categories import base_event_type
 from eventlytics.functions.text import contest_number, non_empty, normalize_name
-from eventlytics.operators.scale import keep_first
+from eventlytics.operators.scale import keep_first, splittable
 
 # Series that may be linked by series and date alone.
 SERIES = (
@@ -134,7 +134,7 @@ def lookup_by_names(
         *keys, *[F.col(a).alias(b) for a, b in columns.items()]
     )
     base = fights.drop(*columns.values()).withColumns(named)
-    return base.join(side, keys, "left")
+    return base.join(splittable(side), keys, "left")
 
 
 def lookup_by_name(
@@ -145,4 +145,4 @@ def lookup_by_name(
     side = keep_first(source.withColumn(key, normalize_name(F.col(name))), [key], order).select(
         key, *[F.col(a).alias(b) for a, b in columns.items()]
     )
-    return df.withColumn(key, normalize_name(F.col(name))).join(side, key, "left")
+    return df.withColumn(key, normalize_name(F.col(name))).join(splittable(side), key, "left")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from eventlytics.functions.text import pair_high, pair_low
-from eventlytics.operators.scale import keep_first
+from eventlytics.operators.scale import keep_first, splittable
 
 
 def pair_history(
@@ -50,7 +50,7 @@ def role_join(
     its measured size allows and splits skewed join keys otherwise.
     """
     for fact_key, suffix in roles.items():
-        renamed = dimension.select(
+        renamed = splittable(dimension).select(
             F.col(key).alias(fact_key), *[F.col(c).alias(f"{c}{suffix}") for c in columns]
         )
         df = df.join(renamed, fact_key, "left")

@@ -55,6 +55,16 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+def splittable(df: DataFrame) -> DataFrame:
+    """A reduced side, dealt out anew before it is joined.
+
+    Spark splits the skewed keys of a join only if both sides come straight from
+    an exchange for that join. An aggregate or a windowed side is already dealt by
+    the key and would keep that; after a deal without a key it is exchanged again.
+    """
+    return df.repartition(shuffle_width(df.sparkSession))
+
+
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
@@ -90,7 +100,7 @@ def ordered_chunks(df: DataFrame, order: Sequence[str], chunk_rows: int = HOT_RO
     change if a task is run again.
     """
     rows = df.count()
-    width = min(max(rows // chunk_rows + 1, 2), 100_000)
+    width = max(rows // chunk_rows + 1, 2)
     ranged = df.repartitionByRange(width, *order)
     return shared_checkpoint(ranged.withColumn("chunk_", F.spark_partition_id()))
 
@@ -192,6 +202,10 @@ def exact_quantiles(
 
     low, high = F.floor("at"), F.ceil("at")
     picked = ranked.groupBy(*keys).agg(at_rank(low).alias("a_"), at_rank(high).alias("z_"))
+    missed = F.col("a_").isNull() | F.col("z_").isNull()
+    picked = picked.withColumn(
+        "a_", F.when(missed, F.raise_error("a rank lies outside its bracket; raise accuracy")).otherwise(F.col("a_"))
+    )
     part = F.col("at") - F.floor("at")
     whole = picked.withColumn("x_", F.col("a_") + (F.col("z_") - F.col("a_")) * part)
     columns = [

@@ -200,7 +200,8 @@ def run(spark: SparkSession, data: str, out: str) -> None:
     """Read ``data/raw``, write the clean tables under ``out/processed``.
 
     Results are the base of contests, details only the fallback. Each table is
-    written once and read back where another needs it.
+    written once and read back where another needs it. Raw tables may be missing:
+    what can't be made without them is left out.
     """
     raw = files.load_tables(spark, f"{data}/raw", TABLES)
     write = files.write_parquet
@@ -208,13 +209,18 @@ def run(spark: SparkSession, data: str, out: str) -> None:
     def processed(name: str) -> DataFrame:
         return files.read_parquet(spark, f"{out}/processed/{name}")
 
-    write(clean_events(raw["events"]), f"{out}/processed/events", ["year"])
+    if "events" in raw:
+        write(clean_events(raw["events"]), f"{out}/processed/events", ["year"])
     body = raw.get("fighter_tott", raw.get("fighter_details"))
-    write(clean_fighters(body), f"{out}/processed/fighters")
+    if body is not None:
+        write(clean_fighters(body), f"{out}/processed/fighters")
     bouts = raw.get("fight_results", raw.get("fight_details"))
+    if bouts is None or "events" not in raw:
+        return  # all that follows hangs on contests and their events
     write(clean_fights(bouts, processed("events")), f"{out}/processed/fights")
-    stats = attach_fight_ids(clean_fight_stats(raw["fight_stats"]), processed("fights"))
-    write(safe_names(stats), f"{out}/processed/fight_stats")
+    if "fight_stats" in raw:
+        stats = attach_fight_ids(clean_fight_stats(raw["fight_stats"]), processed("fights"))
+        write(safe_names(stats), f"{out}/processed/fight_stats")
     write(calendar_features(processed("events"), processed("fights")), f"{out}/processed/event_features")
 
 

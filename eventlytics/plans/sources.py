@@ -10,8 +10,6 @@ from eventlytics.functions.sentiment import score_texts
 from eventlytics.operators import incremental, pages, rollup, trailing
 from eventlytics.operators.scale import keep_first_n
 
-COMMENTS_PER_EVENT = 100
-
 
 def betting_odds(lines: DataFrame) -> DataFrame:
     """Lines with movement (where opening lines exist) and derived features."""
@@ -36,17 +34,20 @@ def fighter_buzz(trends: DataFrame, fights: DataFrame) -> DataFrame:
     return trailing.contest_buzz(fights.select("fighter1_name", "fighter2_name", "event_date"), series)
 
 
-def event_comments(comments: DataFrame, thread_order: str = "thread_title") -> DataFrame:
-    """First comments of each event's first matching thread, cut and scored.
+def event_comments(
+    comments: DataFrame, thread_order: str = "thread_title", per_event: int | None = None
+) -> DataFrame:
+    """Comments of each event's first matching thread, cut and scored.
 
-    A thread matches if its title holds the event name.
+    A thread matches if its title holds the event name. ``per_event`` keeps the
+    first so many comments of an event; without it all are kept.
     """
     matching = comments.filter(F.contains(F.lower("thread_title"), F.lower("event_name")))
     first = matching.groupBy("event_name").agg(F.min(thread_order).alias("thread_title"))
     one_thread = matching.join(first, ["event_name", "thread_title"], "left_semi")
-    kept = keep_first_n(
-        one_thread, ["event_name"], ["created_utc", "comment_text"], COMMENTS_PER_EVENT
-    )
+    kept = one_thread
+    if per_event is not None:
+        kept = keep_first_n(one_thread, ["event_name"], ["created_utc", "comment_text"], per_event)
     scored = score_texts(kept, "comment_text")
     return scored.withColumn("comment_text", text.truncate(F.col("comment_text")))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlytics.operators import learning, linkage, profile
+from eventlytics.operators.scale import shared_checkpoint
 from eventlytics.plans.etl import typed_attendance
 from eventlytics.sources import files
 
@@ -81,7 +82,7 @@ def rolling(
     df, features, _ = learning.prepare(
         labelled_events(spark, data, IMPROVED_LINKS), wanted, products=False
     )
-    folds = learning.rolling(df.persist(), features, years, exact=exact, **overrides)
+    folds = learning.rolling(shared_checkpoint(df), features, years, exact=exact, **overrides)
     return folds, profile.stability(folds, "r2")
 
 

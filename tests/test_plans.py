@@ -99,7 +99,8 @@ def test_comment_source(spark):
     rows = [("UFC 1", "ufc 1 discussion", f"hype {'x' * 600} {i}", i, now + dt.timedelta(minutes=i)) for i in range(120)]
     rows += [("UFC 1", "zz UFC 1 later", "boring", 1, now), ("UFC 1", "unrelated", "boring", 1, now)]
     df = spark.createDataFrame(rows, "event_name string, thread_title string, comment_text string, score int, created_utc timestamp")
-    kept = sources.event_comments(df)
+    assert sources.event_comments(df).count() == 120
+    kept = sources.event_comments(df, per_event=100)
     assert kept.count() == 100 and kept.filter("length(comment_text) > 500").count() == 0
     row = sources.event_sentiment(kept).first()
     assert row.comment_count == 100 and row.avg_sentiment == 1.0 and row.total_engagement == sum(range(100))
