@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from eventlytics.catalog import views as v
 from eventlytics.catalog.registry import query
 from eventlytics.operators import history, matchups, trailing
+from eventlytics.operators.scale import shared_checkpoint
 
 APPEARANCES = """appearances AS (
   SELECT fight_id, event_id, event_date, fighter1_name AS fighter_name, winner_name, method_category,
@@ -51,7 +52,7 @@ def r6(*names):
   FROM history""",
 )
 def entity_history(spark, sf):
-    out = history.fighter_features(v.bouts(spark, sf), v.stats(spark, sf))
+    out = history.fighter_features(shared_checkpoint(v.bouts(spark, sf)), v.stats(spark, sf))
     rates = ("win_rate_last5", "finish_rate_last5", "strike_acc", "td_acc")
     return out.withColumns({n: F.round(n, 6) for n in rates})
 

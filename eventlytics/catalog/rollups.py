@@ -8,6 +8,7 @@ from eventlytics.catalog import histories as h
 from eventlytics.catalog import views as v
 from eventlytics.catalog.registry import query
 from eventlytics.operators import graph, history, matchups, profile, rollup
+from eventlytics.operators.scale import shared_checkpoint
 
 
 @query(
@@ -136,7 +137,7 @@ def event_features(spark, sf):
     from eventlytics.plans.features import event_features as build
 
     place = F.col("location")
-    fights = v.bouts(spark, sf)
+    fights = shared_checkpoint(v.bouts(spark, sf))
     events = v.cards(spark, sf).withColumns(
         {"city": categories.city(place), "country": categories.country(place), "year": F.year("event_date")}
     )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from eventlytics.functions.categories import base_event_type
 from eventlytics.functions.text import contest_number, non_empty, normalize_name
-from eventlytics.operators.scale import keep_first, splittable
+from eventlytics.operators.scale import keep_first, shared_checkpoint, splittable
 
 # Series that may be linked by series and date alone.
 SERIES = (
@@ -78,14 +78,14 @@ def link_labels(
     ``labels`` holds event_name, event_date and the label. A later strategy
     only serves events the earlier ones left without a label.
     """
-    feed = with_match_keys(
-        labels.filter(F.col(label).isNotNull()).select("event_name", "event_date", label)
+    # every strategy reads the feed, so it is keyed once
+    feed = shared_checkpoint(
+        with_match_keys(labels.filter(F.col(label).isNotNull()).select("event_name", "event_date", label))
     )
     out = with_match_keys(events)
-    if "number" in strategies:
-        # events without a number must not meet in one task; '?…' matches nothing
-        apart = F.concat(F.lit("?"), F.col("event_id").cast("string"))
-        out = out.withColumn("number_key", F.coalesce("number_key", apart))
+    # events without a number or series must not meet in one task; '?…' matches nothing
+    apart = F.concat(F.lit("?"), F.col("event_id").cast("string"))
+    out = out.withColumns({k: F.coalesce(k, apart) for k in ("number_key", "series_key")})
     for s in strategies:
         keys, near = LOOKUPS[s]
         out = out.join(_lookup(feed, keys, near, label, s), list(keys), "left")

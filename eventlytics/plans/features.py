@@ -74,10 +74,14 @@ def event_features(
             rollup.card_counts(fights).drop("title_weight_class"),
             rollup.matchup_rollup(pairs),
             rollup.experience_rollup(fighter_feats, n),
+            # ordered over three columns, not over the joined rows
+            history.days_since_previous(events.select("event_id", "event_type", "event_date")).select(
+                "event_id", "days_since_last"
+            ),
         ],
     )
     day = F.col("event_date")
-    return history.days_since_previous(base).withColumns(
+    return base.withColumns(
         {
             "day_of_week": dates.day_of_week(day),
             "month": F.month(day),

@@ -125,3 +125,19 @@ def test_validity(spark):
     df = spark.createDataFrame(rows, "card string, fight_id int, name1 string, name2 string, weight_class string")
     out = {r.card: r.is_valid for r in cards.card_validity(df).collect()}
     assert out == {"ok": True, "twice": False, "short": False}
+
+
+def test_greedy_on_a_long_chain(spark):
+    """Falling scores let each round take one contest only; a card has but 14 places."""
+    rows = [("c", i, f"n{i:04d}", f"n{i + 1:04d}", 1.0 - i / 2000) for i in range(1000)]
+    df = spark.createDataFrame(rows, "card string, fight_id int, name1 string, name2 string, score double")
+    assert sorted(r.fight_id for r in cards.greedy_cards(df).collect()) == list(range(0, 28, 2))
+
+
+def test_unfinished_cards_say_so(spark):
+    rows = [("c", i, f"a{i}", f"b{i}", 0.0, 1.0, 0, 0, 0.0, 0.0, "uvw"[i % 3], False) for i in range(12)]
+    rows += [("c", 20 + i, f"a{i}", f"z{i}", 0.0, 1.0, 0, 0, 0.0, 0.0, "u", True) for i in range(3)]
+    scored = cards.score_candidates(spark.createDataFrame(rows, SCHEMA))
+    start = scored.filter("fight_id < 12").persist()
+    assert {r.settled for r in cards.improve_cards(scored, start, max_rounds=1).collect()} == {False}
+    assert {r.settled for r in cards.improve_cards(scored, start).collect()} == {True}

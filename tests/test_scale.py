@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from eventlytics.operators import incremental, profile, scale
 from tests.conftest import values
@@ -101,3 +102,44 @@ def test_correlations_use_rows_that_know_both(spark):
         assert r is None or r == pytest.approx(expected, abs=1e-9)
     top = profile.top_correlations(df, "a", ["b", "c", "flat"], 1).collect()
     assert {(r.a, r.b) for r in top} == {("a", "a"), ("a", "b"), ("b", "b")}
+
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+}
+
+
+def _plan_after(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_keys_are_split_against_reduced_sides(spark):
+    from eventlytics.operators import linkage, matchups
+
+    old = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, x in SKEW.items():
+        spark.conf.set(k, x)
+    try:
+        fights = spark.range(40_000, numPartitions=8).select(
+            F.col("id").alias("fight_id"), F.when(F.col("id") % 100 > 0, "hot").otherwise("n5").alias("fighter1_name"),
+            F.concat(F.lit("n"), F.col("id").cast("string")).alias("fighter2_name"),
+        )
+        fighters = spark.range(2_000).select(
+            F.col("id").alias("fighter_id"),
+            F.when(F.col("id") == 0, "hot").otherwise(F.concat(F.lit("n"), F.col("id").cast("string"))).alias("fighter_name"),
+        )
+        joined = matchups.role_join(
+            fights, matchups.unique_entities(fighters), "fighter_name", {"fighter1_name": "_1"}, ["fighter_id"]
+        )
+        assert "skew=true" in _plan_after(joined)
+        assert joined.filter("fighter_id_1 = 0").count() == 39_600
+        source = fighters.withColumnRenamed("fighter_name", "fighter1_name")
+        named = linkage.lookup_by_name(fights, source, "fighter1_name", {"fighter_id": "found"}, ["fighter_id"])
+        assert "skew=true" in _plan_after(named)
+    finally:
+        for k, x in old.items():
+            spark.conf.unset(k) if x is None else spark.conf.set(k, x)
