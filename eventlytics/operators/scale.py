@@ -18,6 +18,8 @@ from pyspark.sql.window import Window
 
 # A window partition or group up to this many rows is fine for one task.
 HOT_ROWS = 2_000_000
+# Steps of the sketch that narrows a bracket.
+GRID = 100
 # A counted side of narrow rows up to this length is broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -146,12 +148,14 @@ def exact_quantiles(
     value: str,
     probs: Sequence[float],
     accuracy: int = 20_000,
+    ordered_rows: int = 1_000_000,
 ) -> DataFrame:
     """Exact interpolated quantiles per group, as columns ``q0, q1, …``.
 
-    A mergeable sketch brackets each wanted rank; the second pass counts what
-    lies below the bracket and orders only the values inside it. Both passes
-    combine before the shuffle, so a group may be of any size.
+    A mergeable sketch brackets each wanted rank. While a bracket holds more than
+    ``ordered_rows`` rows, a sketch of its inside narrows it to a few hundredths; a
+    last pass counts what lies below and orders only the distinct values left. All
+    passes combine before the shuffle, so a group may be of any size.
     """
     data = df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("v_"))
     margin = 4.0 / accuracy
@@ -179,12 +183,17 @@ def exact_quantiles(
         ]
     )
     brackets = sketch.select(*groups, F.explode(bounds).alias("b")).select(*groups, "b.*")
-    if groups:
-        near = data.join(broadcast_checked(brackets), list(groups))
-    else:
+    def with_brackets(table: DataFrame) -> DataFrame:
+        if groups:
+            return data.join(broadcast_checked(table), list(groups))
         # one row per probability: read them as constants
-        known = [F.struct(*[F.lit(x).alias(n) for n, x in r.asDict().items()]) for r in brackets.collect()]
-        near = data.select("v_", F.explode(F.array(*known)).alias("b")).select("v_", "b.*")
+        known = [F.struct(*[F.lit(x).alias(n) for n, x in r.asDict().items()]) for r in table.collect()]
+        return data.select("v_", F.explode(F.array(*known)).alias("b")).select("v_", "b.*")
+
+    brackets = shared_checkpoint(brackets)
+    while narrower := _too_wide(with_brackets(brackets), groups, ordered_rows, max(accuracy, GRID * GRID)):
+        brackets = narrower
+    near = with_brackets(brackets)
     keys = [*groups, "q", "at"]
     counted = (
         near.filter(F.col("v_") <= F.col("hi"))
@@ -212,3 +221,27 @@ def exact_quantiles(
         F.max(F.when(F.col("q") == i, F.col("x_"))).alias(f"q{i}") for i in range(len(probs))
     ]
     return whole.groupBy(*groups).agg(*columns)
+
+
+def _too_wide(near: DataFrame, groups: Sequence[str], limit: int, accuracy: int) -> DataFrame | None:
+    """Brackets narrowed around their ranks; None if none was too wide or could shrink."""
+    own = [*groups, "q", "last", "at", "lo", "hi"]
+    held = F.when(F.col("v_").between(F.col("lo"), F.col("hi")), F.col("v_"))
+    steps = [i / GRID for i in range(GRID + 1)]
+    state = near.groupBy(*own).agg(
+        F.count_if(F.col("v_") < F.col("lo")).alias("below_"), F.count(held).alias("inside_"),
+        F.percentile_approx(held, steps, accuracy).alias("grid_"),
+    )
+    # one step of the grid to either side is far more than the sketch can be off
+    place = (F.floor("at") - F.col("below_")) / F.col("inside_") * GRID
+    wide = F.col("inside_") > limit
+    first = F.get("grid_", F.greatest(F.floor(place).cast("int") - 1, F.lit(0)))
+    last = F.get("grid_", F.least(F.ceil(place).cast("int") + 2, F.lit(GRID)))
+    state = shared_checkpoint(
+        state.withColumns({
+            "low_": F.when(wide, first).otherwise(F.col("lo")), "high_": F.when(wide, last).otherwise(F.col("hi"))
+        })
+    )
+    if state.filter((F.col("low_") > F.col("lo")) | (F.col("high_") < F.col("hi"))).isEmpty():
+        return None
+    return state.select(*own[:-2], F.col("low_").alias("lo"), F.col("high_").alias("hi"))

@@ -28,6 +28,29 @@ def test_quantiles_are_exact(spark, accuracy):
     assert total == pytest.approx(float(np.quantile(everything, 0.5)), rel=1e-12)
 
 
+def test_brackets_are_narrowed(spark, monkeypatch):
+    """A coarse sketch over many distinct values, and few rows allowed in order."""
+    df = spark.range(200_000, numPartitions=4).select(
+        (F.col("id") % 2).cast("string").alias("g"), F.pmod(F.xxhash64("id"), F.lit(10**9)).cast("double").alias("x")
+    )
+    sizes, narrow = [], scale._too_wide
+
+    def watched(near, groups, limit, accuracy):
+        inside = near.filter("v_ BETWEEN lo AND hi").groupBy(*groups, "q").count()
+        sizes.append(max(r["count"] for r in inside.collect()))
+        return narrow(near, groups, limit, accuracy)
+
+    monkeypatch.setattr(scale, "_too_wide", watched)
+    for groups in (["g"], []):
+        sizes.clear()
+        out = scale.exact_quantiles(df, groups, "x", [0.1, 0.5, 0.99], accuracy=50, ordered_rows=500).collect()
+        assert sizes[0] > 10_000 and sizes[-1] <= 500 and len(sizes) > 2
+        frame = df.toPandas()
+        for r in out:
+            own = frame[frame.g == r.g] if groups else frame
+            assert list(r)[len(groups):] == pytest.approx(list(np.quantile(own.x, [0.1, 0.5, 0.99])), rel=1e-12)
+
+
 def test_dense_ids_follow_key_order(spark):
     names = [f"n{i:03d}" for i in range(100)]
     df = spark.createDataFrame([(n,) for n in random.Random(1).sample(names, 100)], "name string")
