@@ -42,6 +42,26 @@ def links_with_prefix(spark, sf):
     return pages.links(v.spread_table(spark, sf, "pages"), "/", shortest_text=0).select("page_id", "href", "pos")
 
 
+TEXT = r"""trim(regexp_replace(regexp_replace({}, '<[^>]*>', '', 'g'), '^\s+|\s+$', '', 'g'))"""
+
+
+@query(
+    "h2_links_filtered",
+    r"""WITH found AS (
+      SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 1)) AS href,
+        unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 2)) AS body,
+        generate_subscripts(regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 1), 1) AS i FROM pages),
+    wanted AS (SELECT page_id, href, i, """ + TEXT.format("body") + r""" AS text FROM found),
+    first AS (SELECT page_id, href, min(i) AS i, arg_min(text, i) AS text FROM wanted
+      WHERE starts_with(href, '/') AND length(text) >= 3 AND NOT contains(text, 'the') AND NOT contains(lower(href), 'en')
+      GROUP BY page_id, href)
+    SELECT page_id, href, text, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS pos FROM first""",
+)
+def links_filtered(spark, sf):
+    found = pages.links(v.spread_table(spark, sf, "pages"), "/", 3, without_text="the", without_href="en")
+    return found.select("page_id", "href", "text", "pos")
+
+
 @query(
     "h1_page_facts",
     """SELECT o_orderkey AS page_id, 'http://x.example/' || o_orderkey AS url,

@@ -88,9 +88,12 @@ def links(
         return hit
 
     found = pages.select(*keep, F.filter(anchors, wanted).alias("a_"))
-    targets = found.withColumn("h_", F.transform("a_", lambda a: a["href"]))
-    first = F.filter("a_", lambda a, i: F.array_position(F.col("h_"), a["href"]) == i + 1)
-    return targets.select(*keep, F.posexplode(first).alias("pos", "a")).select(*keep, "pos", "a.*")
+    # links by target and place: the first of a target follows one of another target
+    by_href = F.array_sort(F.transform("a_", lambda a, i: F.struct(a["href"], i.alias("i"), a["text"])))
+    targets = found.withColumn("s_", by_href)
+    first = F.filter("s_", lambda a, i: (i == 0) | (F.get("s_", i - 1)["href"] != a["href"]))
+    placed = F.array_sort(F.transform(first, lambda a: F.struct(a["i"], a["href"], a["text"])))
+    return targets.select(*keep, F.posexplode(placed).alias("pos", "a")).select(*keep, "pos", "a.href", "a.text")
 
 
 def facts(pages: DataFrame) -> DataFrame:
