@@ -5,13 +5,14 @@
    with fewer than the threshold's share of such shingles can link with nothing.
    The others write their shared shingles to files that workers map.
 2. Documents with equal sets are one class, named by its smallest id. Classes
-   that share a smallest hash are compared with the smallest id among them, and
-   what links becomes a cluster: a group of near copies costs one comparison for
-   each member, not one for each pair.
+   that share a smallest hash are compared with one among them, and what links
+   becomes a cluster; several rounds with other hashes take other leaders, so a
+   group of near copies costs a few comparisons for each member, not one a pair.
 3. An inverted index leads each shingle to the clusters that hold it. For every
    class the lists of its shingles are searched for other clusters that reach
    the required overlap (DivideSkip: short lists are merged, long ones probed by
-   binary search). Members of such clusters are compared exactly.
+   binary search). Of such a cluster the smallest member is compared first; if that
+   doesn't link, the same search runs over its members, 512 at a time.
 
 Any two documents that link are in one cluster or found by 3, so the components
 are exact.
@@ -40,12 +41,13 @@ from eventlytics.llm.hashstore import (
 )
 from eventlytics.llm.links import components
 from eventlytics.llm.ngram_lm import hashed
-from eventlytics.operators.scale import shared_checkpoint
+from eventlytics.operators.scale import shared_checkpoint, splittable
 
 SHINGLE_WORDS = 5
 SIMILARITY = 75  # in hundredths
 ROUNDS = 3
 FLUSH_SHINGLES = 4_000_000
+PART_MEMBERS = 512
 PROBED_SHARE = 0.5  # of the lists that may be skipped, the longest are probed
 
 
@@ -87,15 +89,15 @@ def linked(common: int, one: int, other: int, similarity: int) -> bool:
     return 100 * common >= similarity * (one + other - common) and common > 0
 
 
-def divide_skip(lists: list[np.ndarray], needed: int) -> np.ndarray:
-    """Ids on at least ``needed`` of the sorted lists.
+def divide_skip(lists: list[np.ndarray], needed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids on at least ``needed`` of the sorted lists, and on how many each is.
 
     An id that misses all of the ``long`` longest lists is on few enough of them
     to matter only if it is on ``needed - long`` short ones: these are merged, and
     ids found there are looked up in the long lists.
     """
     if needed <= 0 or len(lists) < needed:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     lists = sorted(lists, key=len)
     long = int(PROBED_SHARE * (needed - 1))
     short = lists[: len(lists) - long]
@@ -107,7 +109,8 @@ def divide_skip(lists: list[np.ndarray], needed: int) -> np.ndarray:
             break
         at = np.minimum(np.searchsorted(probed, ids), len(probed) - 1)
         counts = counts + (probed[at] == ids)
-    return ids[counts >= needed]
+    enough = counts >= needed
+    return ids[enough], counts[enough]
 
 
 _PACKED = "shard int, keys binary, more binary"
@@ -314,7 +317,7 @@ def _searcher(similarity: int, index: dict, lists: dict[int, str], name: str):
                     arrays[int(s)].part(int(b), int(n)).view(np.int64)
                     for s, (b, n) in zip(owner, at[hit], strict=True)
                 ]
-                found += [(row["doc_id"], c) for c in divide_skip(postings, needed).tolist() if c != row["cluster"]]
+                found += [(row["doc_id"], c) for c in divide_skip(postings, needed)[0].tolist() if c != row["cluster"]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())],
                 ["doc_id", "other"],
@@ -323,11 +326,61 @@ def _searcher(similarity: int, index: dict, lists: dict[int, str], name: str):
     return run
 
 
-def _clusters(sets: DataFrame, links: DataFrame) -> DataFrame:
-    """The classes with the cluster that links put them in."""
+_PARTS = "theirs bigint, members string, m bigint, k bigint"
+
+
+def _divider(folder: str):
+    """Part of a cluster -> a file of its members and their inverted lists."""
+
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        members = rows.sort_by("doc_id").to_pylist()
+        sets = [Array(r["place"]).part(r["start"], r["length"]) for r in members]
+        keys = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        order = np.lexsort([owner, keys])
+        ids, sizes = (np.array([r[c] for r in members], np.int64) for c in ("doc_id", "n"))
+        place = write_array(
+            folder, np.concatenate([ids.view(np.uint64), sizes.view(np.uint64), keys[order], owner[order].view(np.uint64)])
+        )
+        return pa.table({
+            "theirs": pa.array([key[0].as_py()], pa.int64()), "members": pa.array([place]),
+            "m": pa.array([len(ids)], pa.int64()), "k": pa.array([len(keys)], pa.int64()),
+        })
+
+    return run
+
+
+def _member_searcher(similarity: int):
+    """A class and a part of another cluster -> the first member that it links with, if any does."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            for row in batch.to_pylist():
+                own = Array(row["place"]).part(row["start"], row["length"])
+                m, k = row["m"], row["k"]
+                file = Array(row["members"])
+                ids, sizes, owner = (file.part(a, n).view(np.int64) for a, n in ((0, m), (m, m), (2 * m + k, k)))
+                keys = file.part(2 * m, k)
+                low, high = np.searchsorted(keys, own), np.searchsorted(keys, own, "right")
+                lists = [owner[a:b] for a, b in zip(low, high, strict=True) if b > a]
+                at, common = divide_skip(lists, required(row["n"], similarity))
+                good = 100 * common >= similarity * (row["n"] + sizes[at] - common)
+                if good.any():
+                    found.append((row["doc_id"], int(ids[at[good]].min())))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"]
+            )
+
+    return run
+
+
+def _clusters(sets: DataFrame, links: DataFrame, width: int) -> DataFrame:
+    """The classes with the cluster that links put them in, dealt out for the search."""
     of = components(links).select(F.col("id").alias("doc_id"), "component_id")
     return shared_checkpoint(
-        sets.join(of, "doc_id", "left").withColumn("cluster", F.coalesce("component_id", "doc_id")).drop("component_id")
+        sets.join(of, "doc_id", "left").withColumn("cluster", F.coalesce("component_id", "doc_id"))
+        .drop("component_id").repartition(width, "doc_id")
     )
 
 
@@ -369,7 +422,7 @@ def jaccard_components(
     links = shared_checkpoint(_links(pairs.filter("a <> b").distinct(), first, similarity))
     # members of a class hold together as well
     same = known.join(classes, sets).select(F.col("doc_id").alias("a"), F.col("class").alias("b")).filter("a <> b")
-    clustered = _clusters(first, links)
+    clustered = _clusters(first, links, shards)
 
     index = (
         clustered.select("cluster", "place", "start", "length").mapInArrow(_inverter(shards), _PACKED)
@@ -384,16 +437,22 @@ def jaccard_components(
     # most such clusters are joined by their smallest member; only the rest is compared member by member
     heads = found.select(F.col("doc_id").alias("a"), F.col("other").alias("b"))
     links = shared_checkpoint(links.unionByName(_links(heads, first, similarity)))
-    clustered = _clusters(first, links)
+    clustered = _clusters(first, links, shards)
     now = clustered.select("doc_id", "cluster")
-    rest = (
+    rest = shared_checkpoint(
         found.join(now, "doc_id").join(now.select(F.col("doc_id").alias("other"), F.col("cluster").alias("theirs")), "other")
         .filter("cluster <> theirs").select("doc_id", "theirs").distinct()
     )
-    members = rest.join(now.select(F.col("doc_id").alias("b"), F.col("cluster").alias("theirs")), "theirs").select(
-        F.col("doc_id").alias("a"), "b"
+    wanted = clustered.withColumnRenamed("cluster", "theirs").join(rest.select("theirs").distinct(), "theirs", "left_semi")
+    sizes = splittable(wanted.groupBy("theirs").agg(F.ceil(F.count("*") / PART_MEMBERS).alias("parts")))
+    parts = shared_checkpoint(
+        wanted.join(sizes, "theirs").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")))
+        .select("theirs", "part", "doc_id", "n", "place", "start", "length")
+        .groupBy("theirs", "part").applyInArrow(_divider(f"{folder}/parts"), _PARTS)
     )
-    links = links.unionByName(_links(members, first, similarity)).unionByName(same)
+    asked = rest.join(parts, "theirs").join(first.select("doc_id", "n", "place", "start", "length"), "doc_id")
+    late = asked.repartition(shards, "doc_id", "members").mapInArrow(_member_searcher(similarity), "a bigint, b bigint")
+    links = links.unionByName(late).unionByName(same)
     of = components(links).select(F.col("id").alias("doc_id"), "component_id")
     return described.select("doc_id", F.col("n").alias("n_shingles")).join(of, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
