@@ -45,7 +45,7 @@ from eventlytics.operators.scale import shared_checkpoint, splittable
 
 SHINGLE_WORDS = 5
 SIMILARITY = 75  # in hundredths
-ROUNDS = 3
+ROUNDS = 6
 FLUSH_SHINGLES = 4_000_000
 PART_MEMBERS = 512
 PROBED_SHARE = 0.5  # of the lists that may be skipped, the longest are probed
@@ -417,7 +417,7 @@ def jaccard_components(
     first = shared_checkpoint(first.dropDuplicates([*sets, "doc_id"]))
 
     keyed = first.select("doc_id", F.posexplode("mins").alias("round", "key"))
-    leaders = shared_checkpoint(keyed.groupBy("round", "key").agg(F.min("doc_id").alias("b"), F.count("*").alias("k")))
+    leaders = shared_checkpoint(keyed.groupBy("round", "key").agg(F.min_by("doc_id", F.xxhash64("doc_id", "round")).alias("b"), F.count("*").alias("k")))
     pairs = keyed.join(leaders.filter("k > 1"), ["round", "key"]).select(F.col("doc_id").alias("a"), "b")
     links = shared_checkpoint(_links(pairs.filter("a <> b").distinct(), first, similarity))
     # members of a class hold together as well
