@@ -106,6 +106,16 @@ def _sums(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return order[new], keys[new], added
 
 
+def _coded(words: np.ndarray) -> tuple[bytes, bytes]:
+    """The distinct words, and which of them each word is: few words make many n-grams."""
+    distinct, place = np.unique(words, return_inverse=True)
+    return to_planes(distinct), to_planes(place.astype(np.uint32))
+
+
+def _decoded(distinct: bytes, place: bytes) -> np.ndarray:
+    return from_planes(distinct)[from_planes(place, np.uint32)]
+
+
 def _rows(kind: str, level: int, shards: int, keys: np.ndarray, words: list[np.ndarray],
           counts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     """Sorted keys cut into shards; words and counts go along, packed."""
@@ -116,7 +126,7 @@ def _rows(kind: str, level: int, shards: int, keys: np.ndarray, words: list[np.n
             order = np.lexsort([w[a:b] for w in reversed(words)]) + a  # equal words stand together
             yield pa.RecordBatch.from_pylist([{
                 "kind": kind, "level": level, "shard": int(owner[a]),
-                "words": [to_planes(w[order]) for w in words],
+                "words": [x for w in words for x in _coded(w[order])],
                 "counts": [to_planes(c[order].astype(np.uint32)) for c in counts],
             }], _ARROW)
 
@@ -154,7 +164,11 @@ def _reducer(folder: str, shards: int):
         kind, level, shard = (k.as_py() for k in key)
         if kind.endswith("-file"):  # of an order that is done
             return rows
-        words = [np.concatenate([from_planes(x) for x in column]) for column in zip(*rows["words"].to_pylist(), strict=True)]
+        coded = list(zip(*rows["words"].to_pylist(), strict=True))
+        words = [
+            np.concatenate([_decoded(a, b) for a, b in zip(first, second, strict=True)])
+            for first, second in zip(coded[::2], coded[1::2], strict=True)
+        ]
         counts = [
             np.concatenate([from_planes(x, np.uint32) for x in column]).astype(np.int64)
             for column in zip(*rows["counts"].to_pylist(), strict=True)
