@@ -41,8 +41,8 @@ def words_of(text: str) -> list[str]:
 def subwords(word: str) -> list[int]:
     """Rows of a word: itself and its n-grams of 3 to 5 characters, bounds marked."""
     marked = f"<{word}>"
-    grams = {marked} | {marked[i : i + n] for n in (3, 4, 5) for i in range(len(marked) - n + 1)}
-    return [crc32(g.encode()) % BUCKETS for g in sorted(grams)]
+    grams = [marked[i : i + n] for n in (3, 4, 5) for i in range(len(marked) - n + 1)]
+    return [crc32(g.encode()) % BUCKETS for g in dict.fromkeys([marked, *grams])]
 
 
 def worst(scores: np.ndarray, passage: int = PASSAGE) -> tuple[float, int]:
@@ -84,6 +84,14 @@ class _Words:
         within = np.arange(counts.sum()) - np.repeat(starts, counts)
         return self.flat[np.repeat(self.starts[words], counts) + within], starts
 
+    def means(self, table: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Of each word, the mean of its subwords' entries in ``table``."""
+        if not len(words):
+            return np.zeros((0, *table.shape[1:]))
+        rows, starts = self.rows(words)
+        counts = self.counts[words].reshape(-1, *[1] * (table.ndim - 1))
+        return np.add.reduceat(table[rows], starts) / counts
+
 
 def train(texts: list[str], toxic: list[int], seed: int = 7) -> Model:
     """Adagrad over the documents in shuffled batches; the same sample gives the same model."""
@@ -97,39 +105,30 @@ def train(texts: list[str], toxic: list[int], seed: int = 7) -> Model:
         order = rng.permutation(len(texts))
         for begin in range(0, len(order), BATCH):
             batch = order[begin : begin + BATCH]
-            known = np.unique(np.concatenate([words.docs[i] for i in batch]))
-            rows, starts = words.rows(known)
-            means = np.zeros((len(known), DIM))
-            if len(known):
-                means = np.add.reduceat(embedding[rows], starts) / words.counts[known][:, None]
-            score = means @ (output[:, 1] - output[:, 0])
-            chosen, owner = [], []
-            for k, i in enumerate(batch):
-                own = np.searchsorted(known, words.docs[i])
-                if epoch:  # the first pass takes whole documents, so that the worst passage means something
-                    at = worst(score[own])[1]
-                    own = own[at : at + PASSAGE]
-                chosen.append(own)
-                owner.append(np.full(len(own), k))
-            used, of = np.concatenate(chosen), np.concatenate(owner)
-            size = np.maximum(np.bincount(of, minlength=len(batch)), 1)[:, None]
-            hidden = np.zeros((len(batch), DIM))
-            np.add.at(hidden, of, means[used])
-            hidden /= size
+            chosen = [words.docs[i] for i in batch]
+            if epoch:  # the first pass takes whole documents, so that the worst passage means something
+                known, place = np.unique(np.concatenate(chosen), return_inverse=True)
+                score = words.means(embedding @ (output[:, 1] - output[:, 0]), known)[place]
+                ends = np.cumsum([len(own) for own in chosen])
+                at = [worst(score[end - len(own) : end])[1] for own, end in zip(chosen, ends, strict=True)]
+                chosen = [own[i : i + PASSAGE] for own, i in zip(chosen, at, strict=True)]
+            of = np.repeat(np.arange(len(batch)), [len(own) for own in chosen])
+            used, place = np.unique(np.concatenate(chosen), return_inverse=True)
+            size = np.maximum(np.bincount(of, minlength=len(batch)), 1)
+            # how much each distinct word weighs in each document of the batch
+            share = np.zeros((len(batch), len(used)))
+            np.add.at(share, (of, place), 1 / size[of])
+            hidden = share @ words.means(embedding, used)
             logits = hidden @ output + bias
-            share = np.exp(logits - logits.max(1, keepdims=True))
-            share /= share.sum(1, keepdims=True)
-            share[np.arange(len(batch)), label[batch]] -= 1  # gradient of the logits
-            up = share @ output.T / size
-            per_word = np.zeros_like(means)
-            np.add.at(per_word, used, up[of])
-            per_word /= np.maximum(words.counts[known], 1)[:, None]
-            hit = np.flatnonzero(np.abs(per_word).sum(1))
-            rows, starts = words.rows(known[hit])
+            wrong = np.exp(logits - logits.max(1, keepdims=True))
+            wrong /= wrong.sum(1, keepdims=True)
+            wrong[np.arange(len(batch)), label[batch]] -= 1  # gradient of the logits
+            per_word = share.T @ (wrong @ output.T) / words.counts[used][:, None]
+            rows, _ = words.rows(used)
             distinct, place = np.unique(rows, return_inverse=True)
-            change = np.zeros((len(distinct), DIM))
-            np.add.at(change, place, np.repeat(per_word[hit], words.counts[known[hit]], axis=0))
-            steps = ((embedding, distinct, change), (output, slice(None), hidden.T @ share), (bias, slice(None), share.sum(0)))
+            back = np.repeat(per_word, words.counts[used], axis=0)
+            change = np.stack([np.bincount(place, back[:, k], len(distinct)) for k in range(DIM)], 1)
+            steps = ((embedding, distinct, change), (output, slice(None), hidden.T @ wrong), (bias, slice(None), wrong.sum(0)))
             for (matrix, at, gradient), past in zip(steps, seen, strict=True):
                 past[at] += gradient**2
                 matrix[at] -= RATE * gradient / np.sqrt(past[at])
@@ -158,11 +157,12 @@ def fit(
 
 class Scorer:
     def __init__(self, rows: np.ndarray, bias: float) -> None:
-        self.rows, self.bias = rows, bias
+        self.rows, self.bias = rows.tolist(), bias
         self.known: dict[str, float] = {}
 
     def _word(self, word: str) -> float:
-        value = float(self.rows[subwords(word)].mean())
+        grams = subwords(word)
+        value = sum(map(self.rows.__getitem__, grams)) / len(grams)
         if len(self.known) >= KNOWN_WORDS:
             self.known.clear()
         self.known[word] = value
