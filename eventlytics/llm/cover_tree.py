@@ -138,8 +138,26 @@ def dual(one: np.ndarray, first: Tree, other: np.ndarray, second: Tree, similari
             close = _paired(one, other, x, y) >= similarity
             yield x[close], y[close]
         else:
-            a, b = a[going], b[going]
-            a, b, _ = _product(*(x.astype(np.int64) for x in (nodes[a, 3], nodes[a, 4], others[b, 3], others[b, 4])))
+            a, b = _children(one, first.levels, other, second.levels, level, a[going], b[going], limit)
+
+
+def _children(one: np.ndarray, levels: list[np.ndarray], other: np.ndarray, levels2: list[np.ndarray],
+              level: int, a: np.ndarray, b: np.ndarray, limit: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of children of the pairs of nodes. Where a pair has many, those too far apart are left out at once."""
+    bounds = [x.astype(np.int64) for x in (levels[level][a, 3], levels[level][a, 4], levels2[level][b, 3], levels2[level][b, 4])]
+    many = (bounds[1] - bounds[0]) * (bounds[3] - bounds[2]) > 65536
+    parts = [_product(*(x[~many] for x in bounds))[:2]]
+    below, below2 = levels[level + 1], levels2[level + 1]
+    for a0, a1, b0, b1 in zip(*(x[many].tolist() for x in bounds), strict=True):
+        heads, theirs = below[a0:a1, 0].astype(np.int64), below2[b0:b1, 0].astype(np.int64)
+        # cosines at which centres are as far apart as the threshold and both radii allow
+        least = below[a0:a1, 2][:, None] + (below2[b0:b1, 2] + (limit + _SLACK))[None, :]
+        np.multiply(least, least, out=least)
+        least *= -0.5
+        least += 1
+        x, y = np.nonzero(one[heads] @ other[theirs].T >= least)
+        parts.append((x + a0, y + b0))
+    return np.concatenate([x for x, _ in parts]), np.concatenate([y for _, y in parts])
 
 
 def forest(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
