@@ -1,10 +1,12 @@
 """Approximate nearest neighbours on robust-pruned directed graphs.
 
-Rows are dealt by the hash of their id into shards of about 4096 vectors. Every
+Equal vectors are indexed once: one vector stands for its class, with the ``k + 1``
+smallest ids of it, and what a search finds is expanded to ids before it is ranked.
+Classes are dealt by the hash of their vector into shards of about 4096. Every
 shard gets a graph: points enter in batches, a greedy beam search on the graph so
 far proposes neighbours, and relaxed pruning keeps one only if no kept neighbour
 is closer to it by the factor ``alpha`` than the point itself, so that edges stay
-diverse; reverse edges are added and pruned alike. All rows are indexed. A query
+diverse; reverse edges are added and pruned alike. All classes are indexed. A query
 runs a beam search in every shard; the nearest of all shards are its answer.
 """
 
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from eventlytics.llm.common import smallest
 from eventlytics.llm.hashstore import new_folder
 from eventlytics.llm.vectors import load, matrix, save, usable
 from eventlytics.operators.scale import shared_checkpoint
@@ -134,20 +137,22 @@ def build(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, alph
     return graph, entry
 
 
-_INDEX = "dim int, shard bigint, place string, n bigint, entry bigint"
+_INDEX = "dim int, shard bigint, place string, n bigint, n_ids bigint, entry bigint"
 
 
 def _indexer(folder: str, degree: int, beam: int, alpha: float):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         dim, shard = (k.as_py() for k in key)
-        ids = rows["vec_id"].to_numpy()
-        order = np.argsort(ids, kind="stable")  # the same graph whatever order rows arrive in
-        ids, points = ids[order], matrix(rows, dim)[order]
+        # the same graph whatever order rows arrive in
+        rows = rows.sort_by([("p1", "ascending"), ("p2", "ascending")])
+        lists = rows["ids"].combine_chunks()
+        ids, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy(), dtype=np.int64)
+        points = matrix(rows, dim)
         graph, entry = build(points, degree, beam, alpha)
-        place = save(folder, ids, points, graph[:-1])
+        place = save(folder, ends, ids, points, graph[:-1])
         return pa.table({
             "dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int64()), "place": [place],
-            "n": pa.array([len(ids)], pa.int64()), "entry": pa.array([entry], pa.int64()),
+            "n": pa.array([len(ends)], pa.int64()), "n_ids": pa.array([len(ids)], pa.int64()), "entry": pa.array([entry], pa.int64()),
         })
 
     return run
@@ -162,12 +167,38 @@ def _blocks(folder: str):
     return run
 
 
+def _ranked(own: np.ndarray, found: np.ndarray, gaps: np.ndarray, ends: np.ndarray, ids: np.ndarray,
+            k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query id, id, distance) of the ``k`` nearest ids of each query, out of the classes found for it."""
+    row, column = np.nonzero(found >= 0)
+    groups, gap = found[row, column], gaps[row, column]
+    sizes = np.diff(ends, prepend=0)[groups]
+    row, gap = np.repeat(row, sizes), np.repeat(gap, sizes)
+    # the places of each class's ids, end to end
+    names = ids[np.repeat(ends[groups] - np.cumsum(sizes), sizes) + np.arange(sizes.sum())]
+    other = names != own[row]
+    row, gap, names = row[other], gap[other], names[other]
+    order = np.lexsort((gap, names, row))
+    row, gap, names = row[order], gap[order], names[order]
+    first = np.ones(len(row), bool)  # an id counts once, where it is nearest
+    first[1:] = (row[1:] != row[:-1]) | (names[1:] != names[:-1])
+    row, gap, names = row[first], gap[first], names[first]
+    order = np.lexsort((names, gap, row))
+    row, gap, names = row[order], gap[order], names[order]
+    good = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return own[row[good]], names[good], gap[good]
+
+
 def _searcher(k: int, degree: int, beam: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 dim, n = row["dim"], row["n"]
-                ids, points, graph = load(row["place"], n, (np.int64, 1), (np.float64, dim), (np.int64, degree))
+                (ends,) = load(row["place"], n, (np.int64, 1))
+                (ids,) = load(row["place"], row["n_ids"], (np.int64, 1), start=n)
+                points, graph = load(
+                    row["place"], n, (np.float64, dim), (np.int64, degree), start=n + row["n_ids"]
+                )
                 points = points.reshape(n, dim)
                 graph = np.concatenate([graph.reshape(n, degree), np.full((1, degree), -1)])
                 own, queries = load(row["queries"], row["q"], (np.int64, 1), (np.float64, dim))
@@ -178,14 +209,8 @@ def _searcher(k: int, degree: int, beam: int):
                     part = queries[a : a + BATCH]
                     found, _ = beam_search(points, squares, graph, row["entry"], part, beam)
                     exact = np.sqrt(((points[found] - part[:, None]) ** 2).sum(2))
-                    names = ids[found]
-                    exact[(found < 0) | (names == own[a : a + BATCH, None])] = np.inf
-                    best = np.lexsort((names, exact), axis=1)[:, :k]
-                    exact, names = np.take_along_axis(exact, best, 1), np.take_along_axis(names, best, 1)
-                    good = np.isfinite(exact)
-                    out[0].append(np.broadcast_to(own[a : a + BATCH, None], good.shape)[good])
-                    out[1].append(names[good])
-                    out[2].append(exact[good])
+                    for held, new in zip(out, _ranked(own[a : a + BATCH], found, exact, ends, ids, k), strict=True):
+                        held.append(new)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["query_id", "vec_id", "score"])
 
     return run
@@ -202,28 +227,36 @@ def nearest(
     precision; ties go to the smaller id. A row with the query's own id is no
     answer. Vectors that are null or zero or hold null or non-finite components
     take no part, nor do ids that are null; vectors of another length are never
-    compared. Queries are told by their ids: of rows that share one, all ask.
+    compared. Queries are told by their ids: of rows that share one, all ask. Equal
+    vectors take one place of the beam, however many they are.
     """
     spark = table.sparkSession
     folder, beam = new_folder(spark, "graphs"), max(beam, k + 1)
 
-    def rows(frame: DataFrame) -> DataFrame:
-        return usable(frame, id_col, vector_col)
-
-    def dealt(frame: DataFrame, per_group: int, name: str) -> DataFrame:
-        groups = max(1, round(rows(frame).count() / per_group))
-        return rows(frame).withColumn(name, F.pmod(F.xxhash64("vec_id"), F.lit(groups)))
+    def dealt(frame: DataFrame, key: str, per_group: int, name: str) -> DataFrame:
+        groups = max(1, round(frame.count() / per_group))
+        return frame.withColumn(name, F.pmod(F.xxhash64(key), F.lit(groups)))
 
+    # 0.0 and -0.0 are one component
+    rows = usable(table, id_col, vector_col).withColumn("v", F.transform("v", lambda x: x + F.lit(0.0)))
+    rows = rows.withColumn("class_", F.struct(F.xxhash64("v").alias("p1"), F.xxhash64(F.lit(1), "v").alias("p2")))
+    # of equal vectors, no more than k and the query's own id can be among the answers
+    few = smallest(rows.select("class_", "vec_id").distinct(), "class_", ["vec_id"], k + 1)
+    classes = shared_checkpoint(
+        rows.groupBy("class_").agg(F.first("v").alias("v"), F.first("dim").alias("dim"))
+        .join(few.groupBy("class_").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "class_")
+        .select("class_.*", "v", "dim", "ids")
+    )
     index = shared_checkpoint(
-        dealt(table, shard, "shard").groupBy("dim", "shard")
+        dealt(classes, "p1", shard, "shard").groupBy("dim", "shard")
         .applyInArrow(_indexer(f"{folder}/index", degree, build_beam, alpha), _INDEX)
     )
     blocks = shared_checkpoint(
-        dealt(queries, QUERY_BLOCK, "block").groupBy("dim", "block")
+        dealt(usable(queries, id_col, vector_col), "vec_id", QUERY_BLOCK, "block").groupBy("dim", "block")
         .applyInArrow(_blocks(f"{folder}/queries"), "dim int, queries string, q bigint")
     )
     # every block of queries goes to every shard; rows hold the names of their files only
-    tasks = index.join(blocks, "dim").select("dim", "place", "n", "entry", "queries", "q")
+    tasks = index.join(blocks, "dim").select("dim", "place", "n", "n_ids", "entry", "queries", "q")
     found = tasks.repartition(
         max(spark.sparkContext.defaultParallelism, index.count()), "place", "queries"
     ).mapInArrow(_searcher(k, degree, beam), "query_id bigint, vec_id bigint, score double")

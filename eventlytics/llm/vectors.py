@@ -42,9 +42,9 @@ def save(folder: str, *columns: np.ndarray) -> str:
     return write_array(folder, np.concatenate(data))
 
 
-def load(place: str, count: int, *kinds: tuple[type, int]) -> list[np.ndarray]:
-    """The columns of a saved file: (type, width) each."""
-    file, at, out = Array(place), 0, []
+def load(place: str, count: int, *kinds: tuple[type, int], start: int = 0) -> list[np.ndarray]:
+    """The columns of a saved file, from its ``start``-th number on: (type, width) each."""
+    file, at, out = Array(place), start, []
     for kind, width in kinds:
         part = file.part(at, count * width).view(kind)
         out.append(part.reshape(count, width) if width > 1 else part)

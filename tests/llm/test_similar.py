@@ -245,6 +245,34 @@ def test_graph_search_odd_rows(spark):
     assert graph_search.nearest(frame.limit(0), frame.limit(0)).count() == 0
 
 
+def test_graph_search_with_a_third_of_the_rows_equal(spark):
+    vectors = clustered(6, 3000)
+    vectors[::3] = vectors[0]
+    vectors[::7] = vectors[1]  # and a group that lies partly in it
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    out = graph_search.nearest(frame, frame.filter("vec_id % 50 < 4"), shard=700, k=12).collect()
+    by = collections.defaultdict(list)
+    for r in sorted(out, key=lambda r: (r.query_id, r.rank)):
+        by[r.query_id].append(r.vec_id)
+    hits = 0
+    for q, found in by.items():
+        gaps = np.sqrt(((vectors - vectors[q]) ** 2).sum(1))
+        gaps[q] = np.inf
+        best = np.lexsort((np.arange(3000), gaps))[:12].tolist()
+        if gaps[best[-1]] == 0:  # the smallest ids of the own group
+            assert found == best
+        hits += len(set(found) & set(best))
+    assert len(by) == 240 and hits >= 0.98 * 12 * 240
+
+
+def test_graph_search_ids_that_repeat(spark):
+    rows = [(1, [0.0, 1.0]), (1, [-0.0, 1.0]), (1, [0.0, 2.0]), (2, [0.0, 1.0]), (3, [0.0, 1.0]), (3, [0.0, 1.5])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = spark.createDataFrame([(2, [0.0, 1.0]), (9, [0.0, 2.0])], "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in graph_search.nearest(frame, asked, k=2).orderBy("query_id", "rank").collect()]
+    assert got == [(2, 1, 1, 0.0), (2, 2, 3, 0.0), (9, 1, 1, 0.0), (9, 2, 3, 0.5)]
+
+
 def test_op7_recall_on_a_table(spark, small):
     table = spark.read.parquet(f"{small}/embeddings.parquet").orderBy("vec_id").collect()
     ids, vectors = [r.vec_id for r in table], np.array([r.embedding for r in table], np.float64)
