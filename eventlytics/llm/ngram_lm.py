@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from eventlytics.llm.common import from_planes, id_and_text, mix, once, text_slices, texts_of, to_planes
 from eventlytics.llm.hashstore import Reader, Store, new_folder, shard_of, shards_for, write_shard
 
-ORDER = 2
+ORDER = 3
 FLUSH_TOKENS = 4_000_000
 
 _SCHEMA = "kind string, level int, shard int, words array<binary>, counts array<binary>, place string, sums array<bigint>"

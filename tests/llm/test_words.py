@@ -90,6 +90,21 @@ def test_ngram_scores_equal_dictionaries(spark, order):
     assert model.tokens == sum(len(t.split()) + 1 for t in train)
 
 
+def test_op1_counts_contexts_of_two_words(spark, tmp_path):
+    rng = random.Random(5)
+    # the last word is told by the two before it, not by one
+    lines = [f"{a} {b} {'xy'[(a + b) % 2]}" for a, b in ((rng.randrange(6), rng.randrange(6)) for _ in range(80))]
+    spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = QUERIES["op1_ngram_lm"](spark, str(tmp_path)).collect()
+    train = [t.split() + [""] for i, t in enumerate(lines) if zlib.crc32(str(i).encode()) % 5 != 1]
+    p = kneser_ney(train, 3)
+    assert len(out) == len(lines)
+    for r in out:
+        words = ["<s>", "<s>", *lines[r.doc_id].split(), ""]
+        want = sum(math.log10(p(words[i - 2 : i], words[i])) for i in range(2, len(words)))
+        assert r.score == pytest.approx(want, rel=1e-9)
+
+
 def test_ngram_probabilities_add_up(spark):
     frame = spark.createDataFrame([(1, "a b a"), (2, "b c"), (3, "c c a b")], "doc_id long, text string")
     scorer = ngram_lm.Scorer(ngram_lm.fit(frame, order=2))
