@@ -20,8 +20,9 @@ VOCABULARY = "byte_bpe_50k.json"
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; others go (no letter, or no language likelier than all else)."""
-    return language.keep_known(docs, language.fit(docs))
+    """Documents whose language is recognised; others go (no letter, no language likelier
+    than all else, or a code too long for a text of the likeliest one)."""
+    return language.keep_known(docs, language.fit(docs, spread=True))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

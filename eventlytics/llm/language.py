@@ -6,12 +6,17 @@ known context; where it was not seen there, an escape is paid and the next
 shorter context is asked, without the bytes already ruled out. Below the empty
 context all bytes left are alike. The statistics stay as fitted, so a text's
 code length is one sum of table entries; the shortest one names the language.
+
+How long the code of a text may be is measured: each half of the sample is coded by
+what the other half teaches. A text is strange when its bits a byte are more than
+``MARGIN`` deviations above the mean of its best language; the deviation joins that
+among learned texts with ``BYTE_SPREAD / sqrt(bytes)``, so that short texts may vary.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from uuid import uuid4
 
 import numpy as np
@@ -32,6 +37,11 @@ from eventlytics.llm.common import (
 ORDER = 3
 TEXTS_PER_LANGUAGE = 1000
 UNDETERMINED = "und"
+MARGIN = 4.0
+BYTE_SPREAD = 4.0  # bits; above that of single bytes, as neighbours depend on each other
+LEAST_SPREAD = 0.1
+LEAST_TEXTS = 8  # fewer measured texts than these give no limit
+WEIGHT_BYTES = 4096  # a longer text counts no more than one of this length
 _SHARDS = 16
 _PAD = b"\n" * ORDER
 
@@ -44,6 +54,8 @@ class Counts:
     languages: list[str]
     keys: list[np.ndarray]
     counts: list[np.ndarray]
+    #: language -> mean and deviation of the bits a byte of texts that were not learned
+    rates: dict[str, tuple[float, float]] = field(default_factory=dict)
 
 
 def _grams(texts: list[str]) -> np.ndarray:
@@ -59,13 +71,14 @@ def _grams(texts: list[str]) -> np.ndarray:
 
 def fit(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    texts_per_language: int = TEXTS_PER_LANGUAGE,
+    texts_per_language: int = TEXTS_PER_LANGUAGE, spread: bool = False,
 ) -> Counts:
     """Context statistics from a bounded sample: the ``texts_per_language`` rows of each
     language with the smallest hash of their id (rows that repeat an id count once).
 
     Rows without text or language teach nothing. The driver receives the counts
-    of the sample, one small row per language and sixteenth of the contexts.
+    of the sample, one small row per language and sixteenth of the contexts (of either
+    half, with ``spread``: then the bits a byte of the sample are measured too).
     """
     rows = id_and_text(docs, id_col, text_col, docs[lang_col].cast("string").alias("lang")).withColumn(
         "at", F.xxhash64("doc_id")
@@ -80,38 +93,84 @@ def fit(
     limit = F.element_at(F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair]), F.col("lang"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, list[np.ndarray]] = {}
+        found: dict[tuple[str, int], list[np.ndarray]] = {}
         for batch in text_slices(batches):
-            by: dict[str, list[str]] = {}
-            for lang, text in zip(batch.column("lang").to_pylist(), texts_of(batch), strict=True):
-                by.setdefault(lang, []).append(text)
-            for lang, texts in by.items():
-                old = found.get(lang, [np.zeros(0, np.uint32), np.zeros(0, np.int64)])
-                found[lang] = _add(*old, *np.unique(_grams(texts), return_counts=True))
-        for lang, (keys, counts) in found.items():
+            for key, texts in _by_part(batch).items():
+                old = found.get(key, [np.zeros(0, np.uint32), np.zeros(0, np.int64)])
+                found[key] = _add(*old, *np.unique(_grams(texts), return_counts=True))
+        for key, (keys, counts) in found.items():
             for shard in range(_SHARDS):
                 own = keys % _SHARDS == shard
                 if own.any():
-                    yield _packed(lang, shard, keys[own], counts[own])
+                    yield _packed(*key, shard, keys[own], counts[own])
 
     def merge(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         keys = np.concatenate([from_planes(x, np.uint32) for x in rows["keys"].to_pylist()])
         counts = np.concatenate([from_planes(x, np.uint32) for x in rows["counts"].to_pylist()])
         none = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        return pa.Table.from_batches([_packed(key[0].as_py(), key[1].as_py(), *_add(*none, keys, counts))])
+        return pa.Table.from_batches([_packed(*(k.as_py() for k in key), *_add(*none, keys, counts))])
 
-    schema = "lang string, shard int, keys binary, counts binary"
-    merged = (
-        rows.filter(F.col("at") <= limit).select("lang", "text").mapInArrow(count, schema)
-        .groupBy("lang", "shard").applyInArrow(merge, schema).collect()
-    )
+    schema = "lang string, half int, shard int, keys binary, counts binary"
+    half = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int") if spread else F.lit(0)
+    sample = rows.filter(F.col("at") <= limit).select("lang", "text", half.alias("half"))
+    merged = sample.mapInArrow(count, schema).groupBy("lang", "half", "shard").applyInArrow(merge, schema).collect()
     languages = sorted(cuts)
-    parts = {lang: [r for r in merged if r["lang"] == lang] for lang in languages}
-    return Counts(
-        uuid4().hex, languages,
-        [np.concatenate([from_planes(bytes(r["keys"]), np.uint32) for r in parts[x]]) for x in languages],
-        [np.concatenate([from_planes(bytes(r["counts"]), np.uint32) for r in parts[x]]) for x in languages],
+    parts: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]] = {}
+    for key in {(r["lang"], r["half"]) for r in merged}:
+        own = [r for r in merged if (r["lang"], r["half"]) == key]
+        keys, counts = (np.concatenate([from_planes(bytes(r[x]), np.uint32) for r in own]) for x in ("keys", "counts"))
+        parts[key] = keys, counts
+    whole = [
+        _add(*(np.concatenate([parts[x, h][i] for h in (0, 1) if (x, h) in parts]) for i in (0, 1)),
+             np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        for x in languages
+    ]
+    model = Counts(uuid4().hex, languages, [k for k, _ in whole], [c for _, c in whole])
+    if spread:
+        model.rates = _rates(sample, model.name, parts)
+    return model
+
+
+def _by_part(batch: pa.RecordBatch) -> dict[tuple[str, int], list[str]]:
+    by: dict[tuple[str, int], list[str]] = {}
+    for lang, half, text in zip(batch["lang"].to_pylist(), batch["half"].to_pylist(), texts_of(batch), strict=True):
+        by.setdefault((lang, half), []).append(text)
+    return by
+
+
+def _rates(sample: DataFrame, name: str, parts: dict) -> dict[str, tuple[float, float]]:
+    """Mean and deviation of the bits a byte of each text of the sample, learned from the half without it."""
+    shared = sample.sparkSession.sparkContext.broadcast(parts)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees = once(("ppm-halves", name), dict)
+        for batch in text_slices(batches, limit=2 << 20):
+            for (lang, half), texts in _by_part(batch).items():
+                other = lang, 1 - half
+                if other not in shared.value:
+                    continue
+                if other not in trees:
+                    trees[other] = Tree(*shared.value[other])
+                raw = [t.encode() for t in texts]
+                sizes = np.array([len(t) for t in raw])
+                data = np.frombuffer(b"".join(_PAD + t for t in raw), np.uint8)
+                rate = trees[other].bits(data, np.cumsum(sizes + ORDER)) / sizes
+                weight = np.minimum(sizes, WEIGHT_BYTES)
+                yield pa.RecordBatch.from_pylist([{
+                    "lang": lang, "n": len(texts), "w": float(weight.sum()),
+                    "s": float(weight @ rate), "q": float(weight @ rate**2),
+                }])
+
+    sums = (
+        sample.mapInArrow(measure, "lang string, n bigint, w double, s double, q double")
+        .groupBy("lang").agg(*(F.sum(c).alias(c) for c in "nwsq")).collect()  # one small row a language
     )
+    out = {}
+    for r in sums:
+        if r["n"] >= LEAST_TEXTS:
+            mean = r["s"] / r["w"]
+            out[r["lang"]] = mean, max(max(r["q"] / r["w"] - mean**2, 0.0) ** 0.5, LEAST_SPREAD)
+    return out
 
 
 def _add(keys: np.ndarray, counts: np.ndarray, more: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,9 +178,9 @@ def _add(keys: np.ndarray, counts: np.ndarray, more: np.ndarray, n: np.ndarray)
     return joined, np.bincount(place, np.concatenate([counts, n]), len(joined)).astype(np.int64)
 
 
-def _packed(lang: str, shard: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+def _packed(lang: str, half: int, shard: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({
-        "lang": pa.array([lang], pa.string()), "shard": pa.array([shard], pa.int32()),
+        "lang": pa.array([lang], pa.string()), "half": pa.array([half], pa.int32()), "shard": pa.array([shard], pa.int32()),
         "keys": pa.array([to_planes(np.ascontiguousarray(keys, np.uint32))], pa.binary()),
         "counts": pa.array([to_planes(np.ascontiguousarray(counts, np.uint32))], pa.binary()),
     })
@@ -203,11 +262,13 @@ class Judge:
     def __init__(self, model: Counts) -> None:
         self.trees = [Tree(k, c) for k, c in zip(model.keys, model.counts, strict=True)]
         self.names = np.array([*model.languages, UNDETERMINED], object)
+        # a language that was not measured sets no limit
+        self.rates = np.array([model.rates.get(x, (np.inf, 1.0)) for x in model.languages]).reshape(-1, 2)
 
-    def __call__(self, texts: list[str], spoken: list[bool]) -> tuple[np.ndarray, np.ndarray]:
-        """(language, score) of each text; ``spoken``: it has a letter."""
+    def __call__(self, texts: list[str], spoken: list[bool]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(language, score, strange or not) of each text; ``spoken``: it has a letter."""
         none = len(self.trees)
-        best, score = np.full(len(texts), none), np.zeros(len(texts))
+        best, score, strange = np.full(len(texts), none), np.zeros(len(texts)), np.zeros(len(texts), bool)
         if self.trees and texts:
             raw = [t.encode() for t in texts]
             data = np.frombuffer(b"".join(_PAD + t for t in raw), np.uint8)
@@ -215,9 +276,12 @@ class Judge:
             bits = np.stack([tree.bits(data, ends) for tree in self.trees])
             best = bits.argmin(0)
             score = 1 / np.exp2(np.maximum(bits.min(0) - bits, -1000)).sum(0)
+            sizes = np.maximum([len(t) for t in raw], 1)
+            mean, deviation = self.rates[best].T
+            strange = bits.min(0) / sizes > mean + MARGIN * np.sqrt(deviation**2 + BYTE_SPREAD**2 / sizes)
         und = ~np.array(spoken, bool)
         best[und], score[und] = none, 0.0
-        return self.names[best], score
+        return self.names[best], score, strange
 
 
 def _judged(docs: DataFrame, model: Counts, text_col: str, schema: object, make: Callable) -> DataFrame:
@@ -243,7 +307,7 @@ def predict(
     between languages go to the name that sorts first.
     """
 
-    def make(batch: pa.RecordBatch, lang: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+    def make(batch: pa.RecordBatch, lang: np.ndarray, score: np.ndarray, strange: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
             ["doc_id", "lang_pred", "score"],
@@ -254,11 +318,12 @@ def predict(
 
 
 def keep_known(docs: DataFrame, model: Counts, *, text_col: str = "text", min_score: float = 0.5) -> DataFrame:
-    """The rows, as they are, whose language is determined with at least ``min_score``."""
+    """The rows, as they are, whose language is determined with at least ``min_score``, unless
+    their code is too long for it (only where ``fit`` has measured the ``spread``)."""
     names = docs.columns
 
-    def make(batch: pa.RecordBatch, lang: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
-        good = pa.array((lang != UNDETERMINED) & (score >= min_score))
+    def make(batch: pa.RecordBatch, lang: np.ndarray, score: np.ndarray, strange: np.ndarray) -> pa.RecordBatch:
+        good = pa.array((lang != UNDETERMINED) & (score >= min_score) & ~strange)
         return batch.select(names).filter(good)
 
     return _judged(docs, model, text_col, docs.schema, make)

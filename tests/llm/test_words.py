@@ -217,6 +217,21 @@ def test_language_rows_and_ties(spark):
     assert kept.schema == docs.schema and sorted(r.doc_id for r in kept.collect()) == [1, 2, 4]
 
 
+def test_strange_texts_go(spark):
+    rng = random.Random(8)
+    tongues = {x: ["".join(rng.choice(c) + rng.choice(v) for _ in range(rng.randint(1, 3))) for _ in range(150)]
+               for x, c, v in (("a", "bdfklmnt", "aeio"), ("b", "prstvzgh", "eiou"), ("c", "wjqxyckm", "auyö"))}
+    speak = lambda x, n: " ".join(rng.choice(tongues[x]) for _ in range(n))
+    learned = [(i, speak("ab"[i % 2], rng.randint(5, 120)), "ab"[i % 2]) for i in range(300)]
+    model = language.fit(spark.createDataFrame(learned, "doc_id long, text string, lang string").repartition(3), spread=True)
+    clean = [(i, speak("ab"[i % 2], rng.randint(1, 150))) for i in range(200)]
+    other = [(1000 + i, speak("c", 60)) for i in range(20)]
+    noise = [(2000 + i, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(200))) for i in range(20)]
+    docs = spark.createDataFrame(clean + other + noise, "doc_id long, text string")
+    assert sorted(r.doc_id for r in language.keep_known(docs, model).collect()) == list(range(200))
+    assert {r.lang_pred for r in language.predict(docs, model).collect()} == {"a", "b"}
+
+
 def test_op2_held_out_accuracy(spark, small):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     out = [r for r in QUERIES["op2_language"](spark, small).collect() if r.held_out]
