@@ -1,10 +1,13 @@
 """Secret scans: fixed shapes, and strings that a tokenizer finds hard to write.
 
 Prose takes few tokens a character, random strings many. A run of letters,
-digits and ``+/_-`` of 20 characters or more that holds both letters and digits
-and has at most 1.9 characters a token counts as random, unless it is a known
-digest (bare hex of a digest's length), a UUID or an identifier whose parts are
-each plain letters or plain digits.
+digits and ``+/_-`` of 20 characters or more that holds letters and has at most 1.9
+characters a token counts as random, unless it is a known digest (bare hex of a
+digest's length), a UUID or an identifier whose parts are each plain letters or
+plain digits; one part of letters alone counts if no token of it has five or more.
+Where a whole run does not count, its parts between ``/``, ``_`` and ``-`` and then
+every 20 characters of what is left are judged alike, digests and UUIDs left out.
+Of the latter, those with more than three separators are names of short words.
 """
 
 from __future__ import annotations
@@ -34,6 +37,10 @@ _UUID = r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
 _KNOWN = re.compile(
     "|".join(rf"[0-9a-fA-F]{{{n}}}" for n in DIGEST_LENGTHS) + f"|{_UUID}"
 )
+_KNOWN_PART = re.compile(rf"(?<![A-Za-z0-9])(?:{_KNOWN.pattern})(?![A-Za-z0-9])")
+_PART = re.compile(r"[A-Za-z0-9+]+")
+_SEPARATORS = 3
+_WORD_LETTERS = 5  # a token of so many letters is taken for a known word
 _NAME = re.compile(r"(?:[A-Za-z]+|[0-9]+)(?:[+/_-]+(?:[A-Za-z]+|[0-9]+|$))*")
 
 Span = tuple[int, str, int]  # start, kind, end
@@ -41,18 +48,53 @@ Span = tuple[int, str, int]  # start, kind, end
 
 class Scanner:
     def __init__(self, vocabulary: str, min_length: int = MIN_LENGTH, max_ratio: float = MAX_RATIO) -> None:
-        self.encode, self.max_ratio = ByteEncoder(vocabulary).fast, max_ratio
+        encoder = ByteEncoder(vocabulary)
+        self.encode, self.min_length, self.max_ratio = encoder.fast, min_length, max_ratio
+        self.words = {i for token, i in encoder.ranks.items() if len(token) >= _WORD_LETTERS and token.isalpha()}
         run = r"[A-Za-z0-9+/_-]"
         self.runs = re.compile(rf"(?<!{run}){run}{{{min_length},}}")
 
     def random(self, run: str) -> bool:
-        digits = sum(map(str.isdigit, run))
-        if not digits or not any(map(str.isalpha, run)) or _KNOWN.fullmatch(run) or _NAME.fullmatch(run):
+        plain = run.isalpha()
+        if not plain and (not any(map(str.isalpha, run)) or _KNOWN.fullmatch(run) or _NAME.fullmatch(run)):
             return False
-        return len(run) <= self.max_ratio * len(self.encode(run))
+        ids = self.encode(run)
+        return len(run) <= self.max_ratio * len(ids) and not (plain and self.words.intersection(ids))
+
+    def _dense(self, piece: str) -> bool:
+        return sum(map(piece.count, "/_-")) <= _SEPARATORS and self.random(piece)
+
+    def pieces(self, run: str) -> list[tuple[int, int]]:
+        """What counts as random in a run: all of it, or disjoint pieces in order."""
+        if self.random(run):
+            return [(0, len(run))]
+        known = [] if _KNOWN.fullmatch(run) else [m.span() for m in _KNOWN_PART.finditer(run)]
+        if not known and (_KNOWN.fullmatch(run) or len(run) == self.min_length):
+            return []
+        parts = [m.span() for m in _PART.finditer(run)]
+        found = [
+            (a, b) for a, b in parts
+            if b - a >= self.min_length and (a, b) not in known and self.random(run[a:b])
+        ]
+        closed = sorted(known + found)
+        for a, b in _outside(0, len(run), closed):
+            at = a
+            while at + self.min_length <= b:
+                if not self._dense(run[at : at + self.min_length]):
+                    at += 1
+                    continue
+                end = at + self.min_length
+                # whole parts: a key is not cut where it touches a readable one
+                start = min([x for x, y in parts if x <= at < y], default=at)
+                while end < b and self._dense(run[end + 1 - self.min_length : end + 1]):
+                    end += 1
+                end = max([y for x, y in parts if x < end <= y], default=end)
+                found.append((max(start, a), min(end, b)))
+                at = found[-1][1]
+        return sorted(found)
 
     def spans(self, text: str) -> list[Span]:
-        """By start, then kind as listed; random ones only where no other span lies."""
+        """By start, then kind as listed; random ones are trimmed to where no other span lies."""
         low = text.lower()
         found: list[Span] = []
         if any(word in low for word in _WORDS):
@@ -61,13 +103,27 @@ class Scanner:
             ]
         found += [(m.start(), "access", m.end()) for m in _ACCESS.finditer(text)]
         found += [(m.start(), "hex", m.end()) for m in _HEX.finditer(text)]
-        more = [m.span() for m in self.runs.finditer(text) if self.random(m[0])]
-        found += [
-            (a, "random", b) for a, b in more if not any(a < end and start < b for start, _, end in found)
-        ]
+        base = sorted((start, end) for start, _, end in found)
+        for m in self.runs.finditer(text):
+            for a, b in self.pieces(m[0]):
+                a, b = a + m.start(), b + m.start()
+                near = [(start, end) for start, end in base if start < b and a < end]
+                found += [
+                    (x, "random", y) for x, y in _outside(a, b, near) if any(map(str.isalnum, text[x:y]))
+                ]
         return sorted(found, key=lambda s: (s[0], KINDS.index(s[1])))
 
 
+def _outside(start: int, end: int, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What sorted spans leave of start to end."""
+    out = []
+    for a, b in spans:
+        if a > start:
+            out.append((start, a))
+        start = max(start, b)
+    return out + [(start, end)] if start < end else out
+
+
 def blanked(text: str, spans: list[Span], mark: str) -> str:
     """The text with each run of overlapping spans replaced by ``mark``."""
     out, at, until = [], 0, -1

@@ -266,6 +266,30 @@ def test_random_strings_and_their_exceptions():
         assert "random" not in kinds(f"see {fine} here")
 
 
+def test_random_keys_behind_readable_parts():
+    scanner, rng = secrets.Scanner(VOCABULARY), random.Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+    def missed(before, alphabet, size, after=""):
+        lost = 0
+        for _ in range(200):
+            key = "".join(rng.choice(alphabet) for _ in range(size))
+            lost += key in secrets.blanked(f"see {before}{key}{after} now", scanner.spans(f"see {before}{key}{after} now"), "#")
+        return lost
+
+    for before in ("", "api/download/", "documentation/reference/configuration/", "my-long-dashed-name-of-a-"):
+        assert missed(before, letters + "0123456789", 20, "/index") <= 14
+        assert missed(before, letters + "0123456789", 40) <= 2
+        assert missed(before, letters, 40) <= 10
+    for fine in ("documentation/reference/configuration/index", "internationalization", "documentation/reference/configuration/internationalization/550e8400-e29b-41d4-a716-446655440000/edit",
+                 "documentation/reference/configuration/internationalization/how-to-do-it-in-c3-or-b2", f"documentation/reference/configuration/internationalization/{hashlib.md5(b'y').hexdigest().upper()}/download",
+                 "getElementsByClassNameAndAttribute"):
+        assert not [k for _, k, _ in scanner.spans(fine) if k == "random"], fine
+    key = "Zq8Lw3Xv9Tb2Rk7Pm" + "0123456789abcdef" + "Nc6Hd1Jy5Gs4Qf0We"  # digits only before the hex part
+    spans = scanner.spans(f"x {key} y")
+    assert {k for _, k, _ in spans} == {"hex", "random"} and secrets.blanked(f"x {key} y", spans, "") == "x  y"
+
+
 def test_redaction_keeps_rows_and_columns(spark):
     rows = [(1, "token = abcdefghijklmnop end", None), (2, None, "x"), (3, "clean text", "y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, spans string")
