@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlytics.llm import bpe_automaton, cover_tree, graph_search, jaccard, language, ngram_lm, packing, repeats, secrets, toxicity
+from eventlytics.llm import bpe_automaton, chat, chat_repair, chat_sql, cover_tree, fill_middle, graph_search, jaccard, language, ngram_lm, packing, repeats, secrets, toxicity
 from eventlytics.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +111,49 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 5-word shingles have a similarity of 0.75 or more."""
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one whose texts are control strings, formatted and read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(chat_sql.CONTROLS_AS_TEXT).alias("text"),
+    )
+    read = chat.format_chats(turns.unionByName(planted)).select(
+        "conv_id", F.length("formatted").cast("long").alias("formatted_chars"),
+        chat.read_back(F.col("formatted")).alias("turns"), chat.loss_text(F.col("pieces")).alias("loss"),
+    )
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
+@query
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents for fill-in-the-middle training, and their texts rebuilt."""
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+@query
+def op13_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by rule, and the cheapest edits that mend them."""
+    rows = chat_repair.damaged(table(spark, sf_dir, "conversations"))
+    lines = F.transform("turns", lambda t: F.concat_ws(":", t["role"], t["text"]))
+    return chat_repair.repair(rows, gone_col="gone").withColumn(
+        "repaired_sha256", F.sha2(F.array_join(lines, "\n"), 256)
+    ).drop("turns")
+
+
+ORACLES |= {
+    "op11_chat_format": chat_sql.FORMAT, "op12_fill_middle": chat_sql.FILL, "op13_chat_repair": chat_sql.REPAIR,
+}
