@@ -1,7 +1,8 @@
 """Records out of a table of raw pages ``(page_id, url, html)``.
 
 Each page is handled inside its own row with regular expressions and array
-functions; nothing is shuffled, and the arrays are as long as the page.
+functions; nothing is shuffled, and the arrays are as long as the page. Where
+elements nest, ``markup`` finds them.
 """
 
 from __future__ import annotations
@@ -14,7 +15,9 @@ from pyspark.sql import functions as F
 from eventlytics.functions.dates import parse_page_date
 from eventlytics.functions.numbers import parse_count, parse_money
 from eventlytics.functions.odds import implied_probability, is_line, parse_line
-from eventlytics.functions.text import collapse_space, join_sides, strip_label, url_to_title
+from eventlytics.functions.text import collapse_space, strip_label, url_to_title
+from eventlytics.operators import markup
+from eventlytics.operators.markup import first, resolved, select, text_of
 
 # Header keywords of the facts table, first match wins.
 FACTS = (
@@ -35,11 +38,11 @@ TABLE_ROW = r"(?is)<tr[^>]*>(.*?)</tr>"
 NAME_CELL = r"(?is)<th[^>]*class=\"oppcell\"[^>]*>(.*?)</th>"
 LINE_CELL = r"(?is)<td[^>]*class=\"odds\"[^>]*>.*?</td>"
 TAG = r"(?s)<[^>]*>"
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 TOTALS = ("kd", "sig_str", "sig_str_pct", "total_str", "td", "td_pct", "sub_att", "rev", "ctrl")
 STRIKES = ("sig_str", "sig_str_pct", "head", "body", "leg", "distance", "clinch", "ground")
-RESULT_FIELDS = ("weightclass", "method", "round", "time", "time_format", "referee", "details", "url")
-TAPE_FIELDS = ("fighter", "height", "weight", "reach", "stance", "dob")
+# Labels of the texts on contests' and entities' pages.
+RESULT_LABELS = {"round": "Round", "time": "Time", "time_format": "Time format", "referee": "Referee"}
+TAPE_LABELS = {"height": "Height", "weight": "Weight", "reach": "Reach", "stance": "STANCE", "dob": "DOB"}
 
 
 def all_groups(c: Column, pattern: str, group: int = 1) -> Column:
@@ -48,10 +51,7 @@ def all_groups(c: Column, pattern: str, group: int = 1) -> Column:
 
 def cell_text(c: Column) -> Column:
     """Text of a markup fragment: tags dropped, entities resolved, trimmed."""
-    out = F.regexp_replace(c, TAG, "")
-    for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(out, r"^\s+|\s+$", ""))
+    return markup.trimmed(resolved(F.regexp_replace(c, TAG, "")))
 
 
 def tag_texts(html: Column, tag: str, cls: str | None = None) -> Column:
@@ -139,15 +139,6 @@ def facts(pages: DataFrame) -> DataFrame:
     return raw.select("page_id", "url", F.explode(wanted).alias("r")).select("page_id", "url", "r.*")
 
 
-def zip_records(
-    pages: DataFrame, fields: dict[str, Column], keep: Sequence[str] = ("page_id",)
-) -> DataFrame:
-    """Records from parallel lists: the n-th entry of each list is record n."""
-    lists = pages.select(*keep, *[c.alias(n) for n, c in fields.items()])
-    zipped = F.arrays_zip(*fields)
-    return lists.select(*keep, F.posexplode(zipped).alias("pos", "r")).select(*keep, "pos", "r.*")
-
-
 def chunk_records(
     pages: DataFrame, flat: Column, names: Sequence[str], keep: Sequence[str] = ("page_id",)
 ) -> DataFrame:
@@ -165,25 +156,43 @@ def chunk_records(
 
 
 def schedule_records(pages: DataFrame, link_class: str, date_class: str, place_class: str) -> DataFrame:
-    """(event, url, date, location) rows of a schedule page.
+    """(event, link, date, location) rows of a schedule page, one for each table row with a link.
 
-    The first date and place belong to an event yet to come and have no link.
+    The row of an event yet to come has a date and a place, but no link.
     """
-    html = F.col("html")
-    href = rf"(?is)<a[^>]*class=\"{link_class}\"[^>]*href=\"([^\"]*)\""
-
-    def behind_first(c: Column) -> Column:
-        return F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0)))
-
-    return zip_records(
-        pages,
-        {
-            "event": tag_texts(html, "a", link_class),
-            "link": all_groups(html, href),
-            "date": behind_first(tag_texts(html, "span", date_class)),
-            "location": behind_first(tag_texts(html, "td", place_class)),
-        },
-    )
+    fields = {
+        "event": lambda _, inside: text_of(first(inside, "a", link_class)),
+        "link": lambda _, inside: markup.attribute(first(inside, "a", link_class), "href"),
+        "date": lambda _, inside: text_of(first(inside, "span", date_class)),
+        "location": lambda _, inside: text_of(first(inside, "td", place_class)),
+    }
+    return markup.records(markup.scan(pages, ["tr", "td", "a", "span"]), select(F.col("elements"), "tr"), fields, "link")
+
+
+def contest_list(pages: DataFrame, title_class: str, row_class: str, name_class: str) -> DataFrame:
+    """(event, bout, url) of every contest row of an event's page.
+
+    The row's own ``data-link`` is its url, null where it has none; both sides' names are its links.
+    """
+    scanned = markup.scan(pages, ["h2", "tr", "a"])
+    title = text_of(first(F.col("elements"), "h2", title_class))
+    fields = {
+        "bout": lambda _, inside: F.array_join(F.transform(select(inside, "a", name_class), lambda e: text_of(e)), " vs. "),
+        "url": lambda row, _: markup.attribute(row, "data-link"),
+    }
+    rows = select(F.col("elements"), "tr", row_class)
+    found = markup.records(scanned.withColumn("event", title), rows, fields, "bout", ["page_id", "event"])
+    return found.select("page_id", "pos", "event", "bout", "url")
+
+
+def entity_list(pages: DataFrame, link_class: str, names: Sequence[str] = ("first", "last", "nickname")) -> DataFrame:
+    """Names and url of every table row that holds links: the n-th link is the n-th name."""
+    def nth(i: int):
+        return lambda _, inside: text_of(F.get(select(inside, "a", link_class), i))
+
+    fields = {name: nth(i) for i, name in enumerate(names)}
+    fields["url"] = lambda _, inside: markup.attribute(first(inside, "a", link_class), "href")
+    return markup.records(markup.scan(pages, ["tr", "a"]), select(F.col("elements"), "tr"), fields, "url")
 
 
 def alternate(cells: Column, side: int) -> Column:
@@ -198,9 +207,9 @@ def segments(df: DataFrame, flat: str, out: str = "segments") -> DataFrame:
     positions are a column of their own, so they are found once per row.
     """
     at = F.col(flat)
-    first = F.try_element_at(at, F.lit(1))
+    start = F.try_element_at(at, F.lit(1))
     opens = F.transform(
-        at, lambda x, i: F.when((x == first) & ((i == 0) | (F.get(at, i - 1) != first)), i + 1)
+        at, lambda x, i: F.when((x == start) & ((i == 0) | ~F.get(at, i - 1).eqNullSafe(start)), i + 1)
     )
     starts = F.col("starts_")
     ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(at) + 1))
@@ -242,36 +251,79 @@ def round_stats(sheets: DataFrame, stats: str, keep: Sequence[str]) -> DataFrame
     )
 
 
-def side_stats(sheets: DataFrame, cells: str, keep: Sequence[str]) -> DataFrame:
-    """Round rows of both sides from cells listed in turn."""
-    sides = sheets.select(
-        *keep, F.explode(F.array(alternate(F.col(cells), 0), alternate(F.col(cells), 1))).alias("one_")
-    )
-    return round_stats(sides, "one_", keep)
+def sheet_sides(pages: DataFrame, cell_class: str, keep: Sequence[str] = ("page_id",)) -> DataFrame:
+    """keep, a, b: both sides' texts from cells that hold a paragraph for each side in turn.
+
+    A cell has at least one place for each side; what is absent is null there, so that
+    later cells don't shift.
+    """
+    scanned = markup.scan(pages, ["td", "p"], keep=keep)
 
+    def texts(cell: Column) -> Column:
+        return F.transform(select(markup.below(cell), "p"), lambda e: text_of(e))
 
-def result_record(lists: DataFrame, texts: str, keep: Sequence[str]) -> DataFrame:
-    """Contest record from labelled texts: event, both names, both outcomes, rest."""
-    clean = F.transform(texts, collapse_space)
-    at = lambda i: F.try_element_at("texts_", F.lit(i))
-    return lists.select(*keep, clean.alias("texts_")).select(
-        *keep,
-        at(1).alias("event"),
-        join_sides(at(2), at(3)).alias("bout"),
-        join_sides(at(4), at(5), "/").alias("outcome"),
-        *[strip_label(at(6 + i)).alias(c) for i, c in enumerate(RESULT_FIELDS)],
+    cells = F.transform(select(F.col("elements"), "td", cell_class), texts)
+
+    def side(odd: int) -> Column:
+        def places(cell: Column) -> Column:
+            last = F.greatest(F.ceil((F.size(cell) - 2) / 2).cast("int"), F.lit(0))
+            return F.transform(F.sequence(F.lit(0), last), lambda i: F.get(cell, 2 * i + odd))
+
+        return F.flatten(F.transform("cells", places))
+
+    return scanned.select(*keep, cells.alias("cells")).select(*keep, side(0).alias("a"), side(1).alias("b"))
+
+
+def side_stats(sides: DataFrame, keep: Sequence[str] = ("page_id",)) -> DataFrame:
+    """Round rows of both sides of a sheet."""
+    return round_stats(sides.select(*keep, F.explode(F.array("a", "b")).alias("one_")), "one_", keep)
+
+
+def labelled(texts: Column, label: str) -> Column:
+    """What follows a label in the first of several texts that begins with it."""
+    return strip_label(F.get(F.filter(texts, lambda t: t.startswith(f"{label}:")), 0))
+
+
+def result_record(pages: DataFrame, keep: Sequence[str] = ("page_id",)) -> DataFrame:
+    """Contest record of a contest's page; what the page lacks is null and shifts nothing."""
+    scanned = markup.scan(pages, ["h2", "a", "div", "i", "p"], keep=[*keep, "url"])
+    elements, start = F.col("elements"), "b-fight-details__"
+
+    def texts(found: Column) -> Column:
+        return F.transform(found, lambda e: collapse_space(text_of(e)))
+
+    def one(name: str, cls: str) -> Column:
+        return collapse_space(text_of(first(elements, name, cls)))
+
+    people = F.flatten(F.transform(select(elements, "div", start + "person"), lambda d: select(markup.below(d), "i")))
+    lines = select(elements, "p", start + "text")
+    return scanned.select(
+        *keep, "url",
+        one("h2", "b-content__title").alias("event"),
+        texts(select(elements, "a", f"b-link {start}person-link")).alias("names"),
+        texts(people).alias("outcomes"),
+        one("div", start + "fight-head").alias("weightclass"),
+        strip_label(one("i", start + "text-item_first")).alias("method"),
+        texts(select(markup.below(F.get(lines, 0)), "i", start + "text-item")).alias("items"),
+        strip_label(collapse_space(text_of(F.get(lines, 1)))).alias("details"),
+    ).select(
+        *keep, "event",
+        F.array_join(F.slice("names", 1, 2), " vs. ").alias("bout"),
+        F.array_join(F.slice("outcomes", 1, 2), "/").alias("outcome"),
+        "weightclass", "method",
+        *[labelled(F.col("items"), label).alias(name) for name, label in RESULT_LABELS.items()], "details", "url",
     )
 
 
-def tape_record(lists: DataFrame, texts: str, keep: Sequence[str]) -> DataFrame:
-    """Entity record from labelled texts such as ``Height:5' 7"``."""
-    clean = F.transform(texts, collapse_space)
-    return lists.select(*keep, clean.alias("texts_")).select(
-        *keep,
-        *[
-            strip_label(F.try_element_at("texts_", F.lit(i + 1))).alias(c)
-            for i, c in enumerate(TAPE_FIELDS)
-        ],
+def tape_record(pages: DataFrame, keep: Sequence[str] = ("page_id",)) -> DataFrame:
+    """Entity record of an entity's page: the labels in its first list and the texts after them."""
+    scanned = markup.scan(pages, ["span", "ul", "i"], keep=keep)
+    elements = F.col("elements")
+    name = text_of(first(elements, "span", "b-content__title-highlight"))
+    box = select(markup.below(first(elements, "ul", "b-list__box-list")), "i")
+    items = F.transform(box, lambda e: collapse_space(F.concat(text_of(e), markup.text_after(e))))
+    return scanned.select(*keep, collapse_space(name).alias("fighter"), items.alias("items")).select(
+        *keep, "fighter", *[labelled(F.col("items"), label).alias(c) for c, label in TAPE_LABELS.items()]
     )
 
 

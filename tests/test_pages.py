@@ -52,36 +52,71 @@ def test_round_stats(spark):
     ]
 
 
-def test_sides_in_turn(spark):
-    cells = [x for pair in zip(sheet("A", 2), sheet("B", 2)) for x in pair]
-    df = spark.createDataFrame([(1, cells)], "id int, c array<string>")
-    out = pages.side_stats(df, "c", ["id"]).collect()
-    assert sorted((r.fighter, r.round) for r in out) == [("A", "Round 1"), ("A", "Round 2"), ("B", "Round 1"), ("B", "Round 2")]
-
-
-def test_labelled_records(spark):
-    texts = ["Event", "A", "B", "W", "L", "\n    Welterweight Bout\n", "Method: KO/TKO", "Round: 2", "Time:4:51",
-             "Time format: 3 Rnd", "Referee: R", "Details: x: y", "URL:http://u"]
-    df = spark.createDataFrame([(1, texts), (2, ["Event"])], "id int, t array<string>")
-    first, short = pages.result_record(df, "t", ["id"]).orderBy("id").collect()
-    assert (first.bout, first.outcome, first.method, first.time, first.details, first.url) == (
-        "A vs. B", "W/L", "KO/TKO", "4:51", "x: y", "http://u")
-    assert short.event == "Event" and short.method is None
-    tape = spark.createDataFrame([(1, ["Fighter:J A", "Height:5' 7\"", "Weight:--"])], "id int, t array<string>")
-    row = pages.tape_record(tape, "t", ["id"]).first()
-    assert (row.fighter, row.height, row.weight, row.dob) == ("J A", "5' 7\"", "--", None)
-
-
-def test_chunks_and_schedule(spark):
+def cells(row):
+    return "<tr>" + "".join(
+        '<td class="wide c">' + "".join(f"<p> <b>{x}</b></p>" for x in pair if x is not None) + "</td>" for pair in row
+    ) + "</tr>"
+
+
+def test_sides_of_a_sheet(spark):
+    """Absent cells keep their place, nested tables don't count."""
+    def rows(n, names):
+        return [[names] + [(f"{r}{i}", None if i == 3 else f"x{i}") for i in range(n)] for r in range(3)]
+
+    totals, strikes = rows(9, ("A", "B")), rows(8, ("A", "B"))
+    for t, s in zip(totals, strikes):
+        s[1], s[2] = t[2], t[3]
+        s[8] = (None, None)
+    page = "<table><tr><td class='c2'><table>" + "".join(map(cells, totals)) + "</table><p>no</p><table>" + "".join(map(cells, strikes)) + "</table></td></tr></table>"
+    sides = pages.sheet_sides(made(spark, page, "", None), "c")
+    out = pages.side_stats(sides, ["page_id"]).orderBy("fighter", "round").collect()
+    assert [(r.fighter, r.round) for r in out] == [("A", "Round 1"), ("A", "Round 2"), ("B", "Round 1"), ("B", "Round 2")]
+    assert (out[0].kd, out[0].total_str, out[0].ctrl, out[0].ground) == ("10", "13", "18", None)
+    assert (out[2].kd, out[2].total_str, out[2].ctrl, out[2].ground) == ("x0", None, "x8", None)
+
+
+def test_records_of_contest_and_entity_pages(spark):
+    page = """<h2 class="b-content__title"> <a>Event</a>
+</h2>
+    <div class="b-fight-details__person"><i class="x"> W </i><a class="b-link b-fight-details__person-link">A</a></div>
+    <div class="b-fight-details__person"><i class="x"> L </i><a class="b-link b-fight-details__person-link">B</a></div>
+    <div class="b-fight-details__fight-head">
+    Welterweight Bout
+</div>
+    <p class="b-fight-details__text"><i class="b-fight-details__text-item_first"><i>Method:</i> KO/TKO</i>
+    <i class="b-fight-details__text-item"><i>Round:</i> 2</i><i class="b-fight-details__text-item"><i>Time format:</i> 3 Rnd</i></p>
+    <p class="b-fight-details__text"><i>Details:</i> x: y</p>"""
+    first, empty = pages.result_record(made(spark, page, "<p>none</p>"), ["page_id"]).orderBy("page_id").collect()
+    assert tuple(first)[1:] == ("Event", "A vs. B", "W/L", "Welterweight Bout", "KO/TKO", "2", None, "3 Rnd", None, "x: y", "http://h/events/card-0")
+    assert tuple(empty)[1:] == (None, "", "", *[None] * 7, "http://h/events/card-1")
+    tape = """<span class="b-content__title-highlight">J A</span><ul class="b-list__box-list"><li><i>Height:</i>
+ 5' 7&quot; </li>
+    <li><i>DOB:</i> -- </li></ul><ul class="b-list__box-list"><li><i>Weight:</i> 1</li></ul>"""
+    row = pages.tape_record(made(spark, tape), ["page_id"]).first()
+    assert tuple(row)[1:] == ("J A", "5' 7\"", None, None, None, "--")
+
+
+def test_what_a_row_lacks_shifts_nothing(spark):
+    row = '<tr class="r on"{}><td><a class="n">{}</a></td><td><a class="n">{}</a></td></tr>'
+    page = ('<h2 class="t">E</h2><table><tr><th>x</th></tr>' + row.format(' data-link="/1"', "A", "B") + row.format("", "C", "D")
+            + row.format(" data-link='/3'", "E", "F") + "</table>")
+    out = pages.contest_list(made(spark, page), "t", "r", "n")
+    assert values(out) == [(0, 0, "E", "A vs. B", "/1"), (0, 1, "E", "C vs. D", None), (0, 2, "E", "E vs. F", "/3")]
+    event = '<tr><td>{}</td><td>{}</td><td class="p">P{}</td></tr>'
+    link, date = '<a class="b" href="/e/{0}">E{0}</a>', '<span class="d">D{0}</span>'
+    page = "<table>" + "".join([
+        event.format("", date.format(0), 0), event.format(link.format(1), date.format(1), 1), event.format(link.format(2), "", 2),
+        event.format(link.format(3), date.format(3), 3)]) + "</table>"
+    out = pages.schedule_records(made(spark, page), "b", "d", "p")
+    assert values(out) == [(0, 0, "E1", "/e/1", "D1", "P1"), (0, 1, "E2", "/e/2", None, "P2"), (0, 2, "E3", "/e/3", "D3", "P3")]
+
+
+def test_chunks(spark):
     link = '<a class="b" href="/f/{0}">{0}</a>'
     page = "".join(link.format(x) for x in "abcdefg")
     flat = pages.tag_texts(F.col("html"), "a", "b")
     out = pages.chunk_records(made(spark, page, ""), flat, ["x", "y", "z"])
     assert values(out) == [(0, 0, "a", "b", "c"), (0, 1, "d", "e", "f")]
-    event = '<i><a class="b" href="/e/{0}"> E{0} </a><span class="d">D{0}</span></i><td class="p"> P{0}</td>'
-    page = '<span class="d">soon</span><td class="p">later</td>' + "".join(event.format(i) for i in (1, 2))
-    out = pages.schedule_records(made(spark, page), "b", "d", "p")
-    assert values(out) == [(0, 0, "E1", "/e/1", "D1", "P1"), (0, 1, "E2", "/e/2", "D2", "P2")]
 
 
 def test_odds_tables(spark):
