@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from eventlytics.catalog import views as v
 from eventlytics.catalog.registry import query
 from eventlytics.functions import frames
-from eventlytics.operators import incremental, profile, scale
+from eventlytics.operators import incremental, profile, scale, store
 from eventlytics.sources import files
 
 
@@ -176,6 +176,24 @@ def refresh_store(spark, sf):
     return incremental.refresh(children, fresh, stale, "event_id")
 
 
+@query(
+    "s12_refresh_stored",
+    STALE + """, events_now AS (SELECT event_id, fight_id, 1 AS version FROM bouts WHERE event_id IN (SELECT event_id FROM stale)
+      UNION ALL SELECT event_id, fight_id, 0 FROM children WHERE event_id NOT IN (SELECT event_id FROM stale))
+    SELECT event_id, fight_id, version FROM events_now
+    UNION ALL SELECT event_id, fight_id, -1 FROM children""",
+)
+def refresh_stored(spark, sf):
+    """The stored table after a refresh, and (version -1) as it was before."""
+    feed, parents, children, rows = _store(spark, sf)
+    kept = store.Store(spark, scratch(spark, "store"), ("event_id",), buckets=16)
+    before = kept.create(children.withColumn("version", F.lit(0)))
+    stale = scale.shared_checkpoint(incremental.keys_to_load(feed, parents, kept.read(), "event_id"))
+    fresh = rows.join(stale, "event_id", "left_semi").withColumn("version", F.lit(1))
+    kept.refresh(fresh, stale)
+    return kept.read().unionByName(kept.read(before).withColumn("version", F.lit(-1)))
+
+
 MERGED = v.with_(v.CARDS) + """, a AS (SELECT event_name, event_date, location, 'sample' AS source FROM cards
     WHERE month(event_date) <= 6),
 b AS (SELECT event_name, event_date, 'http://x.example/' || event_id AS wikipedia_url, 'page' AS source FROM cards

@@ -24,9 +24,12 @@ def keys_to_load(
     return new.unionByName(incomplete)
 
 
-def refresh(store: DataFrame, fresh: DataFrame, stale_keys: DataFrame, key: str) -> DataFrame:
-    """Rows of stale keys dropped from the store, the fresh rows added."""
-    kept = store.join(stale_keys.select(key).distinct(), key, "left_anti")
+def refresh(store: DataFrame, fresh: DataFrame, stale_keys: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Rows of stale keys dropped from the store, the fresh rows added; null keys are equal."""
+    keys = [key] if isinstance(key, str) else list(key)
+    stale = stale_keys.select(*[F.col(k).alias(f"stale_{k}_") for k in keys]).distinct()
+    on = [store[k].eqNullSafe(stale[f"stale_{k}_"]) for k in keys]
+    kept = store.join(stale, on, "left_anti")
     return fresh.unionByName(kept.select(*fresh.columns))
 
 
