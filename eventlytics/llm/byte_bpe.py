@@ -1,11 +1,13 @@
 """Ids of a byte-level BPE vocabulary, as the tokenizers library gives them.
 
 tiktoken gives the same ids from the same vocabulary several times faster; texts
-that hold the string of an added token go to the tokenizers library itself.
+that hold the string of an added token, or a run of white space too long for tiktoken's
+matcher, go to the tokenizers library itself.
 """
 
 from __future__ import annotations
 
+import re
 from array import array
 
 import numpy as np
@@ -13,6 +15,10 @@ import numpy as np
 #: The byte-level pre-tokenizer's pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: tiktoken's matcher runs out of stack within a million characters of white space.
+LONG_SPACE = 100_000
+_LONG_SPACE = re.compile(rf"\s{{{LONG_SPACE}}}")
+
 
 def byte_letters() -> dict[str, int]:
     """Letter of the byte-level alphabet -> byte: printable ones stand for themselves."""
@@ -42,7 +48,8 @@ class ByteEncoder:
         ).encode_ordinary
 
     def encode(self, text: str) -> bytes:
-        if any(token in text for token in self.added):  # the library gives it its own id
+        by_library = any(token in text for token in self.added)  # the library gives it its own id
+        if by_library or len(text) >= LONG_SPACE and _LONG_SPACE.search(text):
             ids = self.whole.encode(text, add_special_tokens=False).ids
         else:
             ids = self.fast(text)

@@ -149,3 +149,19 @@ def test_windows_emit_the_fullest():
         windows.place({"length": n})
     # 6 and 7 are open; 5 fits neither, so 7 goes; then 4 fills 6
     assert [(p["length"], p["sequence_id"], p["offset"]) for p in windows.done] == [(7, 0, 0), (6, 1, 0), (4, 1, 6)]
+
+
+def test_long_runs_of_one_kind():
+    own, library = ByteEncoder(BYTES), Tokenizer.from_file(BYTES)
+    for text in (" " * 1_200_000, "a" * 100_000 + "\n" * 150_000 + "b", "x" * 300_000):
+        assert ids(own.encode(text)) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_long_white_space_is_packed(spark):
+    rows = [(1, " " * 2_000_000), (2, "\n" * 1_100_000 + "end")]
+    out = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), BYTES, payload="crc32").collect()
+    assert {r.doc_id for r in out} == {1, 2}
+    for doc, text in rows:
+        n = len(Tokenizer.from_file(BYTES).encode(text, add_special_tokens=False).ids) + 1
+        mine = sorted((r.start, r.length) for r in out if r.doc_id == doc)
+        assert sum(length for _, length in mine) == n == next(r.doc_tokens for r in out if r.doc_id == doc)
