@@ -27,6 +27,7 @@ BUCKETS = 1 << 16
 DIM = 8
 PASSAGE = 24
 SAMPLE_PER_CLASS = 2500
+LONGEST_SAMPLE = 200_000  # bytes of a text that may teach
 STEPS = 400  # batches at least; five passes at least
 RATE = 0.3
 BATCH = 64
@@ -138,19 +139,22 @@ def train(texts: list[str], toxic: list[int], seed: int = 7) -> Model:
 
 def fit(
     docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-    label_col: str = "toxic", per_class: int = SAMPLE_PER_CLASS,
+    label_col: str = "toxic", per_class: int = SAMPLE_PER_CLASS, longest: int = LONGEST_SAMPLE,
 ) -> Model:
     """A model of the ``per_class`` labelled documents of each class with the smallest hash of their id.
 
-    Labels may repeat (the highest counts) or be null (ignored), or have no document.
-    The sample's texts are the only rows that reach the driver.
+    Labels may repeat (the highest counts) or be null (ignored), or have no document. Of
+    documents that share an id the one with the least text counts; texts of more than
+    ``longest`` bytes teach nothing. The sample's texts are the only rows that reach the driver,
+    ``2 * per_class * longest`` bytes at most.
     """
     known = labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("y"))
     known = known.filter(F.col("y").isin(0, 1)).groupBy("doc_id").agg(F.max("y").alias("y"))
     chosen = smallest(known.withColumn("at", F.xxhash64("doc_id")), "y", ["at", "doc_id"], per_class)
     source = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     # at most 2 * per_class rows of two numbers
-    rows = source.join(F.broadcast(chosen.select("doc_id", "y")), "doc_id").collect()
+    found = source.filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= longest).join(F.broadcast(chosen.select("doc_id", "y")), "doc_id")
+    rows = found.groupBy("doc_id", "y").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
     return train([r["text"] or "" for r in rows], [r["y"] for r in rows])
 
