@@ -27,6 +27,14 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> D
     )
 
 
+def fresh_name(base: str, docs: DataFrame) -> str:
+    """A column name that no column has, in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id counts as ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts == part
@@ -91,15 +99,15 @@ def mix(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return x
 
 
-def once(key: object, build: Callable[[], object]) -> object:
+def once(key: tuple, build: Callable[[], object]) -> object:
     """What ``build`` gives, made once in a worker process and kept for its next tasks.
 
-    Only the last 8 values stay, so a long-lived worker doesn't pile them up.
+    Of each kind (``key[0]``) only the last value stays: the old one is freed before
+    another is made, so a long-lived worker doesn't pile up the models of ended queries.
     """
     kept = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
-    if key not in kept:
-        own = [k for k in kept if isinstance(k, tuple)]
-        for old in own[:-7]:
-            del kept[old]
-        kept[key] = build()
-    return kept[key]
+    kind = f"kind {key[0]}"
+    if kind not in kept or kept[kind][0] != key:
+        kept.pop(kind, None)
+        kept[kind] = key, build()
+    return kept[kind][1]

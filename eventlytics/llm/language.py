@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlytics.llm.common import (
+    fresh_name,
     from_planes,
     id_and_text,
     once,
@@ -143,7 +144,7 @@ def _rates(sample: DataFrame, name: str, parts: dict) -> dict[str, tuple[float,
     shared = sample.sparkSession.sparkContext.broadcast(parts)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = once(("ppm-halves", name), dict)
+        trees = once(("ppm", name, "halves"), dict)
         for batch in text_slices(batches, limit=2 << 20):
             for (lang, half), texts in _by_part(batch).items():
                 other = lang, 1 - half
@@ -286,15 +287,15 @@ class Judge:
 
 def _judged(docs: DataFrame, model: Counts, text_col: str, schema: object, make: Callable) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # as large as the sample allows
-    name = model.name
+    name, spoken = model.name, fresh_name("spoken_", docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = once(("ppm", name), lambda: Judge(Counts(**shared.value)))
         for batch in text_slices(batches, text_col, limit=2 << 20):
-            yield make(batch, *judge(texts_of(batch, text_col), batch.column("spoken_").to_pylist()))
+            yield make(batch, *judge(texts_of(batch, text_col), batch.column(spoken).to_pylist()))
 
     letters = F.coalesce(docs[text_col].rlike(r"\p{L}"), F.lit(False))
-    return docs.withColumn("spoken_", letters).mapInArrow(run, schema)
+    return docs.select("*", letters.alias(spoken)).mapInArrow(run, schema)
 
 
 def predict(

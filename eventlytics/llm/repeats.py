@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlytics.llm.common import from_planes, id_and_text, once, text_slices, texts_of, to_planes
+from eventlytics.llm.common import fresh_name, from_planes, id_and_text, once, text_slices, texts_of, to_planes
 from eventlytics.llm.hashstore import Reader, Store, new_folder, shard_of, shards_for, write_shard
 
 RUN_SENTENCES = 3
@@ -189,7 +189,7 @@ def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     store = repeated_runs(docs, id_col=id_col, text_col=text_col)
     shared = docs.sparkSession.sparkContext.broadcast(vars(store))  # names of files
-    name = uuid4().hex
+    name, own = uuid4().hex, fresh_name("own_id_", docs)
     kept = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
     out = T.StructType([
         *(T.StructField(f.name, T.StringType() if f.name == text_col else f.dataType) for f in docs.schema if f.name in kept),
@@ -202,7 +202,7 @@ def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             texts = texts_of(batch, text_col)
             runs = Runs(texts)
             found = reader.find(runs.keys).astype(np.uint64)
-            ids = np.array(batch.column("own_id_").fill_null(_NO_ID).to_numpy(zero_copy_only=False), np.int64)[runs.text]
+            ids = np.array(batch.column(own).fill_null(_NO_ID).to_numpy(zero_copy_only=False), np.int64)[runs.text]
             first = ((found[:, 0] << np.uint64(32)) | found[:, 1]).view(np.int64)
             # places are stored one higher, so that a row of zeros is an unknown run
             place = runs.first.astype(np.uint64) + np.uint64(1)
@@ -227,6 +227,6 @@ def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     source = docs.select(
         *(docs[c].cast("string").alias(c) if c == text_col else docs[c] for c in kept),
-        docs[id_col].cast("long").alias("own_id_"),
+        docs[id_col].cast("long").alias(own),
     )
     return source.mapInArrow(run, out)
