@@ -69,6 +69,19 @@ def greedy_cards(spark, sf):
 LOW = GREEDY.replace("(fight_id % 101) / 101", "(fight_id % 101) / 1010").replace("(fight_id % 89) / 89", "(fight_id % 89) / 890")
 
 
+def _low(spark, sf):
+    """Contests with low win rates."""
+    rates = ("win_rate1", "win_rate2")
+    return candidates(spark, sf).withColumns({c: F.col(c) / 10 for c in rates})
+
+
+def _improved(spark, sf):
+    """(greedy, improved) cards of contests with low win rates."""
+    scored = scale.shared_checkpoint(cards.score_candidates(_low(spark, sf)))
+    greedy = scale.shared_checkpoint(cards.greedy_cards(scored))
+    return greedy, scale.shared_checkpoint(cards.improve_cards(scored, greedy))
+
+
 @query("o3_improved_cards", LOW + """SELECT card, count(*) AS num_fights, false AS has_repeat, true AS not_below,
   true AS settled FROM chosen GROUP BY card""")
 def improved_cards(spark, sf):
@@ -77,12 +90,7 @@ def improved_cards(spark, sf):
     Improvement swaps one for one: sizes stay as the greedy walk left them, no
     entity comes twice and no estimate falls.
     """
-    low = candidates(spark, sf).withColumns(
-        {"win_rate1": F.col("win_rate1") / 10, "win_rate2": F.col("win_rate2") / 10}
-    )
-    scored = scale.shared_checkpoint(cards.score_candidates(low))
-    greedy = scale.shared_checkpoint(cards.greedy_cards(scored))
-    better = scale.shared_checkpoint(cards.improve_cards(scored, greedy))
+    greedy, better = _improved(spark, sf)
     before = cards.card_estimates(greedy, greedy).select("card", F.col("sell_through").alias("before"))
     after = cards.card_estimates(better, better).select("card", "num_fights", "sell_through")
     repeats = cards.card_validity(better).select("card", "has_repeat")
@@ -92,6 +100,46 @@ def improved_cards(spark, sf):
     )
 
 
+#: The search starts from the worst cards and is ended after so many rounds.
+SWAP_ROUNDS = 6
+POOR = LOW.replace("ORDER BY score DESC, fight_id) AS rn", "ORDER BY score, fight_id) AS rn").replace(
+    "(fight_id % 67) / 67", "(fight_id % 67) / 670").replace("(fight_id % 71) / 71", "(fight_id % 71) / 710")
+BETTER = POOR.rstrip() + """, whole AS MATERIALIZED (SELECT card, fight_id, name1, name2, weight_class, is_title, score - 0.1 AS base FROM scored),
+start AS (SELECT card, list({'score': base + 0.1, 'fight_id': fight_id, 'name1': name1, 'name2': name2,
+    'class': weight_class, 'title': CAST(is_title AS INTEGER)} ORDER BY base DESC, fight_id) AS ms
+  FROM whole JOIN chosen USING (card, fight_id) GROUP BY card),
+steps AS (
+  SELECT card, 0 AS round, ms FROM start
+  UNION ALL
+  SELECT card, round + 1, list_concat(any_value(ms)[:min(spot) - 1], [arg_min(newcomer, spot * 1000000000 + fight_id)], any_value(ms)[min(spot) + 1:])
+  FROM (
+    SELECT *, base + CASE WHEN list_contains(list_transform(rest, lambda m: m.class), weight_class) THEN 0 ELSE 0.1 END AS score,
+      {'score': score, 'fight_id': fight_id, 'name1': name1, 'name2': name2, 'class': weight_class,
+       'title': CAST(is_title AS INTEGER)} AS newcomer
+    FROM (SELECT s.*, c.* EXCLUDE (card), t.spot, list_concat(ms[:spot - 1], ms[spot + 1:]) AS rest
+      FROM steps s JOIN whole c USING (card), range(1, 15) AS t(spot) WHERE spot <= len(ms))
+    WHERE NOT list_contains(list_transform(ms, lambda m: m.fight_id), fight_id)
+      AND NOT list_has_any(list_concat(list_transform(rest, lambda m: m.name1), list_transform(rest, lambda m: m.name2)), [name1, name2]))
+  WHERE round < 6 AND len(ms) BETWEEN 10 AND 14 AND len(list_distinct(list_append(list_transform(rest, lambda m: m.class), weight_class))) >= 3
+    AND least(1.0, 0.75 + least((list_sum(list_transform(rest, lambda m: m.score)) + score) / 15, 0.25)
+        + (list_sum(list_transform(rest, lambda m: m.title)) + CAST(is_title AS INTEGER)) * 0.02)
+      > least(1.0, 0.75 + least(list_sum(list_transform(ms, lambda m: m.score)) / 15, 0.25)
+        + list_sum(list_transform(ms, lambda m: m.title)) * 0.02) + 0.001
+  GROUP BY card, round),
+last AS (SELECT card, round, unnest(ms) AS m FROM steps QUALIFY round = max(round) OVER (PARTITION BY card))
+SELECT card, m.fight_id AS fight_id, round(m.score, 6) AS score, CAST(round AS BIGINT) AS swaps FROM last"""
+
+
+@query("o3_chosen_contests", BETTER)
+def chosen_contests(spark, sf):
+    """The contests of every card after some rounds of improvement, their scores on it, and how often it was changed."""
+    low = _low(spark, sf).withColumns({c: F.col(c) / 10 for c in ("finish_rate1", "finish_rate2")})
+    scored = scale.shared_checkpoint(cards.score_candidates(low))
+    poor = cards.greedy_cards(scored.withColumn("score", -F.col("score"))).withColumn("score", -F.col("score"))
+    better = cards.improve_cards(scored, scale.shared_checkpoint(poor), max_rounds=SWAP_ROUNDS)
+    return better.select("card", "fight_id", F.round("score", 6).alias("score"), "swaps")
+
+
 PICKED = ", picked AS (SELECT s.* FROM scored s JOIN chosen USING (card, fight_id))"
 
 

@@ -22,6 +22,7 @@ FULL_EXPERIENCE = 20
 ESTIMATE_BASE, ESTIMATE_SCALE, ESTIMATE_CAP, ESTIMATE_TITLE = 0.75, 15, 0.25, 0.02
 ESTIMATE_LOW, ESTIMATE_HIGH = 0.5, 1.0
 SMALLEST_GAIN = 0.001
+ROUNDING = 1e-9  # a bound leaves out nothing that rounding might let in
 
 
 def base_score() -> Column:
@@ -151,8 +152,11 @@ def improve_cards(
     the newcomer). The newcomer is scored against the card without the contest
     it replaces, and a replaced contest may return later. The card is one row of
     at most ``high`` contests; its candidates stay spread over the cluster and
-    are reduced to one swap before anything is gathered. ``settled`` tells
-    whether a card has no improving swap left or ``max_rounds`` ended its search.
+    are reduced to one swap before anything is gathered. A round looks at cards
+    that were changed by the last one, and tries a candidate only at places where
+    the bound of its class and title leaves room for a gain. ``settled`` tells
+    whether a card has no improving swap left or ``max_rounds`` ended its search;
+    ``swaps`` and ``tried`` count its swaps and the (candidate, place) pairs tried.
     """
     member = F.struct("pos", "fight_id", "name1", "name2", "weight_class", "is_title", "score")
     ordered = chosen.groupBy("card").agg(
@@ -161,6 +165,7 @@ def improve_cards(
     start = chosen.join(ordered, ["card", "fight_id"])
     cards = shared_checkpoint(start.select("card", member.alias("m")))
     active, open_cards = cards, cards.select("card").distinct()
+    counts = open_cards.select("card", F.lit(0).cast("long").alias("swaps"), F.lit(0).cast("long").alias("tried"))
     for _ in range(max_rounds):
         state = (
             active.groupBy("card")
@@ -168,8 +173,9 @@ def improve_cards(
             .withColumn("best", estimate(_total("ms", "score"), _titles("ms")))
             .filter(F.size("ms").between(low, high) & (F.col("best") < ESTIMATE_HIGH))
         )
-        swaps = _first_swaps(scored, state, classes)
-        swaps = shared_checkpoint(swaps)
+        tried = shared_checkpoint(_first_swaps(scored, state, classes))
+        counts = counts.unionByName(tried.select("card", F.col("n").isNotNull().cast("long").alias("swaps"), "tried"))
+        swaps = tried.filter(F.col("n").isNotNull())
         open_cards = swaps.select("card")
         if swaps.isEmpty():
             break
@@ -180,9 +186,10 @@ def improve_cards(
         )
         active = cards.join(swaps.select("card"), "card", "left_semi")
     still = open_cards.select("card", F.lit(False).alias("settled"))
+    sums = counts.groupBy("card").agg(F.sum("swaps").alias("swaps"), F.sum("tried").alias("tried"))
     return cards.select("card", "m.*").drop("pos").join(still, "card", "left").withColumn(
         "settled", F.coalesce("settled", F.lit(True))
-    )
+    ).join(sums, "card")
 
 
 def _total(members: str, field: str) -> Column:
@@ -193,12 +200,34 @@ def _titles(members: str) -> Column:
     return F.size(F.filter(members, lambda m: m["is_title"]))
 
 
+def _needs(title: int) -> Column:
+    """For each place what a newcomer's score must exceed to raise the estimate by enough."""
+    def need(m: Column) -> Column:
+        titles = _titles("ms") - F.coalesce(m["is_title"].cast("int"), F.lit(0)) + title
+        share = F.col("best") + SMALLEST_GAIN - ESTIMATE_BASE - titles * ESTIMATE_TITLE
+        return F.when(share < ESTIMATE_CAP, share * ESTIMATE_SCALE - F.col("total_") + m["score"] - ROUNDING).otherwise(
+            F.lit(float("inf"))
+        )
+
+    return F.transform("ms", need)
+
+
 def _first_swaps(scored: DataFrame, state: DataFrame, classes: int) -> DataFrame:
-    """(card, n): the newcomer of the first improving swap, with its position."""
-    held = state.withColumns(
-        {"ids": F.col("ms.fight_id"), "names1": F.col("ms.name1"), "names2": F.col("ms.name2")}
+    """(card, n, tried): the newcomer of the first improving swap, with its position, or null."""
+    on_card = F.col("ms.weight_class")
+    held = state.withColumns({
+        "ids": F.col("ms.fight_id"), "names1": F.col("ms.name1"), "names2": F.col("ms.name2"),
+        "total_": _total("ms", "score"),
+        # a class that two contests have stays whichever of them leaves
+        "twice": F.filter(on_card, lambda c: F.size(F.filter(on_card, lambda d: c == d)) > 1),
+    }).withColumns({"plain_needs": _needs(0), "title_needs": _needs(1)}).withColumns(
+        {"plain_least": F.array_min("plain_needs"), "title_least": F.array_min("title_needs")}
+    )
+    most = F.col("base") + F.when(F.array_contains("twice", F.col("weight_class")), 0.0).otherwise(NEW_CLASS_BONUS)
+    least = F.when(F.col("is_title"), F.col("title_least")).otherwise(F.col("plain_least"))
+    pairs = scored.join(held, "card").filter(
+        ~F.array_contains("ids", F.col("fight_id")) & F.coalesce(most > least, F.lit(True))
     )
-    pairs = scored.join(held, "card").filter(~F.array_contains("ids", F.col("fight_id")))
 
     def place(name: str) -> Column:
         """1-based position of the contest a name is in, 0 if it is on none."""
@@ -211,9 +240,9 @@ def _first_swaps(scored: DataFrame, state: DataFrame, classes: int) -> DataFrame
         F.when((one == 0) & (two == 0), everywhere)
         .when((one == 0) | (two == 0) | (one == two), F.array(F.greatest(one, two).cast("int")))
     )
-    tried = pairs.withColumns({"at1": place("name1"), "at2": place("name2")}).withColumn(
-        "spot", F.explode(spots)
-    )
+    needs = F.when(F.col("is_title"), F.col("title_needs")).otherwise(F.col("plain_needs"))
+    room = F.filter(spots, lambda i: F.coalesce(most > F.element_at(needs, i), F.lit(True)))
+    tried = pairs.withColumns({"at1": place("name1"), "at2": place("name2")}).withColumn("spot", F.explode(room))
     spot = F.col("spot")
     tried = tried.withColumn("out", F.element_at("ms", spot)).withColumn(
         "rest", F.concat(F.slice("ms", 1, spot - 1), F.slice("ms", spot + 1, F.size("ms")))
@@ -232,8 +261,8 @@ def _first_swaps(scored: DataFrame, state: DataFrame, classes: int) -> DataFrame
         F.col("out.pos").alias("pos"), "fight_id", "name1", "name2", "weight_class", "is_title",
         F.col("new_score").alias("score"),
     )
-    good = tried.filter(enough & (value > F.col("best") + SMALLEST_GAIN))
-    return good.groupBy("card").agg(F.min(newcomer).alias("n"))
+    good = enough & (value > F.col("best") + SMALLEST_GAIN)
+    return tried.groupBy("card").agg(F.min(F.when(good, newcomer)).alias("n"), F.count("*").alias("tried"))
 
 
 def optimize_cards(candidates: DataFrame, capacity: int = 20_000) -> tuple[DataFrame, DataFrame]:

@@ -141,3 +141,16 @@ def test_unfinished_cards_say_so(spark):
     start = scored.filter("fight_id < 12").persist()
     assert {r.settled for r in cards.improve_cards(scored, start, max_rounds=1).collect()} == {False}
     assert {r.settled for r in cards.improve_cards(scored, start).collect()} == {True}
+
+
+def test_bounds_leave_little_to_try(spark):
+    """Of many newcomers only those that can raise the estimate are tried, and the cards come out the same."""
+    rows = [("c", i, f"a{i}", f"b{i}", 0.0, 1.0, 0, 0, 0.0, 0.0, "uvw"[i % 3], False) for i in range(12)]
+    rows += [("c", 100 + i, f"y{i}", f"z{i}", 0.0, 1.0, 0, 0, 0.0, 0.0, "u", False) for i in range(300)]
+    rows += [("c", 900, "y", "z", 0.0, 1.0, 0, 0, 0.0, 0.0, "u", True)]
+    scored = cards.score_candidates(spark.createDataFrame(rows, SCHEMA)).persist()
+    start = scored.filter("fight_id < 12").persist()
+    out = cards.improve_cards(scored, start).collect()
+    plain = improve(rows, {"c": sorted((r for r in rows[:12]), key=lambda r: (-base(r) - 0.1, r[1]))})
+    assert sorted((r.fight_id, round(r.score, 9)) for r in out) == plain["c"]
+    assert {(r.swaps, r.settled) for r in out} == {(1, True)} and out[0].tried < 30
