@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlytics.llm import jaccard, language, packing, repeats, secrets
-from eventlytics.llm.common import table
+from eventlytics.llm.common import fresh_name, table
 from eventlytics.llm.hashstore import new_folder
+from eventlytics.operators.scale import keep_first
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -26,10 +27,22 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that link by word shingles, directly or not, the smallest id stays; null ids stay."""
-    groups = jaccard.jaccard_components(docs.select("doc_id", "text"))
+    """Of documents that link by word shingles, directly or not, the smallest id stays.
+
+    A row without an id takes part under a number made from its text, above all ids; of rows
+    with one id (or none) and one text one stays.
+    """
+    key, text_key = fresh_name("key_", docs), fresh_name("text_key_", docs)
+    made = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
+    keyed = docs.select(
+        "*", F.coalesce(F.col("doc_id").cast("long"), made).alias(key),
+        F.struct(F.xxhash64("text"), F.crc32(F.col("text").cast("binary")), F.length("text")).alias(text_key),
+    )
+    if not keyed.groupBy(key, text_key).count().filter("count > 1").isEmpty():
+        keyed = keep_first(keyed, [key, text_key], [key])
+    groups = jaccard.jaccard_components(keyed.select(key, "text"), id_col=key)
     gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_"], "left_anti")
+    return keyed.join(gone, keyed[key] == gone["gone_"], "left_anti").select(*docs.columns)
 
 
 def no_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
