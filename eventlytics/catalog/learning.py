@@ -89,11 +89,13 @@ def _metrics_hold(metrics):
     return metrics.select(F.col("test_size").cast("long").alias("test_size"), fits.alias("consistent"))
 
 
-def _predictions_hold(rows, low=None, high=None):
+def _predictions_hold(rows, low=None, high=None, also=None):
     """Label, and whether the prediction is a number (and in the range of the labels learned)."""
     usable = F.col("prediction").isNotNull() & ~F.isnan("prediction")
     if low is not None:
         usable &= F.col("prediction").between(low - 1e-9, high + 1e-9)
+    if also is not None:
+        usable &= also
     return rows.select("event_name", F.round("sell_through", 6).alias("sell_through"), usable.alias("usable"))
 
 
@@ -139,7 +141,8 @@ def feature_importances(spark, sf):
 def top_importances(spark, sf):
     model, test, features, _ = _fitted(spark, sf, "rf")
     top = learning.importances(model, features, test).limit(9)
-    listed = top.agg(F.sort_array(F.collect_list(F.struct((-F.col("importance")).alias("i"), "feature"))).alias("l"))
+    # one partition, in the order the operator gave it
+    listed = top.agg(F.collect_list(F.struct((-F.col("importance")).alias("i"), "feature")).alias("l"))
     places = listed.select(F.posexplode("l").alias("place", "x"), "l")
     return places.select("place", (F.greatest(F.get("l", F.col("place") - 1)["i"], F.lit(-1.0)) <= F.col("x.i")).alias("in_order"))
 
@@ -156,9 +159,15 @@ def saved_model(spark, sf):
     path = scans.scratch(spark, "model")
     files.save_model(model, path)
     ends = df.filter("year < 2000").agg(F.min("sell_through").alias("a"), F.max("sell_through").alias("z")).first()
-    return _predictions_hold(
-        learning.predictions(files.load_model(path), test, ["event_name", "sell_through"]), ends["a"], ends["z"]
-    )
+    both = _saved_and_loaded(model, path, test)
+    held = _predictions_hold(both, ends["a"], ends["z"], F.col("prediction") == F.col("saved"))
+    return held
+
+
+def _saved_and_loaded(model, path, test):
+    """Predictions of a model, as ``saved``, and of the one read back."""
+    before = model.transform(test).withColumnRenamed("prediction", "saved").drop("features")
+    return learning.predictions(files.load_model(path), before, ["event_name", "sell_through", "saved"])
 
 
 @query(
@@ -185,3 +194,73 @@ def model_comparison(spark, sf):
         files.write_metrics(learning.evaluate(model, test), paths[name], {"num_features": len(features)})
     finite = ~F.isnan("r2") & (F.col("rmse") > 0) & (F.col("mae") > 0)
     return learning.compare_runs(spark, paths).select("run", F.coalesce(finite, F.lit(False)).alias("finite"))
+
+
+# -- the results themselves; SQL can't make them, tests compute them another way ------
+
+MEASURES = ("test_size", "rmse", "mae", "mse", "r2")
+
+
+@query("m3_metric_values")
+def boosted_trees_metrics(spark, sf):
+    model, test, _, _ = _fitted(spark, sf, "gbt")
+    return learning.evaluate(model, test).select(*MEASURES)
+
+
+@query("m4_metric_values")
+def random_forest_metrics(spark, sf):
+    model, test, _, _ = _fitted(spark, sf, "rf")
+    return learning.evaluate(model, test).select(*MEASURES)
+
+
+@query("m5_metric_values")
+def cross_validation_metrics(spark, sf):
+    df, features = prepared(spark, sf)
+    train, test = learning.split_by_year(df, 2000)
+    small = {"maxDepth": [2, 3], "numTrees": [3, 5]}
+    model = learning.train(train, features, "rf", validate=True, grid=small, **SMALL["rf"])
+    forest = model.stages[-1]
+    return learning.evaluate(model, test).select(
+        *MEASURES, F.lit(forest.getNumTrees).alias("num_trees"), F.lit(forest.getOrDefault("maxDepth")).alias("max_depth")
+    )
+
+
+@query("m7_importance_values")
+def importance_values(spark, sf):
+    model, test, features, _ = _fitted(spark, sf, "rf")
+    return learning.importances(model, features, test)
+
+
+@query("t4_importance_values")
+def top_importance_values(spark, sf):
+    return importance_values(spark, sf).limit(9)
+
+
+@query("m8_prediction_values")
+def prediction_values(spark, sf):
+    model, test, features, _ = _fitted(spark, sf, "gbt")
+    return learning.predictions(model, test, ["event_name", "sell_through", *features])
+
+
+@query("s8_prediction_values")
+def saved_model_values(spark, sf):
+    model, test, _, _ = _fitted(spark, sf, "rf")
+    path = scans.scratch(spark, "model")
+    files.save_model(model, path)
+    return _saved_and_loaded(model, path, test)
+
+
+@query("m9_metric_values")
+def rolling_years_metrics(spark, sf):
+    df, features = prepared(spark, sf)
+    return learning.rolling(df, features, (1999, 2000, 2001), "gbt", **SMALL["gbt"])
+
+
+@query("m10_metric_values")
+def model_comparison_values(spark, sf):
+    paths = {}
+    for name in ("gbt", "rf"):
+        model, test, features, _ = _fitted(spark, sf, name)
+        paths[name] = scans.scratch(spark, name)
+        files.write_metrics(learning.evaluate(model, test), paths[name], {"num_features": len(features)})
+    return learning.compare_runs(spark, paths)

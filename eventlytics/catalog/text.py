@@ -58,6 +58,21 @@ def lexicon_sentiment_turns(spark, sf):
     )
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+@query(
+    "p26_many_phrases",
+    """SELECT doc_id, CAST(len(list_distinct(list_filter(list_transform(range(1, length(text)),
+      lambda i: substr(lower(text), i, 2)), lambda s: regexp_full_match(s, '[a-z]{2}')))) AS INTEGER) AS found FROM documents""",
+)
+def many_phrases(spark, sf):
+    """How many of all 676 pairs of letters a text holds, by one pattern."""
+    pairs = [a + b for a in LETTERS for b in LETTERS]
+    docs = v.spread_table(spark, sf, "documents")
+    return docs.select("doc_id", sentiment.phrase_hits(F.lower("text"), pairs).alias("found"))
+
+
 ROLLUP = """rolled AS (
   SELECT source AS event_name, avg(polarity) AS avg_sentiment, stddev_samp(polarity) AS sentiment_std,
     min(polarity) AS min_sentiment, max(polarity) AS max_sentiment, avg(subjectivity) AS avg_subjectivity,

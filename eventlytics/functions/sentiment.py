@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -23,14 +24,60 @@ EMPTY_SUBJECTIVITY = 0.5
 WORDS_PER_HIT = 10
 
 
+#: Up to so many phrases a search for each of them is quicker than one pattern.
+FEW_PHRASES = 128
+
+
 def phrase_hits(low: Column, phrases: Sequence[str]) -> Column:
     """How many of the phrases occur in a lower-cased text, each counted once."""
+    if len(phrases) > FEW_PHRASES:
+        return F.size(phrases_found(low, phrases))
     hits = F.lit(0)
     for phrase in phrases:
         hits = hits + low.contains(phrase).cast("int")
     return hits
 
 
+def phrases_found(low: Column, phrases: Sequence[str]) -> Column:
+    """The phrases that occur in a text, each once.
+
+    The pattern is the phrases' trie. It looks ahead, so hits may overlap, and finds
+    the longest phrase at a place. Phrases that others begin with are looked for once more
+    by themselves, so there are as many passes as phrases that each begin the next,
+    whatever the length of the list.
+    """
+    known = {p for p in phrases if p}
+    found = F.array(F.lit("")) if "" in phrases else F.array().cast("array<string>")
+    while known:
+        pattern = f"(?s)(?=({trie_pattern(sorted(known))}))"
+        found = F.array_union(found, F.regexp_extract_all(low, F.lit(pattern), F.lit(1)))
+        known = {p[:n] for p in known for n in range(1, len(p)) if p[:n] in known}
+    return found
+
+
+def trie_pattern(phrases: Sequence[str]) -> str:
+    """Regular expression of distinct, non-empty phrases, longest first at any place."""
+    root: dict = {}
+    for phrase in phrases:
+        node = root
+        for char in phrase:
+            node = node.setdefault(char, {})
+        node[""] = {}
+
+    def pattern(node: dict) -> str:
+        # chains without a fork are written out, so nesting is bounded by forks
+        out = ""
+        while len(node) == 1 and "" not in node:
+            char, node = next(iter(node.items()))
+            out += re.escape(char)
+        branches = [re.escape(c) + pattern(n) for c, n in sorted(node.items()) if c]
+        if not branches:
+            return out
+        return f"{out}(?:{'|'.join(branches)})" + ("?" if "" in node else "")
+
+    return pattern(root) if root else "(?!)"
+
+
 def word_count(text: Column) -> Column:
     """Words between white space (any Unicode kind), at least 1."""
     words = F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")

@@ -101,3 +101,23 @@ def test_frames(spark):
     two = frames.two_sided(df, "b", "c", "total", "gap", missing=0).first()
     assert (two.total, two.gap) == (2, 2)
     assert frames.safe_names(df.withColumnRenamed("c", "TD %")).columns == ["a", "b", "td_pct", "sig_str"]
+
+
+def test_phrases_by_one_pattern(spark):
+    """Overlaps, phrases within and at the start of others, and long lists, against plain substring tests."""
+    import random
+    import re
+
+    rng = random.Random(1)
+    many = ["".join(rng.choice("abc. (*\\é") for _ in range(rng.randint(1, 6))) for _ in range(5000)]
+    lists = [["ab", "abc", "bca", "a", "c.", "zz", "abcab"], ["(", "\\", "*"], [""], [], list(sentiment.POSITIVE), many]
+    texts = ["", "abcabc", "c(.*\\", "aab\nca", None, *["".join(rng.choice("abc. (*\\é\n") for _ in range(n)) for n in (5, 40, 300, 4000)]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for phrases in lists:
+        got = dict(df.select("i", F.size(sentiment.phrases_found(F.col("t"), phrases))).collect())
+        for i, text in enumerate(texts):
+            if text is not None:
+                assert got[i] == sum(p in text for p in set(phrases))
+    hits = df.select("i", sentiment.phrase_hits(F.col("t"), many[:300])).collect()
+    assert [h for _, h in hits if h is not None] == [sum(p in t for p in set(many[:300])) for t in texts if t is not None]
+    assert re.fullmatch(sentiment.trie_pattern(["go", "gone"]), "gone") and not re.fullmatch(sentiment.trie_pattern(["go", "gone"]), "gon")
