@@ -2,6 +2,7 @@
 
 from eventlytics.catalog import (  # noqa: F401
     cards,
+    extended,
     graphs,
     histories,
     joins,

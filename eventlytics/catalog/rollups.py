@@ -111,8 +111,7 @@ def distinct_and_value_counts(spark, sf):
     return profile.value_counts(df, "event_type").join(users, "event_type")
 
 
-@query(
-    "event_features",
+EVENT_FEATURES = (
     v.with_(v.BOUTS, v.STATS, h.APPEARANCES, h.HISTORY, h.PAIRS, v.FIGHTERS, h.MATCHUPS, v.CARDS) + """
     SELECT c.event_id, c.event_name, c.event_date, c.event_type, num_fights, num_title_fights, has_title,
       num_rematches, has_rivalry, avg_exp, avg_win_rate, max_exp, avg_reach_diff, avg_height_diff, avg_age_diff,
@@ -130,20 +129,29 @@ def distinct_and_value_counts(spark, sf):
         round(avg(reach_diff), 6) AS avg_reach_diff, round(avg(height_diff), 6) AS avg_height_diff,
         round(avg(age_diff), 6) AS avg_age_diff FROM matchups GROUP BY event_id) m USING (event_id)
     LEFT JOIN (SELECT event_id, round(avg(total_fights), 6) AS avg_exp, round(avg(win_rate_last5), 6) AS avg_win_rate,
-        max(total_fights) AS max_exp FROM history GROUP BY event_id) x USING (event_id)""",
+        max(total_fights) AS max_exp FROM history GROUP BY event_id) x USING (event_id)"""
 )
-def event_features(spark, sf):
+
+
+def feature_inputs(spark, sf):
+    """Events, contests, pairings and entity histories."""
     from eventlytics.functions import categories
-    from eventlytics.plans.features import event_features as build
 
     place = F.col("location")
     fights = shared_checkpoint(v.bouts(spark, sf))
     events = v.cards(spark, sf).withColumns(
         {"city": categories.city(place), "country": categories.country(place), "year": F.year("event_date")}
     )
-    out = build(
+    return (
         events, fights, matchups.matchup_features(fights, v.fighters(spark, sf)),
         history.fighter_features(fights, v.stats(spark, sf)),
     )
+
+
+@query("event_features", EVENT_FEATURES)
+def event_features(spark, sf):
+    from eventlytics.plans.features import event_features as build
+
+    out = build(*feature_inputs(spark, sf))
     means = [c for c in out.columns if c.startswith("avg_")]
     return out.drop("city", "country", "year").withColumns({c: F.round(c, 6) for c in means})
