@@ -8,11 +8,14 @@
    that share a smallest hash are compared with one among them, and what links
    becomes a cluster; several rounds with other hashes take other leaders, so a
    group of near copies costs a few comparisons for each member, not one a pair.
+   Most rounds are led by the class with the smallest part of shingles of its own: in
+   a group of edited copies that is the one the others were made from, or next to it.
 3. An inverted index leads each shingle to the clusters that hold it. For every
    class the lists of its shingles are searched for other clusters that reach
    the required overlap (DivideSkip: short lists are merged, long ones probed by
-   binary search). Of such a cluster the smallest member is compared first; if that
-   doesn't link, the same search runs over its members, 512 at a time.
+   binary search). Of such a cluster the member with the smallest part of shingles of its
+   own is compared first; if that doesn't link, the same search runs over its members,
+   512 at a time.
 
 Any two documents that link are in one cluster or found by 3, so the components
 are exact.
@@ -46,6 +49,7 @@ from eventlytics.operators.scale import shared_checkpoint, splittable
 SHINGLE_WORDS = 5
 SIMILARITY = 75  # in hundredths
 ROUNDS = 6
+CENTRAL_ROUNDS = 4  # of these; the others take any leader
 FLUSH_SHINGLES = 4_000_000
 PART_MEMBERS = 512
 PROBED_SHARE = 0.5  # of the lists that may be skipped, the longest are probed
@@ -416,8 +420,10 @@ def jaccard_components(
     )
     first = shared_checkpoint(first.dropDuplicates([*sets, "doc_id"]))
 
-    keyed = first.select("doc_id", F.posexplode("mins").alias("round", "key"))
-    leaders = shared_checkpoint(keyed.groupBy("round", "key").agg(F.min_by("doc_id", F.xxhash64("doc_id", "round")).alias("b"), F.count("*").alias("k")))
+    own_share = 1 - F.col("length") / F.col("n")
+    keyed = first.select("doc_id", own_share.alias("own"), F.posexplode("mins").alias("round", "key"))
+    rank = F.struct(F.when(F.col("round") < CENTRAL_ROUNDS, F.col("own")).otherwise(0.0), F.xxhash64("doc_id", "round"))
+    leaders = shared_checkpoint(keyed.groupBy("round", "key").agg(F.min_by("doc_id", rank).alias("b"), F.count("*").alias("k")))
     pairs = keyed.join(leaders.filter("k > 1"), ["round", "key"]).select(F.col("doc_id").alias("a"), "b")
     links = shared_checkpoint(_links(pairs.filter("a <> b").distinct(), first, similarity))
     # members of a class hold together as well
@@ -434,8 +440,11 @@ def jaccard_components(
     found = shared_checkpoint(
         clustered.mapInArrow(_searcher(similarity, store, lists, uuid4().hex), "doc_id bigint, other bigint")
     )
-    # most such clusters are joined by their smallest member; only the rest is compared member by member
-    heads = found.select(F.col("doc_id").alias("a"), F.col("other").alias("b"))
+    # most such clusters are joined by one member; only the rest is compared member by member
+    centers = clustered.join(found.select(F.col("other").alias("cluster")).distinct(), "cluster", "left_semi").groupBy(
+        F.col("cluster").alias("other")
+    ).agg(F.min_by("doc_id", F.struct(own_share, "doc_id")).alias("b"))
+    heads = found.join(splittable(centers), "other").select(F.col("doc_id").alias("a"), "b")
     links = shared_checkpoint(links.unionByName(_links(heads, first, similarity)))
     clustered = _clusters(first, links, shards)
     now = clustered.select("doc_id", "cluster")
