@@ -13,7 +13,9 @@
 3. An inverted index leads each shingle to the clusters that hold it. For every
    class the lists of its shingles are searched for other clusters that reach
    the required overlap (DivideSkip: short lists are merged, long ones probed by
-   binary search). Of such a cluster the member with the smallest part of shingles of its
+   binary search). Where both are alone in their clusters that overlap decides. Two clusters
+   are looked for from one side only: from the one that is a single class, else from
+   the one with the larger id. Of a cluster that is reached the member with the smallest part of shingles of its
    own is compared first; if that doesn't link, the same search runs over its members,
    512 at a time.
 
@@ -117,11 +119,11 @@ def divide_skip(lists: list[np.ndarray], needed: int) -> tuple[np.ndarray, np.nd
     return ids[enough], counts[enough]
 
 
-_PACKED = "shard int, keys binary, more binary"
-_PACKED_ARROW = pa.schema([("shard", pa.int32()), ("keys", pa.binary()), ("more", pa.binary())])
+_PACKED = "shard int, keys binary, more binary, alone binary"
+_PACKED_ARROW = pa.schema([("shard", pa.int32()), *((x, pa.binary()) for x in ("keys", "more", "alone"))])
 
 
-def _by_shard(keys: np.ndarray, more: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
+def _by_shard(keys: np.ndarray, more: np.ndarray, shards: int, alone: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
     """Sorted keys and what goes with them, one row a shard."""
     owner = shard_of(keys, shards)
     cuts = [0, *(np.flatnonzero(np.diff(owner)) + 1).tolist(), len(keys)]
@@ -129,6 +131,7 @@ def _by_shard(keys: np.ndarray, more: np.ndarray, shards: int) -> Iterator[pa.Re
         if b > a:
             yield pa.RecordBatch.from_pylist([{
                 "shard": int(owner[a]), "keys": to_planes(keys[a:b]), "more": to_planes(more[a:b]),
+                "alone": None if alone is None else to_planes(alone[a:b]),
             }], _PACKED_ARROW)
 
 
@@ -255,42 +258,57 @@ def _links(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return near.mapInArrow(_comparer(similarity), "a bigint, b bigint")
 
 
+def _set_slices(batches: Iterator[pa.RecordBatch], limit: int = FLUSH_SHINGLES) -> Iterator[list[dict]]:
+    """Rows whose sets hold about ``limit`` shingles together (or one row)."""
+    for batch in batches:
+        rows, held = [], 0
+        for row in batch.to_pylist():
+            if rows and held + row["length"] > limit:
+                yield rows
+                rows, held = [], 0
+            rows.append(row)
+            held += row["length"]
+        if rows:
+            yield rows
+
+
 def _inverter(shards: int):
-    """Distinct (shingle, cluster) of a task's classes, packed."""
+    """Distinct (shingle, cluster) of a task's classes, packed, with the set size of single classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.to_pylist()
-            if not rows:
-                continue
+        for rows in _set_slices(batches):
             sets = [Array(r["place"]).part(r["start"], r["length"]) for r in rows]
+            lengths = [len(x) for x in sets]
             keys = np.concatenate(sets)
-            clusters = np.repeat([r["cluster"] for r in rows], [len(x) for x in sets]).astype(np.int64)
+            clusters = np.repeat([r["cluster"] for r in rows], lengths).astype(np.int64)
+            alone = np.repeat([r["alone"] for r in rows], lengths).astype(np.uint64)
             order = np.lexsort([clusters, keys])
-            keys, clusters = keys[order], clusters[order]
+            keys, clusters, alone = keys[order], clusters[order], alone[order]
             new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (clusters[1:] != clusters[:-1])])
-            yield from _by_shard(keys[new], clusters[new].view(np.uint64), shards)
+            yield from _by_shard(keys[new], clusters[new].view(np.uint64), shards, alone[new])
 
     return run
 
 
 def _indexer(folder: str):
-    """Lists of clusters for the shingles of two or more of them, in files."""
+    """Lists of clusters for the shingles of two or more of them, in files: the ids, then the
+    set sizes of single classes (0 for the others)."""
 
     def run(key: tuple[pa.Scalar], rows: pa.Table) -> pa.Table:
         shard = key[0].as_py()
         keys = np.concatenate([from_planes(x) for x in rows["keys"].to_pylist()])
         clusters = np.concatenate([from_planes(x) for x in rows["more"].to_pylist()]).view(np.int64)
+        alone = np.concatenate([from_planes(x) for x in rows["alone"].to_pylist()])
         order = np.lexsort([clusters, keys])
-        keys, clusters = keys[order], clusters[order]
+        keys, clusters, alone = keys[order], clusters[order], alone[order]
         new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (clusters[1:] != clusters[:-1])])
-        keys, clusters = keys[new], clusters[new]
+        keys, clusters, alone = keys[new], clusters[new], alone[new]
         at, n = _runs(keys)
         more = n > 1
         keep = np.repeat(more, n)
         begins = np.cumsum(n[more]) - n[more]
         place = write_shard(folder, shard, keys[at[more]], np.stack([begins, n[more]], 1).astype(np.uint32))
-        lists = write_array(folder, clusters[keep].view(np.uint64))
+        lists = write_array(folder, np.concatenate([clusters[keep].view(np.uint64), alone[keep]]))
         return pa.table({
             "shard": pa.array([shard], pa.int32()), "place": pa.array([place]),
             "n": pa.array([int(more.sum())], pa.int64()), "lists": pa.array([lists]),
@@ -299,15 +317,28 @@ def _indexer(folder: str):
     return run
 
 
+def _sizes(wanted: np.ndarray, lists: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """What the lists say of the wanted ids, each of which is on most of them."""
+    sizes, left = np.zeros(len(wanted), np.int64), np.arange(len(wanted))
+    for ids, alone in lists:
+        if not len(left):
+            break
+        at = np.minimum(np.searchsorted(ids, wanted[left]), len(ids) - 1)
+        hit = ids[at] == wanted[left]
+        sizes[left[hit]] = alone[at[hit]]
+        left = left[~hit]
+    return sizes
+
+
 def _searcher(similarity: int, index: dict, lists: dict[int, str], name: str):
-    """(doc_id, other): clusters that reach the overlap a class needs."""
+    """(doc_id, other, sure): clusters that reach the overlap a class needs; sure ones link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = once(("lists", name), lambda: Reader(Store(**index)))
         arrays: dict[int, Array] = {}
-        for batch in batches:
-            found: list[tuple[int, int]] = []
-            for row in batch.to_pylist():
+        for rows in _set_slices(batches):
+            found: list[tuple[int, int, bool]] = []
+            for row in rows:
                 own = np.asarray(Array(row["place"]).part(row["start"], row["length"]))
                 at = reader.find(own)
                 hit = at[:, 1] > 0
@@ -316,15 +347,30 @@ def _searcher(similarity: int, index: dict, lists: dict[int, str], name: str):
                     continue
                 owner = shard_of(own[hit], index["shards"])
                 for shard in np.unique(owner).tolist():
-                    arrays.setdefault(shard, Array(lists[shard]))
-                postings = [
-                    arrays[int(s)].part(int(b), int(n)).view(np.int64)
-                    for s, (b, n) in zip(owner, at[hit], strict=True)
+                    if shard not in arrays:
+                        arrays[shard] = Array(lists[shard])
+                places = [
+                    (arrays[int(s)], int(b), int(n)) for s, (b, n) in zip(owner, at[hit], strict=True)
                 ]
-                found += [(row["doc_id"], c) for c in divide_skip(postings, needed)[0].tolist() if c != row["cluster"]]
+                postings = [a.part(b, n).view(np.int64) for a, b, n in places]
+                ids, common = divide_skip(postings, needed)
+                single = row["alone"] > 0
+                # clusters of several classes are looked for from the larger id, single ones look for others
+                mine = (ids != row["cluster"]) if single else (ids < row["cluster"])
+                ids, common = ids[mine], common[mine]
+                if not len(ids):
+                    continue
+                alone = ((p, a.part(len(a.values) // 2 + b, n).view(np.int64)) for p, (a, b, n) in zip(postings, places, strict=True))
+                sizes = _sizes(ids, alone)
+                found += [(row["doc_id"], c, False) for c in ids[sizes == 0].tolist()]
+                if single:
+                    both = (sizes > 0) & (ids < row["doc_id"])
+                    both &= 100 * common >= similarity * (row["n"] + sizes - common)
+                    found += [(row["doc_id"], c, True) for c in ids[both].tolist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())],
-                ["doc_id", "other"],
+                [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()),
+                 pa.array([f[2] for f in found], pa.bool_())],
+                ["doc_id", "other", "sure"],
             )
 
     return run
@@ -384,7 +430,7 @@ def _clusters(sets: DataFrame, links: DataFrame, width: int) -> DataFrame:
     of = components(links).select(F.col("id").alias("doc_id"), "component_id")
     return shared_checkpoint(
         sets.join(of, "doc_id", "left").withColumn("cluster", F.coalesce("component_id", "doc_id"))
-        .drop("component_id").repartition(width, "doc_id")
+        .withColumn("alone", F.when(F.col("component_id").isNull(), F.col("n")).otherwise(0)).drop("component_id").repartition(width, "doc_id")
     )
 
 
@@ -431,21 +477,23 @@ def jaccard_components(
     clustered = _clusters(first, links, shards)
 
     index = (
-        clustered.select("cluster", "place", "start", "length").mapInArrow(_inverter(shards), _PACKED)
+        clustered.select("cluster", "alone", "place", "start", "length").mapInArrow(_inverter(shards), _PACKED)
         .groupBy("shard").applyInArrow(_indexer(f"{folder}/index"), "shard int, place string, n bigint, lists string")
         .collect()
     )
     store = vars(Store(shards, 2, {r["shard"]: (r["place"], r["n"]) for r in index}))
     lists = {r["shard"]: r["lists"] for r in index}
-    found = shared_checkpoint(
-        clustered.mapInArrow(_searcher(similarity, store, lists, uuid4().hex), "doc_id bigint, other bigint")
+    reached = shared_checkpoint(
+        clustered.mapInArrow(_searcher(similarity, store, lists, uuid4().hex), "doc_id bigint, other bigint, sure boolean")
     )
+    found = reached.filter("NOT sure")
+    singles = reached.filter("sure").select(F.col("doc_id").alias("a"), F.col("other").alias("b"))
     # most such clusters are joined by one member; only the rest is compared member by member
     centers = clustered.join(found.select(F.col("other").alias("cluster")).distinct(), "cluster", "left_semi").groupBy(
         F.col("cluster").alias("other")
     ).agg(F.min_by("doc_id", F.struct(own_share, "doc_id")).alias("b"))
     heads = found.join(splittable(centers), "other").select(F.col("doc_id").alias("a"), "b")
-    links = shared_checkpoint(links.unionByName(_links(heads, first, similarity)))
+    links = shared_checkpoint(links.unionByName(singles).unionByName(_links(heads, first, similarity)))
     clustered = _clusters(first, links, shards)
     now = clustered.select("doc_id", "cluster")
     rest = shared_checkpoint(
