@@ -313,3 +313,33 @@ def test_pipeline_stages(spark, small):
     kept = {r.doc_id for r in stages["packing"](spark, docs, small).collect()}
     assert kept == before.keys()
     assert {r.doc_id for r in corpus_pipeline.run(spark, small).collect()} <= before.keys()
+
+
+def test_jaccard_stage_takes_repeated_rows_and_null_ids(spark):
+    import corpus_pipeline
+
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(5, long), (5, long), (None, long), (None, long), (7, long + " more"), (None, "alone here with no other text"),
+            (None, "alone here with no other text"), (8, None), (8, None), (None, None), (9, "")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, key_ string")
+    out = dict(corpus_pipeline.STAGES)["jaccard"](spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in out.collect()))) == sorted(map(str, [
+        (5, long), (None, "alone here with no other text"), (8, None), (None, None), (9, "")]))
+
+
+def test_groups_with_many_far_members(spark):
+    """Copies of one text with few and with many edits: clusters, single members and chains of links."""
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(120)]
+    docs = []
+    for i in range(160):
+        copy = list(base)
+        for _ in range(rng.choice([0, 1, 2, 4, 6, 9])):
+            at = rng.randrange(len(copy))
+            copy[at] = f"e{rng.randrange(40)}"
+        docs.append((i, " ".join(copy)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    for rounds in (1, 6):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(frame, rounds=rounds).collect()}
+        assert got == jaccard_brute(docs)
