@@ -1,13 +1,15 @@
 """Substring deduplication over sliding spans of sentences.
 
-A sentence ends at an end mark, a comma, colon or semicolon, or a line end; one
-of more than 16 words is cut further behind words chosen by their hash, so that
-a passage is cut alike wherever it stands. From every sentence on, the shortest
-run of at least three sentences and twenty words is hashed. Runs are joined over
-the whole table by shuffling packed hashes: the owner of a range of hashes keeps
-those that occur more than once, with their first place (smallest id, then
-position), as a sorted array. A second pass removes every sentence that lies in
-a repeated run which is not the first.
+A sentence ends at an end mark, a comma, colon or semicolon (of several scripts),
+or a line end. It is cut further behind every word whose hash is the least among
+its neighbours, three on either side in the same sentence: only the words around
+a place decide, so a passage is cut alike wherever it stands, whatever precedes
+it. In scripts without spaces a character is a word, and counts half. From every
+sentence on, the shortest run of at least three sentences and twenty words is
+hashed. Runs are joined over the whole table by shuffling packed hashes: the owner
+of a range of hashes keeps those that occur more than once, with their first place
+(smallest id, then position), as a sorted array. A second pass removes every
+sentence that lies in a repeated run which is not the first.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,44 +30,67 @@ from eventlytics.llm.hashstore import Reader, Store, new_folder, shard_of, shard
 
 RUN_SENTENCES = 3
 RUN_WORDS = 20
-LONG_SENTENCE = 16
+NEIGHBOURS = 3
 FLUSH_RUNS = 2_000_000
-_SENTENCE = re.compile(r"[^.!?,;:\n]*(?:[.!?,;:\n]+|\Z)")
-_WORD = re.compile(r"\s*\S+")
+_MARKS = ".!?,;:\n\u3002\uff0c\uff01\uff1f\uff1b\uff1a\u3001\u061f\u060c\u061b\u0964\u0965"
+#: Thai to Tibetan, Myanmar, Khmer, Han with kana, and Han of the higher planes
+_UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u2e80-\u2fff\u3003-\u30ff\u31f0-\u31ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_SENTENCE = re.compile(rf"[^{_MARKS}]*(?:[{_MARKS}]+|\Z)")
+_WORD = re.compile(rf"\s*(?:[{_UNSPACED}]|[^\s{_UNSPACED}]+)")
+_CHARACTER = re.compile(f"[{_UNSPACED}]")
+_NO_WORD = re.compile(f"[{_UNSPACED}{_MARKS}]")
 _FACTOR = 0x9E3779B97F4A7C15
-_NO_ID = (1 << 63) - 1
 
 
-def sentences(text: str) -> list[str]:
+class Hashes(dict):
+    """Hashes of words as met in texts, each computed once for a batch."""
+
+    def __missing__(self, word: str) -> int:
+        value = self[word] = crc32(word.strip().lower().encode())
+        return value
+
+
+def sentences(text: str, hashes: Hashes | None = None) -> list[str]:
     """Pieces that make up the text again when joined."""
+    hashes = Hashes() if hashes is None else hashes
     out: list[str] = []
+    spaced = text.isascii() or not _CHARACTER.search(text)
     for piece in _SENTENCE.findall(text):
-        if len(piece) <= 2 * LONG_SENTENCE or piece.count(" ") < LONG_SENTENCE:
-            if piece:
-                out.append(piece)
+        if not piece:
             continue
-        part, count = [], 0
-        for word in _WORD.findall(piece):
-            part.append(word)
-            count += 1
-            if count >= 4 and crc32(word.strip().lower().encode()) % 8 == 0 or count == LONG_SENTENCE:
-                out.append("".join(part))
-                part, count = [], 0
-        rest = "".join(part) + piece[len(piece.rstrip()) :]
-        if rest:
-            out.append(rest)
+        if spaced and len(piece.split()) <= 2 * NEIGHBOURS:
+            out.append(piece)
+            continue
+        words = _WORD.findall(piece)
+        order = [hashes[w] for w in words]
+        begin = 0
+        for i in range(NEIGHBOURS, len(words) - NEIGHBOURS):
+            if order[i] <= min(order[i - NEIGHBOURS : i + NEIGHBOURS + 1]):
+                out.append("".join(words[begin : i + 1]))
+                begin = i + 1
+        # white space behind the last word belongs to no word
+        out.append("".join(words[begin:]) + piece[len(piece.rstrip()) :])
     return out
 
 
+def half_words(piece: str) -> int:
+    """Twice the number of words; a character of a script without spaces counts one."""
+    if piece.isascii():
+        return 2 * len(piece.split())
+    characters = len(_CHARACTER.findall(piece))
+    return characters + 2 * len((_NO_WORD.sub(" ", piece) if characters else piece).split())
+
+
 class Runs:
     """All runs of a batch of texts: ``keys``, and the text and the sentences each spans."""
 
     def __init__(self, texts: list[str]) -> None:
         from xxhash import xxh64_intdigest
 
-        self.parts = [sentences(t) for t in texts]
+        hashes = Hashes()
+        self.parts = [sentences(t, hashes) for t in texts]
         words = [x.lower().split() for part in self.parts for x in part]
-        length = np.fromiter(map(len, words), np.int64, len(words))
+        length = np.fromiter((half_words(x) for part in self.parts for x in part), np.int64, len(words))
         hashes = np.fromiter((xxh64_intdigest(" ".join(w)) for w in words), np.uint64, len(words))
         sizes = np.fromiter(map(len, self.parts), np.int64, len(texts))
         # sentences without words take no part
@@ -76,7 +101,7 @@ class Runs:
         count = len(at)
         total = np.concatenate([[0], np.cumsum(length)])
         start = np.arange(count)
-        stop = np.maximum(start + RUN_SENTENCES, np.searchsorted(total, total[:-1] + RUN_WORDS))
+        stop = np.maximum(start + RUN_SENTENCES, np.searchsorted(total, total[:-1] + 2 * RUN_WORDS))
         inside = stop <= np.searchsorted(owner, owner, side="right")
         start, stop = start[inside], stop[inside]
         with np.errstate(over="ignore"):
@@ -101,8 +126,14 @@ _ARROW = pa.schema([
 ])
 
 
-def _ids(batch: pa.RecordBatch) -> np.ndarray:
-    return np.array([_NO_ID if i is None else i for i in batch.column("doc_id").to_pylist()], np.int64)
+def _known_id(doc_id: Column, text: Column) -> Column:
+    """The id, or for a row without one a number made from its text, above 2^62."""
+    made = F.lit(1 << 62) + F.pmod(F.xxhash64(text.cast("string")), F.lit(1 << 61))
+    return F.coalesce(doc_id.cast("long"), made)
+
+
+def _ids(batch: pa.RecordBatch, column: str) -> np.ndarray:
+    return np.array(batch.column(column).to_numpy(zero_copy_only=False), np.int64)
 
 
 def _earliest(keys: np.ndarray, ids: np.ndarray, places: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -138,7 +169,7 @@ def _collector(shards: int):
         for batch in text_slices(batches):
             runs = Runs(texts_of(batch))
             held.append((
-                runs.keys, _ids(batch)[runs.text], runs.first.astype(np.uint32),
+                runs.keys, _ids(batch, "doc_id")[runs.text], runs.first.astype(np.uint32),
                 np.zeros(len(runs.keys), np.uint32),
             ))
             if sum(len(x[0]) for x in held) >= FLUSH_RUNS:
@@ -169,7 +200,9 @@ def _owner(folder: str):
 
 def repeated_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> Store:
     """First places of the runs that occur more than once, as sorted arrays."""
-    source = id_and_text(docs, id_col, text_col).select(F.col("doc_id").cast("long"), "text")
+    source = id_and_text(docs, id_col, text_col).select(
+        _known_id(F.col("doc_id"), F.col("text")).alias("doc_id"), "text"
+    )
     shards = shards_for(source.rdd.getNumPartitions())
     folder = new_folder(docs.sparkSession, "runs")
     files = (
@@ -183,9 +216,11 @@ def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """The rows with their text cut down, and n_sentences, n_removed (long).
 
     Sentences inside a repeated run are removed unless the run is the first of
-    its kind. Null texts stay null. Rows that share an id and a text count as the
-    same place and keep it; a null id comes after all others. Columns named like
-    the two added ones are replaced.
+    its kind. Null texts stay null, and texts without a word as they are. Rows that share an id
+    and a text count as the same place and keep it. A row without an id comes after
+    those with one below 2^62 and has a number made from its text for an id: such rows
+    lose what another text has before them, and equal ones stay alike. Columns named
+    like the two added ones are replaced.
     """
     store = repeated_runs(docs, id_col=id_col, text_col=text_col)
     shared = docs.sparkSession.sparkContext.broadcast(vars(store))  # names of files
@@ -202,7 +237,7 @@ def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             texts = texts_of(batch, text_col)
             runs = Runs(texts)
             found = reader.find(runs.keys).astype(np.uint64)
-            ids = np.array(batch.column(own).fill_null(_NO_ID).to_numpy(zero_copy_only=False), np.int64)[runs.text]
+            ids = _ids(batch, own)[runs.text]
             first = ((found[:, 0] << np.uint64(32)) | found[:, 1]).view(np.int64)
             # places are stored one higher, so that a row of zeros is an unknown run
             place = runs.first.astype(np.uint64) + np.uint64(1)
@@ -227,6 +262,6 @@ def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     source = docs.select(
         *(docs[c].cast("string").alias(c) if c == text_col else docs[c] for c in kept),
-        docs[id_col].cast("long").alias(own),
+        _known_id(docs[id_col], docs[text_col]).alias(own),
     )
     return source.mapInArrow(run, out)

@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -106,19 +107,74 @@ def test_components_of_chains_and_stars(spark):
     assert got == want
 
 
+def spans_brute(text):
+    """Sentences by the rule as written in the module, one character and word at a time."""
+    marks, clauses, clause = ".!?,;:\n。，！？；：、؟،؛।॥", [], ""
+    for i, c in enumerate(text):
+        clause += c
+        if c in marks and (i + 1 == len(text) or text[i + 1] not in marks):
+            clauses.append(clause)
+            clause = ""
+    spans = []
+    for clause in [*clauses, clause]:
+        words, tail = [], ""
+        for c in clause:
+            alone = unspaced(c)
+            if words and not tail and not alone and not c.isspace() and not unspaced(words[-1][-1]):
+                words[-1] += c
+            elif c.isspace():
+                tail += c
+            else:
+                words.append(tail + c)
+                tail = ""
+        if not words:
+            spans += [tail] if tail else []
+            continue
+        words[-1] += tail
+        order = [zlib.crc32(w.strip().lower().encode()) for w in words]
+        span = ""
+        for i, w in enumerate(words):
+            span += w
+            if 3 <= i < len(words) - 3 and all(order[i] <= order[i + d] for d in range(-3, 4)):
+                spans.append(span)
+                span = ""
+        spans += [span] if span else []
+    return spans
+
+
+def unspaced(c):
+    low = [("\u0e00", "\u109f"), ("\u1780", "\u17ff"), ("\u2e80", "\u2fff"), ("\u3003", "\u30ff"), ("\u31f0", "\u31ff"),
+           ("\u3400", "\u9fff"), ("\uf900", "\ufaff"), ("\U00020000", "\U0003ffff")]
+    return any(a <= c <= b for a, b in low)
+
+
+def halves_brute(span):
+    found = sum(map(unspaced, span))
+    if found:
+        span = "".join(" " if unspaced(c) or c in ".!?,;:\n。，！？；：、؟،؛।॥" else c for c in span)
+    return found + 2 * len(span.split())
+
+
 def passages_brute(docs):
-    first, runs = {}, []
+    first, texts = {}, []
     for key, text in sorted(docs, key=lambda d: (d[0] is None, d[0])):
-        found = repeats.Runs([text or ""])
-        words = [" ".join(s.lower().split()) for s in found.parts[0]]
-        own = [(int(a), int(b), tuple(w for w in words[a : b + 1] if w)) for a, b in zip(found.first, found.last, strict=True)]
-        for a, _, run in own:
-            first.setdefault(run, (key, a))
-        runs.append((key, found.parts[0], own))
+        spans = spans_brute(text or "")
+        spoken = [i for i, s in enumerate(spans) if s.split()]
+        runs = []
+        for n, a in enumerate(spoken):
+            run, size = [], 0
+            for i in spoken[n:]:
+                run.append(" ".join(spans[i].lower().split()))
+                size += halves_brute(spans[i])
+                if len(run) >= 3 and size >= 40:
+                    runs.append((a, i, tuple(run)))
+                    first.setdefault(tuple(run), (key, a))
+                    break
+        texts.append((key, spans, runs))
     out = []
-    for key, parts, own in runs:
-        gone = {i for a, b, run in own if first[run] != (key, a) for i in range(a, b + 1)}
-        out.append((key, len(gone), "".join(p for i, p in enumerate(parts) if i not in gone)))
+    for key, spans, runs in texts:
+        gone = {i for a, b, run in runs if first[run] != (key, a) for i in range(a, b + 1)}
+        out.append((key, len(gone), "".join(s for i, s in enumerate(spans) if i not in gone)))
     return out
 
 
@@ -156,11 +212,57 @@ def test_repeats_odd_rows(spark):
     assert repeats.without_repeats(empty).count() == 0
 
 
+def test_passages_without_punctuation_or_spaces(spark):
+    """Passages of 51 words without a mark, of 80 Chinese characters, and lines of tabs: none is missed wholly."""
+    rng = random.Random(20)
+
+    def plain(n, gap=" "):
+        return gap.join(f"w{rng.randrange(5000)}" for _ in range(n))
+
+    def chinese(n):
+        return "".join(chr(rng.randrange(0x4E00, 0x9000)) + ("。" if rng.random() < 0.08 else "") for _ in range(n))
+
+    docs = []
+    for kind, count in ((plain, 200), (lambda n: plain(n, "\t"), 50), (chinese, 100)):
+        for _ in range(count):
+            passage = kind(51 if kind is not chinese else 80)
+            gap = "" if kind is chinese else " "
+            for _ in range(2):
+                docs.append((len(docs), gap.join([kind(rng.randint(0, 40) or 1), passage, kind(rng.randint(1, 40))])))
+    clean = [(len(docs) + i, kind(60)) for i, kind in enumerate([plain, chinese] * 20)]
+    frame = spark.createDataFrame(docs + clean, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in repeats.without_repeats(frame).collect()}
+    assert not any(got[i].n_removed for i, _ in clean)
+    assert all(got[i].n_removed == 0 for i in range(0, len(docs), 2))
+    lost = [len(docs[i][1]) - len(got[i].text) for i in range(1, len(docs), 2)]
+    assert min(lost) > 0
+    words = [len(docs[i][1].split()) - len(got[i].text.split()) for i in range(1, 500, 2)]
+    assert max(words) <= 51 and np.mean(words) > 38
+    assert max(lost[250:]) <= 120 and np.mean(lost[250:]) > 65
+    assert sorted((r.doc_id, r.n_removed, r.text) for r in got.values()) == passages_brute(docs + clean)
+
+
+def test_repeats_of_very_long_texts_and_null_ids(spark):
+    rng = random.Random(21)
+    passage = " ".join(f"w{rng.randrange(5000)}" for _ in range(60))
+    rows = [
+        (0, "x" * 2_000_000), (1, " " * 2_000_000), (2, "same " * 300_000), (3, "的" * 300_000),
+        (4, " ".join(f"n{i}" for i in range(400_000))),
+        (None, f"one before {passage}"), (None, f"one before {passage} and something after it"), (5, passage),
+    ]
+    out = repeats.without_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    got = {r.doc_id: r for r in out if r.doc_id is not None}
+    assert [got[i].n_removed for i in (0, 1, 4, 5)] == [0, 0, 0, 0]
+    assert len(got[2].text) < 200 and len(got[3].text) < 200
+    assert all(r.n_removed for r in out if r.doc_id is None)
+
+
 def test_sentences_make_up_the_text():
     rng = random.Random(3)
     for _ in range(500):
-        text = "".join(rng.choice(["word ", "w", " ", "\n", ".", ", ", "!?", "é", "\t", "  "]) for _ in range(rng.randint(0, 120)))
+        text = "".join(rng.choice(["word ", "w", " ", "\n", ".", ", ", "!?", "é", "\t", "  ", "字", "。", "ก"]) for _ in range(rng.randint(0, 120)))
         assert "".join(repeats.sentences(text)) == text
+        assert repeats.sentences(text) == spans_brute(text)
 
 
 def test_op5_on_a_table(spark, small):
