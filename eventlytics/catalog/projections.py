@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlytics.catalog import views as v
@@ -533,6 +536,46 @@ def feature_list(spark, sf):
     return df.agg(F.count("*").alias("n")).filter("n > 0").select(F.explode(flags).alias("f")).select("f.*")
 
 
+_WANTED = ("o_totalprice", "c_acctbal", "num_fights", "s_acctbal", "o_custkey")
+_HELD = {"orders": ("o_totalprice", "o_custkey"), "customer": ("c_acctbal",), "supplier": ("s_acctbal",)}
+
+
+@query(
+    "p37_feature_list_by_source",
+    " UNION ALL ".join(
+        f"""SELECT '{t}' AS "source", '{c}' AS feature, TRUE AS present, count({c}) AS known,
+        CAST(min({c}) AS DOUBLE) AS lowest, CAST(max({c}) AS DOUBLE) AS highest FROM {t}""" if c in held else
+        f"""SELECT '{t}' AS "source", '{c}' AS feature, FALSE AS present, CAST(0 AS BIGINT) AS known,
+        CAST(NULL AS DOUBLE) AS lowest, CAST(NULL AS DOUBLE) AS highest"""
+        for t, held in _HELD.items() for c in _WANTED
+    ),
+)
+def feature_list_by_source(spark, sf):
+    """One wish list over sources that hold different columns: what each has of it, and its values."""
+    out = []
+    for source in _HELD:
+        df = v.table(spark, sf, source)
+        present, missing = frames.pick_features(df, _WANTED)
+        wide = df.select(*present).agg(
+            *[f(c).alias(f"{c}_{i}") for c in present for i, f in enumerate((F.count, F.min, F.max))]
+        )
+        rows = [
+            F.struct(
+                F.lit(c).alias("feature"), F.lit(True).alias("present"), F.col(f"{c}_0").alias("known"),
+                F.col(f"{c}_1").cast("double").alias("lowest"), F.col(f"{c}_2").cast("double").alias("highest"),
+            )
+            for c in present
+        ] + [
+            F.struct(
+                F.lit(c).alias("feature"), F.lit(False).alias("present"), F.lit(0).cast("long").alias("known"),
+                F.lit(None).cast("double").alias("lowest"), F.lit(None).cast("double").alias("highest"),
+            )
+            for c in missing
+        ]
+        out.append(wide.select(F.lit(source).alias("source"), F.inline(F.array(*rows))))
+    return reduce(DataFrame.unionByName, out)
+
+
 @query(
     "p38_two_sided_combination",
     v.with_(v.BOUTS, v.FIGHTERS) + """SELECT fight_id,
