@@ -154,3 +154,41 @@ def test_bounds_leave_little_to_try(spark):
     plain = improve(rows, {"c": sorted((r for r in rows[:12]), key=lambda r: (-base(r) - 0.1, r[1]))})
     assert sorted((r.fight_id, round(r.score, 9)) for r in out) == plain["c"]
     assert {(r.swaps, r.settled) for r in out} == {(1, True)} and out[0].tried < 30
+
+
+def test_greedy_goes_on_behind_the_first_rows(spark):
+    """Names that hold the best rows, copies of a contest over a cut, and ties."""
+    rng = random.Random(7)
+    rows = [("c", i, "star", f"b{i}", 2.0 - i / 1000) for i in range(90)]
+    rows += [("c", 100 + i, f"n{rng.randrange(40)}", f"n{rng.randrange(40, 90)}", rng.randrange(20) / 20) for i in range(200)]
+    rows += [r for r in rows if r[1] % 7 == 0] * 2
+    rows += [("d", 1, "x", "y", 0.5)] * 30 + [("d", 2, "v", "w", 0.4), (None, 1, "p", "q", 1.0)]
+    df = spark.createDataFrame(rows, "card string, fight_id int, name1 string, name2 string, score double")
+    want = []
+    for card in "cd":
+        used, ids, n = set(), set(), 0
+        for _, f, a, b, _ in sorted((r for r in rows if r[0] == card), key=lambda r: (-r[4], r[1])):
+            if n < 14 and (f in ids or not {a, b} & used):
+                used, ids, n = used | {a, b}, ids | {f}, n + 1
+        want += [r for r in rows if r[0] == card and r[1] in ids]
+    for at_once in (14, 50, 1000):
+        found = cards.greedy_cards(df, at_once=at_once).select(df.columns).collect()
+        assert sorted(map(tuple, found)) == sorted(want)
+
+
+def test_candidates_stay_where_they_are(spark):
+    """Cards go to the candidates: neither search shuffles all candidates for a join."""
+    scored = cards.score_candidates(spark.createDataFrame(candidates(4), SCHEMA)).repartition(3).localCheckpoint()
+    chosen = cards.greedy_cards(scored)
+    assert "SortMergeJoin" not in chosen._jdf.queryExecution().executedPlan().toString()
+    joined = []
+
+    def tries(*args, make=cards._tries):
+        joined.append(make(*args))
+        return joined[-1]
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(cards, "_tries", tries)
+        cards.improve_cards(scored, chosen, max_rounds=2).collect()
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in joined]
+    assert plans and not any("Exchange hashpartitioning" in plan for plan in plans)
