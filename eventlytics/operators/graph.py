@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from eventlytics.operators.scale import dense_ids, shared_checkpoint, shuffle_width, splittable
 
@@ -158,50 +159,65 @@ def label_propagation(
 def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, component_id): the smallest id reachable, edge direction ignored.
 
-    Alternating large-star and small-star steps (Kiveris et al., 2014): each
-    round hooks neighbours to the smallest id seen, so paths halve and the
-    number of edges never grows. Stops when only stars around roots are left.
+    Randomised contraction (Bögeholz, Brand, Todor, 2019): in each round every vertex is
+    renamed to the least hash among its own and its neighbours', and edges inside a name
+    go. Chains halve, and rounds are few whatever the order of ids. The hash of one
+    whole number is one-to-one, so names of a round never clash; ids of other kinds are
+    numbered first. Each round's renaming is kept, and read back from the last to the first.
     """
-    pairs = shared_checkpoint(
-        edges.filter("src <> dst")
-        .select(F.greatest("src", "dst").alias("v"), F.least("src", "dst").alias("u"))
-        .distinct()
+    ends = edges.filter("src <> dst").select("src", "dst")
+    if not isinstance(edges.schema["src"].dataType, IntegralType):
+        named = shared_checkpoint(dense_ids(ends.select(F.explode(F.array("src", "dst")).alias("key")).distinct(), "key", "at"))
+        for end in ("src", "dst"):
+            ends = ends.join(named.select(F.col("key").alias(end), F.col("at").alias(f"{end}_at")), end)
+        numbers = vertices.select("id").distinct().join(named, F.col("id") == F.col("key")).select("id", "at")
+        found = connected_components(numbers.select(F.col("at").alias("id")), ends.select(
+            F.col("src_at").alias("src"), F.col("dst_at").alias("dst")
+        ))
+        found = numbers.join(found.withColumnRenamed("id", "at"), "at")
+        least = splittable(found.groupBy("component_id").agg(F.min("id").alias("root_")))
+        rooted = found.join(least, "component_id").select("id", "root_")
+        return vertices.select("id").join(rooted, "id", "left").select("id", F.coalesce("root_", "id").alias("component_id"))
+    pairs = ends.select(*[F.col(end).cast("bigint").alias(c) for c, end in zip("uv", ("src", "dst"))])
+    pairs = shared_checkpoint(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    levels = []
+    while not pairs.isEmpty():
+        levels.append(shared_checkpoint(_renamed(pairs, len(levels))))
+        pairs = shared_checkpoint(_contracted(pairs, levels[-1]))
+    if not levels:
+        return vertices.select("id", F.col("id").alias("component_id"))
+    last = len(levels) - 1
+    roots = levels[last].select("a", F.col("m").alias("root_"), F.lit(last).alias("level_"))
+    for i in reversed(range(last)):
+        # a name that no edge was left for is a root of its own round
+        roots = levels[i].select(F.col("a").alias("a_"), "m").join(roots, F.col("m") == F.col("a"), "left").select(
+            F.col("a_").alias("a"), F.coalesce("root_", "m").alias("root_"), F.coalesce("level_", F.lit(i)).alias("level_")
+        )
+    roots = shared_checkpoint(roots)
+    least = splittable(roots.groupBy("root_", "level_").agg(F.min("a").alias("least_")))
+    rooted = roots.join(least, ["root_", "level_"]).select(F.col("a").alias("id"), "least_")
+    kind = vertices.schema["id"].dataType
+    return vertices.select("id").join(rooted, "id", "left").select(
+        "id", F.coalesce(F.col("least_").cast(kind), F.col("id")).alias("component_id")
     )
-    while not _settled(pairs):
-        pairs = shared_checkpoint(_small_star(_large_star(pairs)))
-    return vertices.select("id").join(
-        pairs.select(F.col("v").alias("id"), F.col("u").alias("root_")), "id", "left"
-    ).select("id", F.coalesce("root_", F.col("id")).alias("component_id"))
-
-
-def _settled(pairs: DataFrame) -> bool:
-    """Every vertex hangs on one root, and no root hangs on another vertex."""
-    hanging = pairs.groupBy("v").agg(F.count("*").alias("n"))
-    if not hanging.filter("n > 1").isEmpty():
-        return False
-    return pairs.join(hanging.select(F.col("v").alias("u")), "u", "left_semi").isEmpty()
 
 
-def _large_star(pairs: DataFrame) -> DataFrame:
-    """Hook every larger neighbour of a vertex to the vertex's smallest one."""
-    both = pairs.select(F.col("v").alias("a"), F.col("u").alias("b")).unionByName(
-        pairs.select(F.col("u").alias("a"), F.col("v").alias("b"))
-    )
-    least = splittable(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
-    return (
-        both.filter("b > a").join(least, "a")
-        .select(F.col("b").alias("v"), F.col("m").alias("u"))
-        .distinct()
+def _renamed(pairs: DataFrame, round_: int) -> DataFrame:
+    """(a, m): the least hash among a vertex and its neighbours; every round hashes anew."""
+    both = pairs.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(
+        pairs.select(F.col("v").alias("a"), F.col("u").alias("b"))
     )
+    near = both.groupBy("a").agg(F.min(F.xxhash64(F.lit(round_), "b")).alias("m"))
+    return near.select("a", F.least("m", F.xxhash64(F.lit(round_), "a")).alias("m"))
 
 
-def _small_star(pairs: DataFrame) -> DataFrame:
-    """Hook a vertex and its smaller neighbours to the smallest of them."""
-    least = splittable(pairs.groupBy("v").agg(F.min("u").alias("m")))
-    joined = pairs.join(least, "v")
-    hooked = joined.filter("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u"))
-    own = least.select("v", F.col("m").alias("u"))
-    return own.unionByName(hooked).distinct()
+def _contracted(pairs: DataFrame, names: DataFrame) -> DataFrame:
+    """Edges between different new names, each once."""
+    names = splittable(names)
+    moved = pairs
+    for end in "uv":
+        moved = moved.join(names.select(F.col("a").alias(end), F.col("m").alias(f"{end}_")), end)
+    return moved.filter("u_ <> v_").select(F.least("u_", "v_").alias("u"), F.greatest("u_", "v_").alias("v")).distinct()
 
 
 def triangle_count(vertices: DataFrame, edges: DataFrame) -> DataFrame:

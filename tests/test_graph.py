@@ -98,3 +98,21 @@ def test_features_of_contests(spark):
     assert sorted(r.fight_count for r in edges) == [1, 1, 2]
     share = {r.name: r.pagerank_score for r in graph.appearance_share(fights.na.drop()).collect()}
     assert share["A"] == 1.0 and share["C"] == pytest.approx(2 / 3)
+
+
+def test_components_contract(spark):
+    """Edges of a chain shrink in every round, whatever the order of its ids; names and ids of any kind."""
+    edges = [(i, i + 1) for i in range(3000)]
+    pairs, left = spark.createDataFrame(edges, "u bigint, v bigint"), []
+    for i in range(4):
+        pairs = graph._contracted(pairs, graph._renamed(pairs, i)).localCheckpoint()
+        left.append(pairs.count())
+    assert left[0] < 2000 and left[3] < 400
+    v = spark.createDataFrame([(x,) for x in ["z", "b", "c", "d", "q"]], "id string")
+    e = spark.createDataFrame([("z", "c"), ("c", "b"), ("d", "d"), (None, "q")], "src string, dst string")
+    assert as_dict(graph.connected_components(v, e)) == {"z": "b", "c": "b", "b": "b", "d": "d", "q": "q"}
+    v = spark.createDataFrame([(1,), (2,), (2,), (-3,), (None,)], "id int")
+    e = spark.createDataFrame([(2, 1), (1, 2), (1, -3), (1, 9)], "src int, dst int")
+    out = graph.connected_components(v, e)
+    assert sorted(map(str, map(tuple, out.collect()))) == ["(-3, -3)", "(1, -3)", "(2, -3)", "(2, -3)", "(None, None)"]
+    assert dict(out.dtypes) == {"id": "int", "component_id": "int"}
