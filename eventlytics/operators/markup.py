@@ -213,10 +213,15 @@ def trimmed(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"^\s+|\s+$", ""))
 
 
+def read(text: Column) -> Column:
+    """Raw text as it is read: entities resolved, trimmed."""
+    return trimmed(resolved(text))
+
+
 def text_of(element: Column, tokens: Column | str = "tokens") -> Column:
     """All text inside an element, tags left out, entities resolved, trimmed; null without element."""
     inside = F.slice(tokens, element["start"] + 2, element["stop"] - element["start"] - 1)
-    return trimmed(resolved(F.array_join(F.filter(inside, is_text), "")))
+    return read(F.array_join(F.filter(inside, is_text), ""))
 
 
 def text_after(element: Column, tokens: Column | str = "tokens") -> Column:

@@ -16,7 +16,7 @@ from eventlytics.functions.dates import parse_page_date
 from eventlytics.functions.numbers import parse_count, parse_money
 from eventlytics.functions.odds import implied_probability, is_line, parse_line
 from eventlytics.functions.text import collapse_space, strip_label, url_to_title
-from eventlytics.operators import markup
+from eventlytics.operators import markup, page_batches
 from eventlytics.operators.markup import first, resolved, select, text_of
 
 # Header keywords of the facts table, first match wins.
@@ -257,12 +257,8 @@ def sheet_sides(pages: DataFrame, cell_class: str, keep: Sequence[str] = ("page_
     A cell has at least one place for each side; what is absent is null there, so that
     later cells don't shift.
     """
-    scanned = markup.scan(pages, ["td", "p"], keep=keep)
-
-    def texts(cell: Column) -> Column:
-        return F.transform(select(markup.below(cell), "p"), lambda e: text_of(e))
-
-    cells = F.transform(select(F.col("elements"), "td", cell_class), texts)
+    found = page_batches.texts(pages, {"raw_": ("grouped", [("td", cell_class, None), ("p", None, None)])}, keep=keep)
+    cells = F.transform("raw_", lambda cell: F.transform(cell, markup.read))
 
     def side(odd: int) -> Column:
         def places(cell: Column) -> Column:
@@ -271,7 +267,7 @@ def sheet_sides(pages: DataFrame, cell_class: str, keep: Sequence[str] = ("page_
 
         return F.flatten(F.transform("cells", places))
 
-    return scanned.select(*keep, cells.alias("cells")).select(*keep, side(0).alias("a"), side(1).alias("b"))
+    return found.select(*keep, cells.alias("cells")).select(*keep, side(0).alias("a"), side(1).alias("b"))
 
 
 def side_stats(sides: DataFrame, keep: Sequence[str] = ("page_id",)) -> DataFrame:
@@ -286,26 +282,28 @@ def labelled(texts: Column, label: str) -> Column:
 
 def result_record(pages: DataFrame, keep: Sequence[str] = ("page_id",)) -> DataFrame:
     """Contest record of a contest's page; what the page lacks is null and shifts nothing."""
-    scanned = markup.scan(pages, ["h2", "a", "div", "i", "p"], keep=[*keep, "url"])
-    elements, start = F.col("elements"), "b-fight-details__"
-
-    def texts(found: Column) -> Column:
-        return F.transform(found, lambda e: collapse_space(text_of(e)))
-
-    def one(name: str, cls: str) -> Column:
-        return collapse_space(text_of(first(elements, name, cls)))
-
-    people = F.flatten(F.transform(select(elements, "div", start + "person"), lambda d: select(markup.below(d), "i")))
-    lines = select(elements, "p", start + "text")
-    return scanned.select(
+    start = "b-fight-details__"
+    lines = ("p", start + "text")
+    found = page_batches.texts(pages, {
+        "event": ("first", [("h2", "b-content__title", 0)]),
+        "names": ("all", [("a", f"b-link {start}person-link", None)]),
+        "outcomes": ("all", [("div", start + "person", None), ("i", None, None)]),
+        "weightclass": ("first", [("div", start + "fight-head", 0)]),
+        "method": ("first", [("i", start + "text-item_first", 0)]),
+        "items": ("all", [(*lines, 0), ("i", start + "text-item", None)]),
+        "details": ("first", [(*lines, 1)]),
+    }, keep=[*keep, "url"])
+
+    def one(name: str) -> Column:
+        return collapse_space(markup.read(F.col(name)))
+
+    def texts(name: str) -> Column:
+        return F.transform(name, lambda t: collapse_space(markup.read(t))).alias(name)
+
+    return found.select(
         *keep, "url",
-        one("h2", "b-content__title").alias("event"),
-        texts(select(elements, "a", f"b-link {start}person-link")).alias("names"),
-        texts(people).alias("outcomes"),
-        one("div", start + "fight-head").alias("weightclass"),
-        strip_label(one("i", start + "text-item_first")).alias("method"),
-        texts(select(markup.below(F.get(lines, 0)), "i", start + "text-item")).alias("items"),
-        strip_label(collapse_space(text_of(F.get(lines, 1)))).alias("details"),
+        one("event").alias("event"), texts("names"), texts("outcomes"), one("weightclass").alias("weightclass"),
+        strip_label(one("method")).alias("method"), texts("items"), strip_label(one("details")).alias("details"),
     ).select(
         *keep, "event",
         F.array_join(F.slice("names", 1, 2), " vs. ").alias("bout"),
