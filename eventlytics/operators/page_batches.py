@@ -141,12 +141,12 @@ class _Scanner:
         self.classes: dict[bytes, int] = {}
         self.values: list[tuple[bytes, ...]] = []
 
-    def class_of(self, tag: bytes) -> int:
-        at = self.classes.get(tag)
-        if at is None:
-            at = self.classes[tag] = len(self.values)
+    def known(self, tags: Sequence[bytes]) -> dict[bytes, int]:
+        """Tags and the place of their class in ``values``."""
+        for tag in set(tags) - self.classes.keys():
+            self.classes[tag] = len(self.values)
             self.values.append(_class(tag))
-        return at
+        return self.classes
 
     def batch(self, html: pa.Array) -> _Found:
         if len(self.values) > 100_000:
@@ -199,7 +199,8 @@ class _Found:
         edge[end[simple] + 1] -= 1
         self.plain = buf[np.cumsum(edge[:-1], dtype=np.int8) == 0].tobytes()
         self._pair(odd, *[x[wanted] for x in (page, begin, end, closes, name)])
-        self.classed: np.ndarray | None = None
+        self.hits: dict[tuple[str, str | None], np.ndarray] = {}
+        self.classed: dict[str, np.ndarray] = {}
         self.odd = {}
         for p in np.flatnonzero(odd):
             text = raw[offsets[p] : offsets[p + 1]].decode()
@@ -230,15 +231,24 @@ class _Found:
         self.inside = (i[ends] - i[opens] - 1) >> 1
 
     def _hits(self, step: Step) -> np.ndarray:
+        """Elements of a step's name and class, found once."""
         name, cls, _ = step
-        rows = np.flatnonzero(self.name == self.scanner.names.index(name))
-        if cls is None or not len(rows):
-            return rows
-        at = np.fromiter(
-            (self.scanner.class_of(self.raw[a:b]) for a, b in zip(self.tag[rows].tolist(), self.start[rows].tolist())), np.int64, len(rows)
-        )
-        wanted = cls.encode()
-        return rows[np.fromiter((wanted in v for v in self.scanner.values), bool, len(self.scanner.values))[at]]
+        if (name, cls) not in self.hits:
+            rows = np.flatnonzero(self.name == self.scanner.names.index(name))
+            if cls is not None:
+                wanted = cls.encode()
+                classes = self._classes(name, rows)
+                has = np.fromiter((wanted in v for v in self.scanner.values), bool, len(self.scanner.values))
+                rows = rows[has[classes]]
+            self.hits[name, cls] = rows
+        return self.hits[name, cls]
+
+    def _classes(self, name: str, rows: np.ndarray) -> np.ndarray:
+        if name not in self.classed:
+            tags = [self.raw[a:b] for a, b in zip(self.tag[rows].tolist(), self.start[rows].tolist())]
+            known = self.scanner.known(tags)
+            self.classed[name] = np.fromiter(map(known.__getitem__, tags), np.int64, len(tags))
+        return self.classed[name]
 
     def follow(self, path: Sequence[Step]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """(page of each element of the first step, that element and the text of each of the last)."""
