@@ -1,8 +1,10 @@
 """What the operators share: worker values, column names, samples."""
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from eventlytics.llm import language, repeats, toxicity
+from eventlytics.llm import hashstore, language, repeats, toxicity
 from eventlytics.llm.common import fresh_name, once
 
 
@@ -41,3 +43,35 @@ def test_ids_that_repeat_teach_once(spark):
     finally:
         toxicity.train = train
     assert seen == [(["kind words here", "awful nasty words"], [0, 1])]
+
+
+@pytest.mark.parametrize("width", [1, 4])
+@pytest.mark.parametrize("n", [1, 50, 20_000])
+def test_packed_store_gives_what_was_written(tmp_path, n, width):
+    rng = np.random.default_rng(n)
+    top = np.uint64(2**64 - 1)
+    near = rng.integers(0, 2**64, 50, np.uint64)  # keys that differ in the last bits, and crowded ones
+    keys = np.unique(np.concatenate([
+        rng.integers(0, 2**64, n, np.uint64), near, near ^ np.uint64(1), near ^ np.uint64(0xFFFF),
+        np.arange(n, dtype=np.uint64) * np.uint64(3), np.array([0, 1, top, top - np.uint64(1)], np.uint64),
+    ]))
+    # few rows of values, many, and ones of more than 16 bits
+    values = rng.choice([1, 1, 1, 2, 3, 300, 65534, 65535, 65536, 2**32 - 1], (len(keys), width))
+    values[: len(keys) // 3] = rng.integers(0, 5000, (len(keys) // 3, width))
+    store = hashstore.Store(3, width, {})
+    owner = hashstore.shard_of(keys, 3)
+    for shard in range(3):
+        own = owner == shard
+        store.files[shard] = hashstore.write_packed(f"{tmp_path}/a", shard, keys[own], values[own]), int(own.sum())
+    asked = np.concatenate([keys, keys + np.uint64(1), keys ^ np.uint64(2), rng.integers(0, 2**64, 500, np.uint64)])
+    asked = rng.permutation(np.concatenate([asked, asked[:100]]))
+    known = dict(zip(keys.tolist(), values.tolist(), strict=True))
+    found = hashstore.PackedReader(store).find(asked)
+    assert found.tolist() == [known.get(k, [0] * width) for k in asked.tolist()]
+
+
+def test_packed_store_without_keys(tmp_path):
+    place = hashstore.write_packed(f"{tmp_path}/a", 0, np.zeros(0, np.uint64), np.zeros((0, 1), np.int64))
+    reader = hashstore.PackedReader(hashstore.Store(1, 1, {0: (place, 0)}))
+    assert place == "" and reader.find(np.arange(3, dtype=np.uint64)).tolist() == [[0]] * 3
+    assert reader.find(np.zeros(0, np.uint64)).shape == (0, 1)

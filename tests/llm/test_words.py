@@ -3,15 +3,20 @@
 import collections
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
+from urllib.parse import urlparse
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from eventlytics.llm import language, ngram_lm, secrets, toxicity
+from eventlytics.llm.hashstore import Store
 from eventlytics.llm.queries import QUERIES
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -105,6 +110,60 @@ def test_op1_counts_contexts_of_two_words(spark, tmp_path):
         assert r.score == pytest.approx(want, rel=1e-9)
 
 
+@pytest.mark.parametrize("order", [4, 5])
+def test_ngram_scores_of_longer_contexts(spark, order):
+    rng = random.Random(order)
+    texts = [" ".join(rng.choice("aabbcdefgh") for _ in range(rng.randint(0, 40))) for _ in range(80)]
+    train, docs = texts[:50], texts + [None]
+    frame = spark.createDataFrame(list(enumerate(train)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.score for r in ngram_lm.score(
+        spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), ngram_lm.fit(frame, order=order)
+    ).collect()}
+    p = kneser_ney([t.split() + [""] for t in train], order)
+    for i, text in enumerate(docs):
+        words = ["<s>"] * (order - 1) + (text or "").split() + [""]
+        want = sum(math.log10(p(words[j - order + 1 : j], words[j])) for j in range(order - 1, len(words)))
+        assert got[i] == pytest.approx(want, rel=1e-9)
+
+
+def test_ngram_disk_is_a_few_bytes_an_ngram(spark):
+    rng = random.Random(7)
+    # words as frequent as in prose: 1, 1/2, 1/3 ...
+    words = rng.choices(range(20_000), [1 / (i + 1) for i in range(20_000)], k=300_000)
+    texts = [" ".join(f"w{x}" for x in words[i : i + 1000]) for i in range(0, len(words), 1000)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2).cache()
+    model = ngram_lm.fit(frame)
+    distinct = model.levels[3][5]
+    stored = sum(os.path.getsize(urlparse(place).path) for s in model.stores.values() for place, _ in s.files.values() if place)
+    # 12 bytes a trigram, 24 a context and 12 a bigram before: 34 a trigram in all
+    assert distinct > 200_000 and stored < 20 * distinct
+
+
+def test_ngram_rows_of_a_task_are_a_few_bytes_an_ngram():
+    rng = np.random.default_rng(3)
+    words = [np.minimum(rng.zipf(1.3, 100_000), 50_000).astype(np.uint64) for _ in range(3)]
+    rows = pa.Table.from_batches(list(ngram_lm._rows("gram", 3, words[0] % np.uint64(4), words, [np.ones(100_000, np.int64)])))
+    assert rows["words"].nbytes + rows["counts"].nbytes < 6 * 100_000  # hashes of the words: 24 bytes
+    back = []
+    for shard in range(4):
+        got, (n,) = ngram_lm._columns(rows.filter(pc.equal(rows["shard"], shard)))
+        assert (got[0] % np.uint64(4) == shard).all() and n.sum() == len(got[0])
+        back += zip(*(x.tolist() for x in got), strict=True)
+    assert sorted(back) == sorted(zip(*(x.tolist() for x in words), strict=True))
+    far = [x << np.uint64(40) for x in words]  # too wide for one number
+    rows = pa.Table.from_batches(list(ngram_lm._rows("gram", 3, words[0] % np.uint64(4), far, [words[1]])))
+    got, (n,) = ngram_lm._columns(rows.filter(pc.equal(rows["shard"], 1)))
+    assert sorted(zip(got[0].tolist(), n.tolist(), strict=True)) == sorted(
+        (x, y) for x, y in zip(far[0].tolist(), words[1].tolist(), strict=True) if (x >> 40) % 4 == 1
+    )
+
+
+def test_ngram_words_that_change_between_readings_are_told(spark):
+    words = ngram_lm.Words(Store(64, 2, {}), {})
+    with pytest.raises(ValueError, match="other words"):
+        words.numbers(ngram_lm.hashed("a b"))
+
+
 def test_ngram_probabilities_add_up(spark):
     frame = spark.createDataFrame([(1, "a b a"), (2, "b c"), (3, "c c a b")], "doc_id long, text string")
     scorer = ngram_lm.Scorer(ngram_lm.fit(frame, order=2))
