@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from eventlytics.operators.scale import dense_ids, shared_checkpoint, shuffle_width, splittable
+from eventlytics.operators.scale import dense_ids, shared_checkpoint, shared_table, shuffle_width, splittable
 
 SALT_EDGES = 500_000
 CHECKPOINT_EVERY = 5
@@ -182,7 +182,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     pairs = shared_checkpoint(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     levels = []
     while not pairs.isEmpty():
-        levels.append(shared_checkpoint(_renamed(pairs, len(levels))))
+        levels.append(shared_table(_renamed(pairs, len(levels))))
         pairs = shared_checkpoint(_contracted(pairs, levels[-1]))
     if not levels:
         return vertices.select("id", F.col("id").alias("component_id"))

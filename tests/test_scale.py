@@ -166,3 +166,11 @@ def test_hot_keys_are_split_against_reduced_sides(spark):
     finally:
         for k, x in old.items():
             spark.conf.unset(k) if x is None else spark.conf.set(k, x)
+
+
+def test_shared_table_keeps_rows_and_types(spark):
+    df = spark.createDataFrame([(1, "x", [1.5]), (1, "x", [1.5]), (None, None, None)], "a int, `b c` string, d array<double>")
+    out = scale.shared_table(df)
+    assert out.dtypes == df.dtypes and values(out) == values(df)
+    none = scale.shared_table(df.filter("a = 2"))
+    assert none.dtypes == df.dtypes and none.isEmpty()
