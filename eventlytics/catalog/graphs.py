@@ -161,6 +161,7 @@ def label_propagation(spark, sf):
 )
 def combined_measures(spark, sf):
     nodes, links = _graph(spark, sf)
+    nodes = scale.shared_checkpoint(nodes)  # every measure starts from them
     out = graph.combine(
         nodes,
         [

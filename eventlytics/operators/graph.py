@@ -84,10 +84,11 @@ class _Layout:
                 "src", "dst", salt.alias("salt_")
             )
         self.on = ["src", "salt_"] if self.salted else ["src"]
-        self.edges = pairs.repartition(width, *self.on).persist()
+        # sorted as they are kept, so that no round sorts them again
+        self.edges = pairs.repartition(width, *self.on).sortWithinPartitions(*self.on).persist()
         self.start = (
             vertices.select("id").join(degrees, "id", "left").fillna(0, ["out_", "salts_"])
-            .repartition(width, "id").persist()
+            .repartition(width, "id").sortWithinPartitions("id").persist()
         )
 
     def send(self, state: DataFrame) -> DataFrame:

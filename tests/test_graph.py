@@ -124,3 +124,15 @@ def test_estimates_of_components_stay_small(spark):
     out = graph.connected_components(v, e)
     assert out._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 1_500
     assert set(as_dict(out).values()) == {0}
+
+
+def test_combined_measures_are_planned_with_small_sizes(spark):
+    """The driver held the sizes of components in every node of the plan that joins all measures."""
+    v, e = frames(spark, [(i, i + 1) for i in range(300)] + [(0, 2)])
+    parts = [graph.pagerank(v, e, rounds=2), graph.connected_components(v, e), graph.triangle_count(v, e),
+             graph.degrees(e).drop("degree"), graph.label_propagation(v, e, rounds=2)]
+    out = graph.combine(v, parts)
+    assert out._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 3_000
+    rows = {r.id: r for r in out.collect()}
+    assert len(rows) == 301 and {r.component_id for r in rows.values()} == {0}
+    assert [rows[i].triangle_count for i in range(4)] == [1, 1, 1, 0] and rows[2].num_opponents == 3
